@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from barlake.registry import relational
+from barlake.registry import forecasting, relational
+from barlake.registry.oracle_forecasting import forecasting_sql
 from barlake.registry.oracle_relational import relational_sql
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -14,7 +15,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 def all_queries() -> dict[str, Query]:
     found: dict[str, Query] = {}
-    for module in (relational,):
+    for module in (relational, forecasting):
         for name, value in vars(module).items():
             if name.startswith("q_"):
                 found[name[2:]] = value
@@ -22,4 +23,4 @@ def all_queries() -> dict[str, Query]:
 
 
 def all_sql() -> dict[str, str]:
-    return {**relational_sql()}
+    return {**relational_sql(), **forecasting_sql()}
