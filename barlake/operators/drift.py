@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barlake.functions.columns import known
-from barlake.operators.quantiles import DIRECT_ROWS, bin_of, exact_quantiles, unique_sorted
+from barlake.operators.quantiles import DIRECT_ROWS, exact_quantiles, unique_sorted
 from barlake.schema import LEVEL_FEATURES, MODEL_FEATURES
+from barlake.workspace import small_frame
 
 PROPORTION_FLOOR = 1e-6
 
@@ -24,17 +25,25 @@ class FeatureProfile:
     proportions: tuple[float, ...]
 
 
-def binned_counts(df: DataFrame, edges: dict[str, Sequence[float]]) -> DataFrame:
-    """(feature, bin, n) for all features in one scan; edges are literals, so binning stays generated code."""
-    pairs = []
-    for feature, interior in edges.items():
-        value = known(F.col(feature).cast("double"))
-        place = F.when(value.isNotNull(), bin_of(value, interior))
-        pairs.append(F.struct(F.lit(feature).alias("feature"), place.alias("bin")))
+def bin_counts(df: DataFrame, edges: Mapping[str, Sequence[float]]) -> DataFrame:
+    """(feature, bin, n) for every profiled feature in one scan.
+
+    The edges (a few per feature) are broadcast, and each value finds its bin by comparing with them.
+    Counts combine before the shuffle, which moves a row per feature and bin and task.
+    """
+    features = list(edges)
+    edge_rows = [(f, [float(e) for e in sorted(edges[f])]) for f in features]
+    edge_frame = small_frame(df.sparkSession, edge_rows, "feature string, edges array<double>")
+    place = F.lit(0)
+    for i in range(max(len(e) for _, e in edge_rows)):
+        reached = (F.col("value") >= F.get("edges", F.lit(i))).cast("int")
+        place = place + F.coalesce(reached, F.lit(0))
     return (
-        df.select(F.inline(F.array(*pairs)))
-        .where("bin is not null")
-        .groupBy("feature", "bin")
+        df.select(*[known(F.col(f).cast("double")).alias(f) for f in features])
+        .unpivot([], features, "feature", "value")
+        .where("value is not null")
+        .join(F.broadcast(edge_frame), "feature")
+        .groupBy("feature", place.alias("bin"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
 
@@ -49,7 +58,7 @@ def feature_profiles(
     fractions = [i * (1 / bins) for i in range(bins)] + [1.0]
     quantiles = exact_quantiles(df, features, fractions, direct_rows)
     edges = {f: unique_sorted(quantiles[f])[1:-1] for f in features}
-    counts = {(r["feature"], r["bin"]): r["n"] for r in binned_counts(df, edges).collect()}
+    counts = {(r["feature"], r["bin"]): r["n"] for r in bin_counts(df, edges).collect()}
     profiles = []
     for f in features:
         per_bin = [counts.get((f, b), 0) for b in range(len(edges[f]) + 1)]
@@ -60,8 +69,8 @@ def feature_profiles(
 
 def profile_frame(spark: SparkSession, profiles: Sequence[FeatureProfile]) -> DataFrame:
     rows = [(p.feature, list(p.edges), list(p.proportions)) for p in profiles]
-    return spark.createDataFrame(
-        rows, "feature string, edges array<double>, proportions array<double>"
+    return small_frame(
+        spark, rows, "feature string, edges array<double>, proportions array<double>"
     )
 
 
@@ -73,21 +82,32 @@ def drift_report(
     A feature without any current value has status 'no_data'. Only features that do not track the
     volatility level gate health.
     """
-    spark = current.sparkSession
     present = [p for p in profiles if p.feature in current.columns]
-    expected = profile_frame(spark, present).select(
-        "feature", F.posexplode("proportions").alias("bin", "expected")
+    per_feature = (
+        bin_counts(current, {p.feature: p.edges for p in present})
+        .groupBy("feature")
+        .agg(
+            F.map_from_entries(F.collect_list(F.struct("bin", "n"))).alias("counts"),
+            F.sum("n").alias("total"),
+        )
     )
-    counted = binned_counts(current, {p.feature: p.edges for p in present})
     floor = F.lit(PROPORTION_FLOOR)
-    share = F.coalesce("n", F.lit(0)) / F.col("total")
-    a, e = F.greatest(share, floor), F.greatest(F.col("expected"), floor)
-    totals = counted.groupBy("feature").agg(F.sum("n").alias("total"))
+
+    def term(expected: Column, place: Column) -> Column:
+        share = F.coalesce(F.try_element_at(F.col("counts"), place), F.lit(0)) / F.col("total")
+        a, e = F.greatest(share, floor), F.greatest(expected, floor)
+        return (a - e) * F.ln(a / e)
+
+    terms = F.transform("proportions", term)
     psi = (
-        expected.join(counted, ["feature", "bin"], "left")
-        .join(totals, "feature", "left")
-        .groupBy("feature")
-        .agg(F.sum((a - e) * F.ln(a / e)).alias("psi"))
+        profile_frame(current.sparkSession, present)
+        .join(F.broadcast(per_feature), "feature", "left")
+        .select(
+            "feature",
+            F.when(
+                F.col("total") > 0, F.aggregate(terms, F.lit(0.0), lambda t, x: t + x)
+            ).alias("psi"),
+        )
     )
     status = (
         F.when(F.col("psi").isNull(), "no_data")

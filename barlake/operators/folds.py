@@ -16,6 +16,7 @@ from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from barlake.workspace import small_frame
 
 RANKED_ROWS = 1_000_000  # boundary sessions up to this many rows are ranked directly
 TICKER_LENGTH = 12  # the contract's longest ticker
@@ -86,7 +87,7 @@ def walk_forward(
 
 def fold_frame(spark: SparkSession, folds: Sequence[Fold]) -> DataFrame:
     rows = [(f.number, f.train_end, f.test_start, f.test_end) for f in folds]
-    return spark.createDataFrame(rows, "fold int, train_end date, test_start date, test_end date")
+    return small_frame(spark, rows, "fold int, train_end date, test_start date, test_end date")
 
 
 def holdout_scopes(

@@ -13,10 +13,16 @@ def latest_by(df: DataFrame, keys: Sequence[str], newest_first: Sequence[Column]
 
     A rank-equals-one filter right above the window lets Catalyst place a group limit before the
     shuffle: each map task sends at most one row per key, so a key with a third of all rows costs its
-    reducer one row per map task, not the whole group.
+    reducer one row per map task, not the whole group. The leading 64-bit hash of the key lets the sort
+    decide nearly every comparison on its fixed-width prefix.
     """
-    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*newest_first))
-    return df.withColumn("_rank", rank).where("_rank = 1").drop("_rank")
+    groups = Window.partitionBy("_key", *keys).orderBy(*newest_first)
+    return (
+        df.withColumn("_key", F.xxhash64(*keys))
+        .withColumn("_rank", F.row_number().over(groups))
+        .where("_rank = 1")
+        .drop("_rank", "_key")
+    )
 
 
 def keep_last(df: DataFrame, keys: Sequence[str], arrival: Sequence[str]) -> DataFrame:

@@ -20,6 +20,7 @@ from barlake.functions.columns import log_vol
 from barlake.functions.losses import smearing
 from barlake.operators.folds import Fold, Scope
 from barlake.schema import TARGET
+from barlake.workspace import small_frame
 
 REGRESSORS = ["l5", "l21", "l63"]
 SYMBOLS = [*REGRESSORS, "y"]
@@ -71,7 +72,7 @@ def scope_moments(cells: DataFrame, scopes: Sequence[Scope]) -> DataFrame:
         on_date = sorted({o.cut_ticker for o in scopes if o.cut_date == s.cut_date and o.cut_ticker})
         fit_cells = on_date.index(s.cut_ticker) + 1 if s.cut_ticker else 0
         rows.append((s.number, s.end, s.cut_date, fit_cells))
-    bounds = spark.createDataFrame(rows, "scope int, end date, cut_date date, fit_cells int")
+    bounds = small_frame(spark, rows, "scope int, end date, cut_date date, fit_cells int")
     in_fit = (F.col("date") < F.col("cut_date")) | (
         (F.col("date") == F.col("cut_date")) & (F.col("cell") < F.col("fit_cells"))
     )
@@ -113,7 +114,7 @@ def fit_candidates(moments: Sequence[dict], part: str, models: Sequence[str]) ->
 def linear_frame(spark: SparkSession, models: Sequence[Linear]) -> DataFrame:
     rows = [(m.scope, m.model, m.intercept, *m.coefficients, m.smear) for m in models]
     schema = "scope int, model string, b0 double, b5 double, b21 double, b63 double, smear double"
-    return spark.createDataFrame(rows, schema)
+    return small_frame(spark, rows, schema)
 
 
 def linear_prediction() -> Column:
@@ -129,7 +130,8 @@ def calibrate(
     One pass for all scopes and models: the models are a handful of rows, broadcast.
     """
     spark = design.sparkSession
-    bounds = spark.createDataFrame(
+    bounds = small_frame(
+        spark,
         [(s.number, s.end, s.cut_date, s.cut_ticker or "") for s in scopes],
         "scope int, end date, cut_date date, cut_ticker string",
     )
@@ -166,7 +168,8 @@ def linear_out_of_sample(
 ) -> DataFrame:
     """Predictions on every fold's test block; blocks are disjoint, so each row meets one fold."""
     spark = design.sparkSession
-    blocks = spark.createDataFrame(
+    blocks = small_frame(
+        spark,
         [(f.number, f.test_start, f.test_end) for f in folds],
         "scope int, test_start date, test_end date",
     )

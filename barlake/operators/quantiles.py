@@ -37,10 +37,15 @@ def exact_quantiles(
 
 def _direct(df: DataFrame, columns: Sequence[str], fractions: Sequence[float]) -> dict:
     wanted = F.array(*[F.lit(float(f)) for f in fractions])
-    row = df.agg(
-        *[F.percentile(known(F.col(c).cast("double")), wanted).alias(c) for c in columns]
-    ).first()
-    return {c: list(row[c]) if row[c] is not None else [] for c in columns}
+    values = df.select(*[known(F.col(c).cast("double")).alias(c) for c in columns])
+    rows = (
+        values.unpivot([], list(columns), "column", "value")
+        .groupBy("column")
+        .agg(F.percentile("value", wanted).alias("quantiles"))
+        .collect()
+    )
+    found = {r["column"]: r["quantiles"] for r in rows}
+    return {c: list(found.get(c) or []) for c in columns}
 
 
 def interval_of(value: Column, bounds: Sequence[float]) -> Column:
@@ -173,14 +178,6 @@ def _pick(df: DataFrame, bounds, small, found) -> None:
             found[r["column"]][rank] = value
 
 
-def bin_of(value: Column, interior: Sequence[float]) -> Column:
-    """Bin number of a value among interior edges: [edge, next edge), open at both ends."""
-    place = F.lit(0)
-    for edge in sorted(interior):
-        place = place + (value >= edge).cast("int")
-    return place
-
-
 def unique_sorted(values: Sequence[float]) -> list[float]:
     kept: list[float] = []
     for v in sorted(values):

@@ -15,6 +15,7 @@ from barlake.operators.drift import FeatureProfile, drift_report
 from barlake.plans.training import card_profiles
 from barlake.schema import TARGET
 from barlake.settings import Settings
+from barlake.workspace import small_frame
 
 
 def recent_sessions(features: DataFrame, sessions: int = 63) -> DataFrame:
@@ -95,12 +96,14 @@ def monitor(
         r.asDict()
         for r in drift_report(profiles, recent, settings.psi_warn, settings.psi_alert).collect()
     ]
-    drift = spark.createDataFrame(
+    drift = small_frame(
+        spark,
         [(r["feature"], r["psi"], r["status"], r["gates_health"]) for r in drift_rows],
         "feature string, psi double, status string, gates_health boolean",
     )
     live_rows = [r.asDict() for r in live_accuracy(matured_forecasts(forecasts, features)).collect()]
-    live = spark.createDataFrame(
+    live = small_frame(
+        spark,
         [(r["model_version"], r["n_forecasts"], r["qlike"]) for r in live_rows],
         "model_version string, n_forecasts long, qlike double",
     )
@@ -117,6 +120,6 @@ def monitor(
         **verdict,
     }
     if reports_path is not None:
-        row = spark.createDataFrame([(json.dumps(report),)], "value string").coalesce(1)
+        row = small_frame(spark, [(json.dumps(report),)], "value string").coalesce(1)
         row.write.mode("overwrite").text(f"{reports_path}/report_date={now:%Y-%m-%d}")
     return report

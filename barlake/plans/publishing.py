@@ -8,7 +8,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 
-from barlake.workspace import table_exists
+from barlake.workspace import small_frame, table_exists
 
 GOLD_TABLES = ["daily_returns", "features_volatility", "monthly_summary", "volatility_forecasts"]
 
@@ -50,7 +50,7 @@ def publish(
             written.append(f"{target}/gold/{name}/{key}")
         if card is not None:
             path = f"{target}/gold/model_card/{key}"
-            row = spark.createDataFrame([(json.dumps(card),)], "value string").coalesce(1)
+            row = small_frame(spark, [(json.dumps(card),)], "value string").coalesce(1)
             row.write.mode("overwrite").text(path)
             written.append(path)
     return written

@@ -43,7 +43,7 @@ from barlake.plans.training import (
 from barlake.registry.relational import features_feed, rounded
 from barlake.schema import MODEL_FEATURES
 from barlake.settings import Settings, TreeSettings
-from barlake.workspace import materialise, work_path
+from barlake.workspace import materialise, small_frame, work_path
 
 LINEAR = Settings(candidates=("naive", "har"))
 SCORED_AT = datetime(2002, 1, 2)
@@ -188,7 +188,7 @@ def q_champion_gate(spark, sf):
     summary = cv_summary(fold_metrics(cross_validate(labelled_table(spark, sf), LINEAR)))
     name, gain, promoted = choose(summary, LINEAR.min_improvement)
     row = [(name, round(gain, 6), promoted)]
-    return spark.createDataFrame(row, "champion string, improvement double, promoted boolean")
+    return small_frame(spark, row, "champion string, improvement double, promoted boolean")
 
 
 def q_gbt_oos_metrics(spark, sf):

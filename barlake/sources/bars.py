@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barlake.schema import BAR_COLUMNS, BAR_SCHEMA
+from barlake.workspace import small_frame
 
 
 class BarSource(Protocol):
@@ -69,4 +70,4 @@ def ticker_frame(spark: SparkSession, tickers: Sequence[str]) -> DataFrame:
     cleaned = sorted({t.strip().upper() for t in tickers} - {""})
     if not cleaned:
         raise ValueError("at least one ticker is required")
-    return spark.createDataFrame([(t,) for t in cleaned], "ticker string")
+    return small_frame(spark, [(t,) for t in cleaned], "ticker string")

@@ -9,7 +9,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -39,6 +41,16 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small_frame(spark: SparkSession, rows: Sequence[Sequence], schema: str | T.StructType) -> DataFrame:
+    """A handful of driver-side rows as a local relation: its size is known to the optimizer, and reading
+    it takes no job of its own."""
+    fields = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    if not rows:
+        return spark.createDataFrame([], fields)
+    arrays = [pa.array(values) for values in zip(*rows, strict=True)]
+    return spark.createDataFrame(pa.table(arrays, names=fields.fieldNames()), fields)
+
+
 def read_table(
     spark: SparkSession, path: str, schema: T.StructType, form: str = "parquet"
 ) -> DataFrame:
