@@ -8,6 +8,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from barlake.operators.contract import split_feature_vectors
 from barlake.operators.drift import drift_report, feature_profiles, profile_frame
 from barlake.operators.folds import (
     everything,
@@ -27,7 +28,7 @@ from barlake.operators.linear import (
 )
 from barlake.operators.upsert import ForecastTable
 from barlake.plans.monitoring import health, live_accuracy, matured_forecasts, recent_sessions
-from barlake.plans.scoring import for_ticker, latest_features, score
+from barlake.plans.scoring import for_ticker, latest_features, predict_vol, score
 from barlake.plans.training import (
     Champion,
     choose,
@@ -301,3 +302,12 @@ def q_health(spark, sf):
         c: F.array_join(c, ",") for c in ("drifted_features", "regime_shift_features")
     }
     return rounded(verdict.withColumns(joined))
+
+
+def q_adhoc_forecasts(spark, sf):
+    """Feature vectors as a caller might send them: limits first, then a forecast per valid vector."""
+    spoiled = F.when(F.col("day_of_week") == 2, -F.col("rv_5d")).otherwise(F.col("rv_5d"))
+    vectors = features_feed(spark, sf).select("ticker", "date", *MODEL_FEATURES)
+    valid, _ = split_feature_vectors(vectors.withColumn("rv_5d", spoiled))
+    weekly = Champion("weekly", linear=Linear(-1, "weekly", 0.1, (0.5, 0.3, 0.2)))
+    return rounded(predict_vol(weekly, valid).select("ticker", "date", "forecast_vol"))

@@ -226,6 +226,9 @@ FORECASTING_SQL = {
     "ticker_lookup": f"""{LATEST}, one AS (SELECT * FROM latest WHERE ticker = upper('brand.13'))
       {_forecast(_MONTH_VOL, 'one', 'naive')}""",
     "forecast_upsert": _UPSERT,
+    "adhoc_forecasts": f"""SELECT ticker, date, round(exp(0.1 + 0.5 * {_LOGS.format('rv_5d')}
+        + 0.3 * {_LOGS.format('rv_21d')} + 0.2 * {_LOGS.format('rv_63d')}), 6) AS forecast_vol
+      FROM features WHERE day_of_week <> 2 AND relative_rv_21d > 0""",
     "recent_sessions": """SELECT ticker, date, round(rv_21d, 6) AS rv_21d FROM features WHERE date IN
       (SELECT DISTINCT date FROM features ORDER BY date DESC LIMIT 63)""",
     "matured_forecasts": f"""{MATURED} SELECT ticker, as_of_date, {r6('forecast_vol')}, model_version,

@@ -151,7 +151,7 @@ def q_fetch_plan(spark, sf):
 
 
 def q_fetch_plan_grouped(spark, sf):
-    lists = window_lists(planned_windows(spark, sf))
+    lists = window_lists(materialise(planned_windows(spark, sf), "windows"))
     return lists.select("start", F.array_join("tickers", ",").alias("tickers"))
 
 
