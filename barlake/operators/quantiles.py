@@ -1,7 +1,7 @@
 """Exact quantiles of many columns at any size.
 
-Up to a checked number of rows the built-in exact percentile does it in one aggregation. Beyond that, its
-per-value map would grow with the data, so the wanted order statistics are cornered instead: each pass
+Up to a checked number of rows each column's values are sorted in one group. Beyond that, a group would grow
+with the data, so the wanted order statistics are cornered instead: each pass
 counts the values between the boundaries known so far and adds finer boundaries (approximate percentiles,
 which merge from partial results) inside the intervals that still hold a wanted rank. A pass is one scan
 with a small aggregate; no pass shuffles or collects values, until an interval is small enough to be sorted.
@@ -36,12 +36,23 @@ def exact_quantiles(
 
 
 def _direct(df: DataFrame, columns: Sequence[str], fractions: Sequence[float]) -> dict:
-    wanted = F.array(*[F.lit(float(f)) for f in fractions])
     values = df.select(*[known(F.col(c).cast("double")).alias(c) for c in columns])
+
+    def at(fraction: Column) -> Column:
+        position = fraction * (F.size("sorted") - 1)
+        low = F.get("sorted", F.floor(position).cast("int"))
+        high = F.get("sorted", F.ceil(position).cast("int"))
+        return low + (high - low) * (position - F.floor(position))
+
     rows = (
         values.unpivot([], list(columns), "column", "value")
+        .where("value is not null")
         .groupBy("column")
-        .agg(F.percentile("value", wanted).alias("quantiles"))
+        .agg(F.sort_array(F.collect_list("value")).alias("sorted"))
+        .select(
+            "column",
+            F.transform(F.array(*[F.lit(float(f)) for f in fractions]), at).alias("quantiles"),
+        )
         .collect()
     )
     found = {r["column"]: r["quantiles"] for r in rows}
