@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from datetime import UTC, datetime
 
 from pyspark.sql import Column, WindowSpec
 from pyspark.sql import functions as F
@@ -20,6 +21,13 @@ def whole(value: Column) -> Column:
     return F.rint(value).cast("bigint")
 
 
+def utc_literal(moment: datetime) -> Column:
+    """A zone-free UTC timestamp, whatever the zones of the Python process and the session."""
+    if moment.tzinfo is not None:
+        moment = moment.astimezone(UTC).replace(tzinfo=None)
+    return F.lit(moment.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def log_vol(value: Column) -> Column:
     """Log of a volatility clipped at the floor; null stays null (``greatest`` alone would floor it)."""
     return F.when(value.isNotNull(), F.log(F.greatest(value, F.lit(VOL_FLOOR))))

@@ -10,7 +10,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from barlake.functions.columns import annualised_vol
+from barlake.functions.columns import annualised_vol, utc_literal
 
 
 class CheckFailure(RuntimeError):
@@ -122,7 +122,7 @@ def enforce(report: DataFrame) -> None:
 
 def freshness(bronze: DataFrame, now: datetime, warn_days: int = 3, error_days: int = 7) -> DataFrame:
     """Age of the newest landed row. No rows at all is an error."""
-    seconds = F.timestamp_diff("SECOND", F.col("newest"), F.lit(now).cast("timestamp_ntz"))
+    seconds = F.timestamp_diff("SECOND", F.col("newest"), utc_literal(now))
     status = (
         F.when(F.col("newest").isNull() | (seconds > error_days * 86400), "error")
         .when(seconds > warn_days * 86400, "warn")

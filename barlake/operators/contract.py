@@ -17,8 +17,10 @@ from pyspark.sql import types as T
 
 from barlake.functions.columns import known
 from barlake.schema import BAR_COLUMNS, BAR_SCHEMA, PRICE_COLUMNS, REASON
+from barlake.workspace import materialise
 
 PRICE_TOLERANCE = 1e-6
+BROADCAST_KEYS = 500_000  # repeated (date, ticker) keys that may be broadcast, some 20 MB
 TICKER_PATTERN = r"^[A-Z0-9.\-^=]{1,12}$"
 
 
@@ -87,22 +89,28 @@ def bar_rules(as_of: date) -> list[Rule]:
     return rules
 
 
-def flag_bars(df: DataFrame, as_of: date, keys_unique: bool = False) -> DataFrame:
+def flag_bars(
+    df: DataFrame, as_of: date, keys_unique: bool = False, broadcast_keys: int = BROADCAST_KEYS
+) -> DataFrame:
     """All input columns plus the reason.
 
-    Every copy of a repeated (date, ticker) is rejected. Copies are found by a partial-aggregated count
-    and joined back, so no window ever holds a whole key group; a hot key on the joined side is split
-    by AQE. Callers that have just reduced to one row per key pass ``keys_unique`` and skip both steps.
+    Every copy of a repeated (date, ticker) is rejected. Repeated keys are found by a partial-aggregated
+    count and written down; up to a checked number of them they are broadcast, so the bars themselves are
+    not shuffled at all. Beyond that it is a shuffle join, whose hot keys AQE splits. Callers that have
+    just reduced to one row per key pass ``keys_unique`` and skip both steps.
     """
     check_structure(df)
     rules = bar_rules(as_of)
     if keys_unique:
         return df.withColumn(REASON, reason_column(rules))
-    repeated = (
+    repeated = materialise(
         df.groupBy(F.col("date").alias("_d"), F.col("ticker").alias("_t"))
         .agg(F.count(F.lit(1)).alias("_copies"))
-        .where("_copies > 1")
+        .where("_copies > 1"),
+        "repeated-keys",
     )
+    if repeated.count() <= broadcast_keys:
+        repeated = F.broadcast(repeated)
     same_key = F.col("date").eqNullSafe(F.col("_d")) & F.col("ticker").eqNullSafe(F.col("_t"))
     rules.append(Rule("key:not_unique", F.col("_copies").isNotNull()))
     return (

@@ -1,10 +1,10 @@
 """Exact quantiles of many columns at any size.
 
-Up to a checked number of rows each column's values are sorted in one group. Beyond that, a group would grow
-with the data, so the wanted order statistics are cornered instead: each pass
-counts the values between the boundaries known so far and adds finer boundaries (approximate percentiles,
-which merge from partial results) inside the intervals that still hold a wanted rank. A pass is one scan
-with a small aggregate; no pass shuffles or collects values, until an interval is small enough to be sorted.
+Up to a checked number of rows each column's values are sorted in one group. Beyond that, a group would
+grow with the data, so the wanted order statistics are cornered instead: each pass counts the values
+between the boundaries known so far and adds finer boundaries (approximate percentiles, which merge from
+partial results) inside the intervals that still hold a wanted rank. A pass is two scans with a small
+aggregate each; no values are shuffled or collected until an interval is small enough to be sorted.
 """
 
 from __future__ import annotations
@@ -92,7 +92,10 @@ def _cornered(
     if small:
         _pick(df, bounds, small, found)
     totals = {c: sum(counts[c].values()) for c in columns}
-    return {c: [_interpolate(found[c], totals[c], f) for f in fractions] if totals[c] else [] for c in columns}
+    return {
+        c: [_interpolate(found[c], totals[c], f) for f in fractions] if totals[c] else []
+        for c in columns
+    }
 
 
 def _ranks(total: int, fractions: Sequence[float]) -> set[int]:

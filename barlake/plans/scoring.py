@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barlake.functions.columns import log_vol
+from barlake.functions.columns import log_vol, utc_literal
 from barlake.operators.latest import latest_by
 from barlake.operators.trees import predicted_log, tree_inputs
 from barlake.plans.training import Champion
@@ -61,7 +61,7 @@ def score(
             (lag > stale_after_days).alias("is_stale"),
             F.lit(card["version"]).alias("model_version"),
             F.lit(card["champion"]).alias("model_name"),
-            F.lit(scored_at).cast("timestamp_ntz").alias("scored_at"),
+            utc_literal(scored_at).alias("scored_at"),
             F.col("date").alias("as_of_date"),
         )
         .select(*FORECAST_SCHEMA.fieldNames())

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from barlake.functions.columns import utc_literal
 from barlake.schema import BRONZE_SCHEMA, QUARANTINE_SCHEMA
 from barlake.workspace import read_table
 
@@ -115,7 +116,7 @@ def stamp(df: DataFrame, source: str, run_id: str, ingest_date: date, ingested_a
     """Lineage and partition columns of one run."""
     return df.withColumns(
         {
-            "ingested_at": F.lit(ingested_at).cast("timestamp_ntz"),
+            "ingested_at": utc_literal(ingested_at),
             "source": F.lit(source),
             "ingest_date": F.lit(ingest_date),
             "run_id": F.lit(run_id),

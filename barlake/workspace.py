@@ -41,6 +41,13 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop_work_tables(spark: SparkSession) -> None:
+    """Delete the work tables of this application; frames that still scan them become unreadable."""
+    folder = f"{shared_root(spark)}/barlake/{spark.sparkContext.applicationId}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def small_frame(spark: SparkSession, rows: Sequence[Sequence], schema: str | T.StructType) -> DataFrame:
     """A handful of driver-side rows as a local relation: its size is known to the optimizer, and reading
     it takes no job of its own."""
@@ -48,6 +55,8 @@ def small_frame(spark: SparkSession, rows: Sequence[Sequence], schema: str | T.S
     if not rows:
         return spark.createDataFrame([], fields)
     arrays = [pa.array(values) for values in zip(*rows, strict=True)]
+    if any(pa.types.is_null(a.type) for a in arrays):  # nothing to tell the column's type from
+        return spark.createDataFrame([tuple(r) for r in rows], fields)
     return spark.createDataFrame(pa.table(arrays, names=fields.fieldNames()), fields)
 
 

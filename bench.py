@@ -1,8 +1,8 @@
 """Time the headline queries and print one JSON line.
 
-BENCH_SF_DIR names the data (default /root/testdata/sf0.1), BENCH_CPUS the local cores (default 8). Every query
-starts from the raw tables and runs to completion into a sink that discards its rows; nothing is cached
-between queries.
+BENCH_SF_DIR names the data (default /root/testdata/sf0.1), BENCH_CPUS the local cores (default 8). Every
+query starts from the raw tables and runs to completion into a sink that discards its rows; nothing is
+cached between queries.
 """
 
 from __future__ import annotations

@@ -67,8 +67,9 @@ def differences(df, con, sql: str) -> str | None:
     a = Counter(tuple(plain(v) for v in row) for row in ours)
     b = Counter(tuple(plain(v) for v in row) for row in theirs)
     if a != b:
-        return f"values: ours {sorted((a - b).items(), key=str)[:3]} theirs {sorted((b - a).items(), key=str)[:3]}" \
-            f" ({sum((a - b).values())} rows)"
+        more, fewer = a - b, b - a
+        some = [sorted(c.items(), key=str)[:3] for c in (more, fewer)]
+        return f"values: ours {some[0]} theirs {some[1]} ({sum(more.values())} rows)"
     return None
 
 
@@ -79,8 +80,8 @@ def main() -> None:
 
     sf_dir, wanted = sys.argv[1], sys.argv[2:]
     spark = build_session(
-        master="local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "10g",
-        "spark.ui.showConsoleProgress": "false"}
+        master="local[8]",
+        **{"spark.driver.memory": "10g", "spark.ui.showConsoleProgress": "false"},
     )
     spark.sparkContext.setLogLevel("ERROR")
     con, sql = duck(sf_dir), all_sql()
