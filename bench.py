@@ -37,6 +37,7 @@ HEADLINE = [
     "psi_report",
     "health",
     "event_bars",
+    "pipeline_summary",
 ]
 
 
