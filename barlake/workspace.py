@@ -7,7 +7,6 @@ pushdown for the passes that follow, and is read with its known schema (no foote
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Sequence
 
@@ -18,13 +17,13 @@ from pyspark.sql import types as T
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The cluster's shared folder; a temporary one only for a local session that names none."""
+    """The folder all executors share: ``spark.checkpoint.dir``, or a corner of the warehouse where it is unset.
+
+    The setting is only read: it is a static one that a running session cannot change.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir must name a folder shared by all executors")
-        root = tempfile.mkdtemp(prefix="barlake-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_work"
     return root.rstrip("/")
 
 
