@@ -7,6 +7,7 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import DataFrame
 
 #: ASCII white space as the word contracts mean it; ``bytes.split()`` splits at exactly these.
 SPACE = " \t\n\r\x0b\x0c"
@@ -52,6 +53,19 @@ def segment_sums(values: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return running[ends] - running[ends - lengths]
 
 
+#: ASCII marks but for the apostrophe, which may begin a contraction.
+MARKS = b".,!?;:$%&*#|()[]{}\"-_+=/<>@~^`\\"
+
+
+def split_marks(piece: bytes) -> tuple[bytes, ...]:
+    """The piece, or its two parts if it ends in ASCII marks after an ASCII letter: the vocabularies' splitters
+    cut between a letter and a mark whatever surrounds them, so the parts can be encoded alone."""
+    base = piece.rstrip(MARKS)
+    if len(base) < len(piece) and base[-1:].isalpha() and b"<|" not in piece:
+        return base, piece[len(base) :]
+    return (piece,)
+
+
 class PieceTable:
     """Memo from a piece of text to its values, kept as one ragged array.
 
@@ -102,3 +116,16 @@ class PieceTable:
         """Values of the rows one after another, and how many each row has."""
         lengths = self.lengths[rows]
         return self.values[ragged_index(self.starts[rows], lengths)], lengths
+
+
+def filter_texts(docs: DataFrame, keeps: Callable[[list[bytes]], np.ndarray]) -> DataFrame:
+    """The rows of ``docs`` whose text (null: empty) ``keeps`` marks, with all their columns; nothing is shuffled."""
+    at = docs.columns.index("text")
+
+    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = byte_texts(batch.column(at))
+            for i, j in slices(texts):
+                yield batch.slice(i, j - i).filter(pa.array(keeps(texts[i:j]), pa.bool_()))
+
+    return docs.mapInArrow(kept, docs.schema)

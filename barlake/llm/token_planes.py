@@ -16,6 +16,7 @@ and read through ``pyarrow.fs``, so the folder may be on any store it knows.
 
 from __future__ import annotations
 
+import os
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -28,11 +29,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_schema
 
-from barlake.llm.ragged import SLICE_BYTES, PieceTable, byte_texts, slices, starts_of
+from barlake.llm.ragged import SLICE_BYTES, PieceTable, byte_texts, slices, split_marks, starts_of
 
 #: Ids in a block.
 BLOCK_IDS = 1 << 16
 PLANES = 4
+BETWEEN = "<|startoftext|>"
 MAGIC = b"IDPLANE1"
 CHUNK = np.dtype([("ids", "<u4"), ("crc", "<u4"), ("offset", "<u8"), ("planes", "<u4", (PLANES,))])
 DOCUMENTS = pa.schema([("doc_id", pa.int64()), ("part", pa.string()), ("first", pa.int64()), ("n_tokens", pa.int64())])
@@ -67,29 +69,33 @@ def store_of(path: str) -> tuple[pa.fs.FileSystem, str]:
 def word_table(path: str) -> PieceTable:
     """Memo of the ids of words, as the tokenizers library encodes them with the vocabulary at ``path``.
 
-    A trailing run of ASCII marks after an ASCII letter is always a piece of its own to the vocabulary's
-    splitter, so such a word's ids are those of its two parts, and the library sees each part once.
+    The library sees each distinct part of a word once.
     """
     if path not in _tables:
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
         tokenizer.no_truncation()
         tokenizer.no_padding()
-        parts: dict[bytes, list[int]] = {}
-
+        between = tokenizer.token_to_id(BETWEEN)
         def encode(words: list[bytes]) -> list[list[int]]:
-            split = []
-            for w in words:
-                base = w.rstrip(b".,!?;:$%&*#|()[]{}\"-_+=/<>@~^`")
-                cut = len(base) < len(w) and len(base) and base[-1:].isalpha() and b"<|" not in w
-                split.append((base, w[len(base) :]) if cut else (w,))
-            parts.clear()
-            new = list(dict.fromkeys(p for s in split for p in s))
-            for i in range(0, len(new), 2000):
-                some = new[i : i + 2000]
-                found = tokenizer.encode_batch_fast([p.decode() for p in some], add_special_tokens=False)
-                parts.update(zip(some, [e.ids for e in found]))
+            split = [split_marks(w) for w in words]
+            new, parts = dict.fromkeys(p for s in split for p in s), {}
+            alone = [p for p in new if b"<|" in p]
+            for p, e in zip(alone, tokenizer.encode_batch_fast([p.decode() for p in alone], add_special_tokens=False)):
+                parts[p] = e.ids
+            # words go to the library with a special token between them, which it takes out before all else
+            plain = [p for p in new if b"<|" not in p]
+            for i in range(0, len(plain), 1000):
+                some = plain[i : i + 1000]
+                ids = tokenizer.encode(BETWEEN.join(p.decode() for p in some), add_special_tokens=False).ids
+                ids.append(between)
+                at = 0
+                for p in some:
+                    end = ids.index(between, at)
+                    parts[p] = ids[at:end]
+                    at = end + 1
             return [parts[s[0]] if len(s) == 1 else parts[s[0]] + parts[s[1]] for s in split]
 
         _tables[path] = PieceTable(encode, np.uint32)
