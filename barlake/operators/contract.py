@@ -1,6 +1,7 @@
 """Row contracts: split rows into valid and rejected with every broken rule named.
 
-Structural breaks (a missing column, a wrong type) raise before any job starts. Row breaks are labelled
+Structural breaks (a missing column, a type that can't hold the values) raise before any job starts. Values of
+other types are coerced; one that can't be is a break of its row. Row breaks are labelled
 in one projection: rules are sorted by label when the plan is built, so the reason string needs no
 per-row array, sort or Python.
 """
@@ -50,25 +51,35 @@ def check_structure(df: DataFrame, expected: T.StructType = BAR_SCHEMA) -> None:
         elif not _coercible(got, field.dataType):
             problems.append(f"dtype: {field.name} is {got.simpleString()}")
     if problems:
-        raise ContractViolation("price data broke its contract: " + "; ".join(problems))
+        raise ContractViolation("bars without the agreed columns: " + "; ".join(problems))
 
 
 def _coercible(got: T.DataType, wanted: T.DataType) -> bool:
     if isinstance(wanted, T.DateType):
-        return isinstance(got, T.DateType | T.TimestampType | T.TimestampNTZType)
-    if isinstance(wanted, T.StringType):
-        return isinstance(got, T.StringType)
-    return isinstance(got, T.NumericType)
+        return isinstance(got, T.DateType | T.TimestampType | T.TimestampNTZType | T.StringType)
+    return isinstance(got, T.NumericType | T.StringType)
+
+
+def _coerced(name: str) -> Column:
+    return F.col(name).try_cast(BAR_SCHEMA[name].dataType)
 
 
 def _typed(name: str) -> Column:
-    value = F.col(name).cast(BAR_SCHEMA[name].dataType)
-    return known(value) if isinstance(BAR_SCHEMA[name].dataType, T.DoubleType) else value
+    """The value as the schema has it; null where it can't be coerced, or is no number."""
+    return known(_coerced(name)) if isinstance(BAR_SCHEMA[name].dataType, T.DoubleType) else _coerced(name)
 
 
-def bar_rules(as_of: date) -> list[Rule]:
+def bar_rules(as_of: date, given: T.StructType = BAR_SCHEMA) -> list[Rule]:
+    """The rules for bars that come with the types of ``given``."""
     v = {name: _typed(name) for name in BAR_COLUMNS}
-    rules = [Rule(f"{name}:not_nullable", v[name].isNull()) for name in BAR_COLUMNS]
+    rules = []
+    for name in BAR_COLUMNS:
+        missing = v[name].isNull()
+        if given[name].dataType != BAR_SCHEMA[name].dataType:
+            odd = F.col(name).isNotNull() & _coerced(name).isNull()
+            rules.append(Rule(f"{name}:coerce_dtype", odd))
+            missing = missing & ~odd
+        rules.append(Rule(f"{name}:not_nullable", missing))
     rules += [Rule(f"{name}:greater_than(0)", v[name] <= 0) for name in PRICE_COLUMNS]
     rules.append(Rule("volume:greater_than_or_equal_to(0)", v["volume"] < 0))
     rules.append(Rule(f"ticker:str_matches('{TICKER_PATTERN}')", ~v["ticker"].rlike(TICKER_PATTERN)))
@@ -89,6 +100,11 @@ def bar_rules(as_of: date) -> list[Rule]:
     return rules
 
 
+def session_key() -> Column:
+    """The day of a bar as a key: two stamps on one day are one session, values that are no date stay apart."""
+    return F.coalesce(_coerced("date").cast("string"), F.col("date").cast("string"))
+
+
 def flag_bars(
     df: DataFrame, as_of: date, keys_unique: bool = False, broadcast_keys: int = BROADCAST_KEYS
 ) -> DataFrame:
@@ -97,21 +113,22 @@ def flag_bars(
     Every copy of a repeated (date, ticker) is rejected. Repeated keys are found by a partial-aggregated
     count and written down; up to a checked number of them they are broadcast, so the bars themselves are
     not shuffled at all. Beyond that it is a shuffle join, whose hot keys AQE splits. Callers that have
-    just reduced to one row per key pass ``keys_unique`` and skip both steps.
+    just reduced to one row per key pass ``keys_unique`` and skip both steps. Without it, the count of
+    repeated keys runs when this is called.
     """
     check_structure(df)
-    rules = bar_rules(as_of)
+    rules = bar_rules(as_of, df.schema)
     if keys_unique:
         return df.withColumn(REASON, reason_column(rules))
     repeated = materialise(
-        df.groupBy(F.col("date").alias("_d"), F.col("ticker").alias("_t"))
+        df.groupBy(session_key().alias("_d"), _typed("ticker").alias("_t"))
         .agg(F.count(F.lit(1)).alias("_copies"))
         .where("_copies > 1"),
         "repeated-keys",
     )
     if repeated.count() <= broadcast_keys:
         repeated = F.broadcast(repeated)
-    same_key = F.col("date").eqNullSafe(F.col("_d")) & F.col("ticker").eqNullSafe(F.col("_t"))
+    same_key = session_key().eqNullSafe(F.col("_d")) & _typed("ticker").eqNullSafe(F.col("_t"))
     rules.append(Rule("key:not_unique", F.col("_copies").isNotNull()))
     return (
         df.join(repeated, same_key, "left")

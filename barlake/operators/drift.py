@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barlake.functions.columns import known
-from barlake.operators.quantiles import DIRECT_ROWS, exact_quantiles, unique_sorted
+from barlake.operators.quantiles import SORTED_ROWS, exact_quantiles, unique_sorted
 from barlake.schema import LEVEL_FEATURES, MODEL_FEATURES
 from barlake.workspace import small_frame
 
@@ -52,11 +52,11 @@ def feature_profiles(
     df: DataFrame,
     features: Sequence[str] = tuple(MODEL_FEATURES),
     bins: int = 10,
-    direct_rows: int = DIRECT_ROWS,
+    sorted_rows: int = SORTED_ROWS,
 ) -> list[FeatureProfile]:
     """Decile edges of each feature and the share of rows in every bin."""
     fractions = [i * (1 / bins) for i in range(bins)] + [1.0]
-    quantiles = exact_quantiles(df, features, fractions, direct_rows)
+    quantiles = exact_quantiles(df, features, fractions, sorted_rows)
     edges = {f: unique_sorted(quantiles[f])[1:-1] for f in features}
     counts = {(r["feature"], r["bin"]): r["n"] for r in bin_counts(df, edges).collect()}
     profiles = []

@@ -18,9 +18,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from barlake.workspace import small_frame
 
-RANKED_ROWS = 1_000_000  # boundary sessions up to this many rows are ranked directly
-TICKER_LENGTH = 12  # the contract's longest ticker
-FAR = date(9999, 12, 31)
 
 
 @dataclass(frozen=True)
@@ -74,10 +71,8 @@ def walk_forward(
     days = sorted(set(sessions))
     spare = len(days) - min_train_days - embargo_days
     if spare < n_splits:
-        raise ValueError(
-            f"not enough history for {n_splits} folds: {len(days)} sessions, "
-            f"more than {min_train_days + embargo_days + n_splits} needed"
-        )
+        needed = min_train_days + embargo_days + n_splits
+        raise ValueError(f"too few sessions for {n_splits} folds: {len(days)}, at least {needed} are needed")
     block = min(test_days, spare // n_splits)
     starts = range(len(days) - n_splits * block, len(days), block)
     return [
@@ -95,7 +90,6 @@ def holdout_scopes(
     calendar: Sequence[tuple[date, int]],
     ends: Sequence[tuple[int, date]],
     holdout: float = 0.2,
-    ranked_rows: int = RANKED_ROWS,
 ) -> list[Scope]:
     """Split each training set by position in (date, ticker) order without ranking all rows.
 
@@ -113,15 +107,16 @@ def holdout_scopes(
         drafts.append((number, end, rows, fit_rows, days[at], within))
         if within:
             wanted.add((days[at], within))
-    session_rows = dict(calendar)
-    small = sum(session_rows[d] for d in {d for d, _ in wanted}) <= ranked_rows
-    find = ranked_tickers if small else narrowed_tickers
-    tickers = find(labelled, wanted) if wanted else {}
+    tickers = ranked_tickers(labelled, wanted) if wanted else {}
     return [Scope(*draft[:5], tickers.get(draft[4:])) for draft in drafts]
 
 
 def ranked_tickers(df: DataFrame, wanted: set[tuple[date, int]]) -> dict[tuple[date, int], str]:
-    """The k-th ticker of a session for each (session, k), for sessions of a checked size."""
+    """The k-th ticker of a session for each (session, k).
+
+    A session has one row per ticker, whatever the length of the history, and only sessions that hold a cut
+    are sorted: one for each fold, by two columns.
+    """
     rank = F.row_number().over(Window.partitionBy("date").orderBy("ticker"))
     hit = reduce(or_, [(F.col("date") == F.lit(d)) & (F.col("k") == k) for d, k in wanted])
     sessions = df.where(F.col("date").isin([d for d, _ in wanted])).select("date", "ticker")
@@ -129,46 +124,6 @@ def ranked_tickers(df: DataFrame, wanted: set[tuple[date, int]]) -> dict[tuple[d
     return {(r["date"], r["k"]): r["ticker"] for r in rows}
 
 
-def narrowed_tickers(df: DataFrame, wanted: set[tuple[date, int]]) -> dict[tuple[date, int], str]:
-    """The same by prefix counts, for sessions of any size.
-
-    Each round counts the tickers of a session by a prefix two characters longer than the one already
-    known, which the ticker pattern bounds to about 1,600 groups, and keeps the group holding the k-th
-    ticker.
-    """
-    known = {target: ("", target[1]) for target in wanted}
-    for length in range(2, TICKER_LENGTH + 2, 2):
-        open_targets = {t for t, (prefix, _) in known.items() if len(prefix) == length - 2}
-        if not open_targets:
-            break
-        in_play = reduce(
-            or_,
-            [
-                (F.col("date") == F.lit(t[0])) & F.col("ticker").startswith(known[t][0])
-                for t in open_targets
-            ],
-        )
-        groups = (
-            df.where(in_play)
-            .groupBy("date", F.substring("ticker", 1, length).alias("prefix"))
-            .agg(F.count(F.lit(1)).alias("n"))
-            .collect()
-        )
-        for target in open_targets:
-            prefix, k = known[target]
-            mine = sorted(
-                (g["prefix"], g["n"])
-                for g in groups
-                if g["date"] == target[0] and g["prefix"].startswith(prefix)
-            )
-            for group, n in mine:
-                if k <= n:
-                    known[target] = (group, k)
-                    break
-                k -= n
-    return {target: prefix for target, (prefix, _) in known.items()}
-
-
 def fold_ends(folds: Sequence[Fold]) -> list[tuple[int, date]]:
     return [(f.number, f.train_end) for f in folds]
 

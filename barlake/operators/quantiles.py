@@ -1,10 +1,10 @@
-"""Exact quantiles of many columns at any size.
+"""Exact quantiles of many columns at any size, by one method.
 
-Up to a checked number of rows each column's values are sorted in one group. Beyond that, a group would
-grow with the data, so the wanted order statistics are cornered instead: each pass counts the values
-between the boundaries known so far and adds finer boundaries (approximate percentiles, which merge from
-partial results) inside the intervals that still hold a wanted rank. A pass is two scans with a small
-aggregate each; no values are shuffled or collected until an interval is small enough to be sorted.
+A group with all of a column's values would grow with the data, so the wanted order statistics are cornered:
+each pass counts the values between the boundaries known so far and adds finer boundaries (approximate
+percentiles, which merge from partial results) inside the intervals that still hold a wanted rank. A pass is two
+scans with a small aggregate each; no values are shuffled or collected until an interval holds no more values
+than one task sorts at once.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from barlake.functions.columns import known
 
-DIRECT_ROWS = 1_000_000
+SORTED_ROWS = 100_000  # an interval of so many values is sorted; the result doesn't depend on it
 GRID = 1024
 
 
@@ -26,37 +26,10 @@ def exact_quantiles(
     df: DataFrame,
     columns: Sequence[str],
     fractions: Sequence[float],
-    direct_rows: int = DIRECT_ROWS,
+    sorted_rows: int = SORTED_ROWS,
 ) -> dict[str, list[float]]:
     """Linearly interpolated quantiles of the non-null values of each column; [] for an empty column."""
-    rows = df.count()
-    if rows <= direct_rows:
-        return _direct(df, columns, fractions)
-    return _cornered(df, columns, fractions, direct_rows)
-
-
-def _direct(df: DataFrame, columns: Sequence[str], fractions: Sequence[float]) -> dict:
-    values = df.select(*[known(F.col(c).cast("double")).alias(c) for c in columns])
-
-    def at(fraction: Column) -> Column:
-        position = fraction * (F.size("sorted") - 1)
-        low = F.get("sorted", F.floor(position).cast("int"))
-        high = F.get("sorted", F.ceil(position).cast("int"))
-        return low + (high - low) * (position - F.floor(position))
-
-    rows = (
-        values.unpivot([], list(columns), "column", "value")
-        .where("value is not null")
-        .groupBy("column")
-        .agg(F.sort_array(F.collect_list("value")).alias("sorted"))
-        .select(
-            "column",
-            F.transform(F.array(*[F.lit(float(f)) for f in fractions]), at).alias("quantiles"),
-        )
-        .collect()
-    )
-    found = {r["column"]: r["quantiles"] for r in rows}
-    return {c: list(found.get(c) or []) for c in columns}
+    return _cornered(df, columns, fractions, sorted_rows)
 
 
 def interval_of(value: Column, bounds: Sequence[float]) -> Column:

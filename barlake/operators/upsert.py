@@ -42,7 +42,8 @@ class ForecastTable:
         order = [F.col("_batch").desc(), F.col("scored_at").desc()]
         merged = materialise(latest_by(both, self.key, order).drop("_batch"), "forecast-merge")
         (
-            merged.write.mode("overwrite")
+            merged.hint("rebalance", "as_of_date")  # a date's rows together, a large date in parts
+            .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy("as_of_date")
             .parquet(self.path)

@@ -35,13 +35,13 @@ def matured_forecasts(forecasts: DataFrame, features: DataFrame) -> DataFrame:
 
 
 def live_accuracy(matured: DataFrame) -> DataFrame:
-    """The five metrics per model version, and over all versions (version null)."""
+    """The five metrics per model version, and over all versions (version null), in one pass."""
     truth = log_vol(F.col(TARGET))
     forecast = F.ln("forecast_vol")
-    aggregates = [F.count(F.lit(1)).alias("n_forecasts"), *metric_columns(truth, forecast)]
-    per_version = matured.groupBy("model_version").agg(*aggregates)
-    overall = matured.agg(*aggregates).withColumn("model_version", F.lit(None).cast("string"))
-    return per_version.unionByName(overall.where("n_forecasts > 0"))
+    measured = matured.rollup("model_version").agg(
+        F.count(F.lit(1)).alias("n_forecasts"), *metric_columns(truth, forecast)
+    )
+    return measured.where("n_forecasts > 0")
 
 
 def health(

@@ -81,7 +81,7 @@ def run_daily(
     monitoring report is unhealthy."""
     now = now or datetime.now(UTC).replace(tzinfo=None)
     models = f"{lake.root}/models"
-    summary: dict = {"landed": ingest(lake, source, tickers, as_of, settings, now=now).rows_landed}
+    summary: dict = {"landed": ingest(lake, source, tickers, as_of, settings, now=now)["rows_landed"]}
     marts = build_marts(lake, settings, now)
     features = marts["features_volatility"]
 

@@ -27,6 +27,7 @@ from barlake.operators.linear import (
     scope_moments,
 )
 from barlake.operators.upsert import ForecastTable
+from barlake.operators.quantiles import exact_quantiles
 from barlake.plans.monitoring import health, live_accuracy, matured_forecasts, recent_sessions
 from barlake.plans.scoring import for_ticker, latest_features, predict_vol, score
 from barlake.plans.training import (
@@ -243,9 +244,8 @@ def q_forecast_upsert(spark, sf):
     table = ForecastTable(spark, work_path(spark, "forecasts"))
     monthly = Champion("naive", linear=Linear(-1, "naive", 0.0, (0.0, 1.0, 0.0)))
     weekly = Champion("weekly", linear=Linear(-1, "weekly", 0.0, (1.0, 0.0, 0.0)))
-    recent = recent_sessions(features, 10)
     newest = latest_features(features)
-    table.upsert(score(recent, monthly, card("naive", "v1"), SCORED_AT))
+    table.upsert(score(features, monthly, card("naive", "v1"), SCORED_AT))
     table.upsert(score(newest, weekly, card("weekly", "v1"), SCORED_AT + timedelta(days=1)))
     table.upsert(score(newest, weekly, card("weekly", "v2"), SCORED_AT + timedelta(days=1)))
     return rounded(table.read().drop("is_stale"))
@@ -257,12 +257,10 @@ def q_recent_sessions(spark, sf):
 
 
 def backdated(spark, sf) -> tuple[DataFrame, DataFrame]:
-    """Features, and persistence forecasts for every row of their last 60 days."""
+    """Features, and persistence forecasts for every one of their rows."""
     features = features_table(spark, sf)
-    since = F.date_sub(features.agg(F.max("date")).scalar(), 60)
     model = Champion("naive", linear=Linear(-1, "naive", 0.0, (0.0, 1.0, 0.0)))
-    past = features.where(F.col("date") >= since)
-    return features, score(past, model, card("naive", "v1"), SCORED_AT)
+    return features, score(features, model, card("naive", "v1"), SCORED_AT)
 
 
 def q_matured_forecasts(spark, sf):
@@ -285,6 +283,20 @@ def q_drift_profile(spark, sf):
     )
 
 
+def q_quantiles_cornered(spark, sf):
+    """Deciles of every feature where an interval may hold two thousand values only: several passes of cornering."""
+    fractions = [i / 10 for i in range(11)]
+    found = exact_quantiles(labelled_table(spark, sf), MODEL_FEATURES, fractions, sorted_rows=2000)
+    rows = [(f, i, v) for f in MODEL_FEATURES for i, v in enumerate(found[f])]
+    return rounded(small_frame(spark, rows, "feature string, decile int, value double"))
+
+
+def q_coefficients(spark, sf):
+    """What a promoted linear model tells of its features."""
+    labelled = labelled_table(spark, sf)
+    return rounded(feature_importance(spark, final_model(labelled, "har")))
+
+
 def q_psi_report(spark, sf):
     features = features_table(spark, sf)
     profiles = feature_profiles(labelled_rows(features))

@@ -33,8 +33,8 @@ from barlake.sources.feeds import (
     raw_bars,
     table,
 )
-from barlake.sources.lake import Lake
-from barlake.streaming.ingest import land_stream, trade_bar_stream, trade_bars
+from barlake.sources.lake import Lake, MixedSources
+from barlake.streaming.ingest import keep_trade_bars, land_stream, trade_bar_stream, trade_bars
 from barlake.workspace import materialise, small_frame, work_path
 
 FEED_SETTINGS = replace(LINEAR, source=FEED, start_date=date(1995, 1, 1))
@@ -89,8 +89,9 @@ def q_lake_partition_pruning(spark, sf):
 def q_run_manifest(spark, sf):
     """The whole feed as one ingest run, and its manifest read back."""
     lake = new_lake(spark)
-    ingest(lake, feed_source(spark, sf), brands(spark, sf), AS_OF, FEED_SETTINGS, "first")
-    windows = F.map_entries("windows")
+    run = ingest(lake, feed_source(spark, sf), brands(spark, sf), AS_OF, FEED_SETTINGS, "first")
+    plan = spark.read.parquet(run["windows_path"])
+    starts = [str(r["start"]) for r in plan.select("start").distinct().orderBy("start").collect()]
     return lake.manifests().select(
         "run_id",
         "source",
@@ -98,8 +99,8 @@ def q_run_manifest(spark, sf):
         "rows_landed",
         "rows_quarantined",
         "duplicates_dropped",
-        F.array_join(F.transform(windows, lambda w: w["key"]), ",").alias("window_starts"),
-        F.element_at(F.transform(windows, lambda w: F.size(w["value"])), 1).alias("tickers"),
+        F.lit(",".join(starts)).alias("window_starts"),
+        F.lit(plan.count()).cast("int").alias("tickers"),
     )
 
 
@@ -190,7 +191,7 @@ def q_model_card(spark, sf):
         c["data"]["n_tickers"],
         c["data"]["start"],
         c["data"]["end"],
-        ",".join(c["data"]["tickers"]),
+        ",".join(sorted(r[0] for r in spark.read.parquet(c["data"]["tickers_path"]).collect())),
         c["gate"]["champion_improvement_vs_naive"],
         c["cv"]["naive"]["qlike_mean"],
         c["cv"]["har"]["rmse_log_mean"],
@@ -239,8 +240,8 @@ def q_pipeline_summary(spark, sf):
     return counts.unionByName(small_frame(spark, steps, "name string, rows long"))
 
 
-def q_stream_ingest_counts(spark, sf):
-    """The raw feed as a file stream into a lake: rows landed, quarantined and staged."""
+def streamed(spark, sf) -> Lake:
+    """The raw feed as a file stream into a lake."""
     lake = new_lake(spark)
     inbox = work_path(spark, "inbox")
     raw_bars(spark, sf).write.partitionBy("run").parquet(inbox)
@@ -257,18 +258,70 @@ def q_stream_ingest_counts(spark, sf):
         datetime(2002, 1, 1),
     )
     query.awaitTermination()
+    return lake
+
+
+def q_stream_ingest_counts(spark, sf):
+    """Rows landed, quarantined and staged by the stream."""
+    lake = streamed(spark, sf)
     return counted(
         {"bronze": lake.bronze(), "quarantine": lake.quarantine(), "staged": staged(lake.bronze())}
     )
 
 
+def q_stream_ingest(spark, sf):
+    """The bars the stream has landed."""
+    return rounded(streamed(spark, sf).bronze().select(*BAR_COLUMNS, "source", "ingest_date", "run_id"))
+
+
+def q_stream_manifest(spark, sf):
+    """What the stream's manifest says of its batch."""
+    counts = ("rows_fetched", "rows_landed", "rows_quarantined", "duplicates_dropped")
+    return streamed(spark, sf).manifests().select("run_id", "source", *counts)
+
+
+def q_other_vendor_refused(spark, sf):
+    """A lake with the feed's bars: whether a batch run and a stream of another vendor are refused."""
+    lake = new_lake(spark)
+    lake.land(landed_bars(spark, sf))
+    other = TableSource("other", raw_bars(spark, sf), ["run", *ARRIVAL])
+
+    def stream():
+        land_stream(raw_bars(spark, sf), lake, "other", "s", AS_OF, "", ["run"], datetime(2002, 1, 1))
+
+    def refused(attempt) -> bool:
+        try:
+            attempt()
+        except MixedSources:
+            return True
+        return False
+
+    batch = refused(lambda: ingest(lake, other, brands(spark, sf), AS_OF, FEED_SETTINGS))
+    rows = [("batch", batch, lake.bronze().count()), ("stream", refused(stream), lake.bronze().count())]
+    return small_frame(spark, rows, "path string, refused boolean, bars long")
+
+
+def q_model_in_use(spark, sf):
+    """Versions v9 and then v10 are promoted: forecasts are those of v10, the last."""
+    settings = replace(LINEAR, candidates=("naive", "har"), min_improvement=-1.0)
+    models = work_path(spark, "models")
+    features = features_table(spark, sf)
+    for version in ("v9", "v10"):
+        train(features, models, settings, version=version)
+    if load_card(spark, models) is None:
+        return small_frame(spark, [], "ticker string, model_version string, forecast_vol double")
+    champion, loaded = load_champion(spark, models)
+    scored = score(latest_features(features), champion, loaded, SCORED_AT)
+    return rounded(scored.select("ticker", "model_version", "forecast_vol"))
+
+
 def q_event_bars(spark, sf):
     events = table(spark, sf, "events")
     return rounded(trade_bars(events, "event_type", "ts", "value"))
 
 
 def q_event_bars_stream(spark, sf):
-    """The same bars over a stream; only days the watermark has passed are out."""
+    """The same bars over a stream, kept in a table by key, days that are still open included."""
     out = work_path(spark, "event-bars")
     schema = table(spark, sf, "events").schema
     events = (
@@ -277,12 +330,5 @@ def q_event_bars_stream(spark, sf):
         .withColumn("ts", F.col("ts").cast("timestamp"))
     )
     bars = trade_bar_stream(events, "event_type", "ts", "value")
-    query = (
-        bars.writeStream.format("parquet")
-        .option("checkpointLocation", work_path(spark, "event-checkpoint"))
-        .outputMode("append")
-        .trigger(availableNow=True)
-        .start(out)
-    )
-    query.awaitTermination()
+    keep_trade_bars(bars, out, work_path(spark, "event-checkpoint")).awaitTermination()
     return rounded(spark.read.schema(bars.schema).parquet(out))

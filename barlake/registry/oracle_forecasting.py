@@ -128,10 +128,8 @@ _HAR_VOL = (
     f"+ b63 * {_LOGS.format('rv_63d')} + smear)"
 )
 
-_UPSERT = f"""{LATEST}, recent AS (SELECT * FROM features WHERE date IN
-    (SELECT DISTINCT date FROM features ORDER BY date DESC LIMIT 10)),
-batches AS (
-  SELECT 0 AS batch, * FROM ({_forecast(_MONTH_VOL, 'recent', 'naive')})
+_UPSERT = f"""{LATEST}, batches AS (
+  SELECT 0 AS batch, * FROM ({_forecast(_MONTH_VOL, 'features', 'naive')})
   UNION ALL SELECT 1, * FROM ({_forecast(_WEEK_VOL, 'latest', 'weekly', at='2002-01-03')})
   UNION ALL SELECT 2, * FROM ({_forecast(_WEEK_VOL, 'latest', 'weekly', 'v2', '2002-01-03')}))
 SELECT * EXCLUDE (batch, is_stale) FROM batches
@@ -139,7 +137,7 @@ QUALIFY row_number() OVER (PARTITION BY ticker, as_of_date, model_version ORDER
 
 MATURED = f""", matured AS (
   SELECT ticker, date AS as_of_date, {_MONTH_VOL} AS forecast_vol, 'v1' AS model_version, target_rv_fwd
-  FROM features WHERE target_rv_fwd IS NOT NULL AND date >= (SELECT max(date) FROM features) - 60),
+  FROM features WHERE target_rv_fwd IS NOT NULL),
 errors AS (
   SELECT model_version, ln(greatest(target_rv_fwd, 1e-3)) AS t, ln(forecast_vol) AS p,
     ln(forecast_vol) - ln(greatest(target_rv_fwd, 1e-3)) AS e FROM matured),
@@ -236,6 +234,13 @@ FORECASTING_SQL = {
     "live_accuracy": f"{MATURED} SELECT model_version, n_forecasts, {r6(_METRICS)} FROM live",
     "drift_profile": f"""{DRIFT} SELECT feature, cast(bin AS integer) AS bin,
       {r6('lower_edge, proportion')} FROM profile""",
+    "quantiles_cornered": f"""{DRIFT}, deciles AS (
+        SELECT feature, quantile_cont(v, [{_FRACTIONS}]) AS q FROM train_long GROUP BY 1)
+      SELECT feature, cast(i AS integer) AS decile, round(q[i + 1], 6) AS value
+      FROM (SELECT feature, q, unnest(range(11)) AS i FROM deciles)""",
+    "coefficients": f"""{MODELS} SELECT feature, round(coef, 6) AS coef FROM (
+      SELECT unnest(['rv_5d', 'rv_21d', 'rv_63d']) AS feature, unnest([b5, b21, b63]) AS coef
+      FROM har WHERE scope = -1)""",
     "psi_report": f"{DRIFT} SELECT feature, psi, status, gates_health FROM drift",
     "health": f"""{DRIFT} {MATURED}, verdict AS (
         SELECT (SELECT coalesce(string_agg(feature, ',' ORDER BY feature), '') FROM drift

@@ -92,6 +92,18 @@ LAKE_SQL = {
         SELECT model, qlike_improvement_vs_naive AS gain FROM summary ORDER BY qlike_mean, model LIMIT 1)
       SELECT ticker, 'har' AS model_name, round({_HAR_VOL}, 6) AS forecast_vol
       FROM latest JOIN har ON scope = -1 JOIN best ON model = 'har' AND gain >= -1""",
+    "model_in_use": f"""{MODELS} {LATEST}, best AS (
+        SELECT model, qlike_improvement_vs_naive AS gain FROM summary ORDER BY qlike_mean, model LIMIT 1)
+      SELECT ticker, 'v10' AS model_version, round({_HAR_VOL}, 6) AS forecast_vol
+      FROM latest JOIN har ON scope = -1 JOIN best ON model = 'har' AND gain >= -1""",
+    "other_vendor_refused": """SELECT unnest(['batch', 'stream']) AS path, true AS refused,
+      (SELECT count(*) FROM landed) AS bars""",
+    "stream_ingest": f"""{ONE_RUN} SELECT date, ticker, {r6(_PRICES)}, 'derived' AS source,
+      DATE '2002-01-01' AS ingest_date, 'feed-000000000' AS run_id FROM good""",
+    "stream_manifest": f"""{ONE_RUN} SELECT 'feed-000000000' AS run_id, 'derived' AS source,
+      (SELECT count(*) FROM raw) AS rows_fetched, (SELECT count(*) FROM good) AS rows_landed,
+      (SELECT count(*) FROM one WHERE _reject_reason <> '') AS rows_quarantined,
+      (SELECT count(*) FROM raw) - (SELECT count(*) FROM one) AS duplicates_dropped""",
     "stream_ingest_counts": f"""{ONE_RUN} {_counts(
         {"bronze": "good", "quarantine": "one WHERE _reject_reason <> ''", "staged": "good"})}""",
 }
@@ -121,6 +133,5 @@ def lake_sql() -> dict[str, str]:
         **{name: BASE + body for name, body in LAKE_SQL.items()},
         "pipeline_summary": ONE_RUN_BASE + _SUMMARY,
         "event_bars": _EVENT_BARS,
-        "event_bars_stream": f"""SELECT * FROM ({_EVENT_BARS})
-          WHERE date + 1 <= (SELECT max(ts) - INTERVAL 1 DAY FROM events WHERE value IS NOT NULL)""",
+        "event_bars_stream": _EVENT_BARS,
     }

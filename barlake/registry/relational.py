@@ -107,6 +107,25 @@ def q_contract_cutoff(spark, sf):
     return flagged.groupBy(REASON).agg(F.count(F.lit(1)).alias("bars"))
 
 
+def text_bars(spark, sf) -> DataFrame:
+    """The raw feed as a vendor's text file would have it: dates with times of day, a price that is no number,
+    lower-case names, and one run whose dates are no dates."""
+    stamped = F.concat(F.col("date").cast("string"), F.format_string(" %02d:30:00", F.col("run") + 8))
+    return raw_bars(spark, sf).select(
+        F.when(F.col("run") == 7, "soon").otherwise(stamped).alias("date"),
+        F.when(F.col("run") == 6, F.lower("ticker")).otherwise(F.col("ticker")).alias("ticker"),
+        *[F.col(c).cast("string").alias(c) for c in ("open", "high", "low", "adj_close", "volume")],
+        F.coalesce(F.col("close").cast("string"), F.lit("n/a")).alias("close"),
+    )
+
+
+def q_contract_coerced(spark, sf):
+    """The contract on text: values are coerced, and those that can't be are breaks of their row. Two stamps on
+    one day are one session."""
+    flagged = flag_bars(text_bars(spark, sf), AS_OF)
+    return flagged.groupBy(REASON).agg(F.count(F.lit(1)).alias("bars"))
+
+
 def q_staged_bars(spark, sf):
     return rounded(staged_feed(spark, sf).drop("ingested_at"))
 

@@ -15,8 +15,9 @@ from pyspark.sql import types as T
 
 from barlake.functions.columns import utc_literal
 from barlake.schema import BRONZE_SCHEMA, QUARANTINE_SCHEMA
-from barlake.workspace import read_table
+from barlake.workspace import read_table, remove
 
+# The fields of a run manifest.
 MANIFEST_SCHEMA = T.StructType(
     [
         T.StructField("run_id", T.StringType()),
@@ -25,7 +26,6 @@ MANIFEST_SCHEMA = T.StructType(
         T.StructField("rows_landed", T.LongType()),
         T.StructField("rows_quarantined", T.LongType()),
         T.StructField("duplicates_dropped", T.LongType()),
-        T.StructField("windows", T.MapType(T.StringType(), T.ArrayType(T.StringType()))),
         T.StructField("windows_path", T.StringType()),
         T.StructField("bronze_path", T.StringType()),
         T.StructField("quarantine_path", T.StringType()),
@@ -76,15 +76,17 @@ class Lake:
         """One vendor per lake: the latest-wins step would otherwise swap one for the other."""
         other = self.sources().where(F.col("source") != name).limit(1).collect()
         if other:
-            raise MixedSources(
-                f"lake at {self.root} already holds {other[0]['source']!r} data; "
-                f"use a separate lake for source {name!r}"
-            )
+            raise MixedSources(f"{self.root} holds bars of {other[0]['source']!r}, so it can't take those of {name!r}")
 
     def watermarks(self) -> DataFrame:
         """Newest landed session per ticker. Quarantined bars do not count, so they are fetched again."""
         return self.bronze().groupBy("ticker").agg(F.max("date").alias("watermark"))
 
+    def clear_run(self, ingest_date: date, run_id: str) -> None:
+        """Remove what an earlier attempt at this run has landed or set aside."""
+        for table in (self.bronze_path, self.quarantine_path):
+            remove(self.spark, f"{table}/ingest_date={ingest_date}/run_id={run_id}")
+
     def land(self, valid: DataFrame) -> None:
         """Append valid bars that carry lineage and partition columns."""
         _write_runs(valid.select(*BRONZE_SCHEMA.fieldNames()), self.bronze_path)

@@ -2,18 +2,18 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Sequence
 from datetime import date, datetime
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from barlake.operators.contract import flag_bars, rejected_rows, valid_rows
-from barlake.operators.latest import keep_last
+from barlake.plans.ingest import land_batch
 from barlake.schema import BAR_COLUMNS
-from barlake.sources.lake import Lake, stamp
+from barlake.sources.lake import Lake
+from barlake.workspace import materialise, read_table
 
 
 def land_stream(
@@ -26,20 +26,21 @@ def land_stream(
     arrival: Sequence[str],
     ingested_at: datetime,
 ) -> StreamingQuery:
-    """Land each micro-batch under its own run id, through the same steps as the batch ingest.
+    """Land each micro-batch under its own run id, through the same steps as the batch ingest, with a manifest.
 
     The run id is the stream's name and batch number, and a run replaces only its own partition: a batch
     replayed after a failure writes the same files again instead of adding rows. Batch numbers restart
-    with a new checkpoint, so a new checkpoint needs a new stream name.
+    with a new checkpoint, so a new checkpoint needs a new stream name. Another vendor's lake is refused before
+    the stream starts.
     """
+    lake.refuse_other_sources(source)
 
     def land(batch: DataFrame, number: int) -> None:
-        single = keep_last(batch, ["date", "ticker"], arrival).select(*BAR_COLUMNS)
-        flagged = flag_bars(single, as_of, keys_unique=True).persist(StorageLevel.MEMORY_AND_DISK)
-        marks = (source, f"{stream}-{number:09d}", as_of, ingested_at)
-        lake.land(stamp(valid_rows(flagged), *marks))
-        lake.set_aside(stamp(rejected_rows(flagged), *marks))
-        flagged.unpersist()
+        clock = time.perf_counter()
+        run = {"run_id": f"{stream}-{number:09d}", "source": source}
+        extra = [c for c in arrival if c not in BAR_COLUMNS]
+        run = land_batch(lake, batch.select(*BAR_COLUMNS, *extra), list(arrival), run, as_of, ingested_at)
+        lake.write_manifest(run | {"duration_s": round(time.perf_counter() - clock, 2)})
 
     return (
         bars.writeStream.foreachBatch(land)
@@ -65,7 +66,8 @@ def trade_bars(trades: DataFrame, key: str, ts: str, price: str) -> DataFrame:
 def trade_bar_stream(
     trades: DataFrame, key: str, ts: str, price: str, lateness: str = "1 day"
 ) -> DataFrame:
-    """The same bars over a stream: one-day tumbling windows, closed once the watermark has passed."""
+    """The same bars over a stream: one-day tumbling windows, whose state is dropped once the watermark has
+    passed. In update mode a day that is still open comes out as well, and again whenever it changes."""
     return (
         trades.where(F.col(price).isNotNull())
         .withWatermark(ts, lateness)
@@ -76,6 +78,39 @@ def trade_bar_stream(
     )
 
 
+def keep_trade_bars(bars: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Keep a table with the newest state of every bar of ``trade_bar_stream``, partitioned by date.
+
+    Each micro-batch replaces the bars it brings in the dates it touches, so open days are in the table too, and
+    a replayed batch changes nothing. The dates of a batch are bounded by the calendar.
+    """
+    spark, schema = bars.sparkSession, bars.schema
+
+    def merge(batch: DataFrame, number: int) -> None:
+        new = materialise(batch, "new-bars")
+        touched = [r[0] for r in new.select("date").distinct().collect()]
+        if not touched:
+            return
+        old = read_table(spark, path, schema).where(F.col("date").isin(touched))
+        stays = old.join(new.select("ticker", "date"), ["ticker", "date"], "left_anti")
+        merged = materialise(stays.select(*new.columns).unionByName(new), "merged-bars")
+        (
+            merged.hint("rebalance", "date")
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("date")
+            .parquet(path)
+        )
+
+    return (
+        bars.writeStream.foreachBatch(merge)
+        .option("checkpointLocation", checkpoint)
+        .outputMode("update")
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
 def _bar_aggregates(ts: str, price: str) -> list:
     return [
         F.min_by(price, ts).alias("open"),

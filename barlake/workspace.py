@@ -40,13 +40,17 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def drop_work_tables(spark: SparkSession) -> None:
-    """Delete the work tables of this application; frames that still scan them become unreadable."""
-    folder = f"{shared_root(spark)}/barlake/{spark.sparkContext.applicationId}"
+def remove(spark: SparkSession, folder: str) -> None:
+    """Delete a folder, if it is there."""
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def drop_work_tables(spark: SparkSession) -> None:
+    """Delete the work tables of this application; frames that still scan them become unreadable."""
+    remove(spark, f"{shared_root(spark)}/barlake/{spark.sparkContext.applicationId}")
+
+
 def small_frame(spark: SparkSession, rows: Sequence[Sequence], schema: str | T.StructType) -> DataFrame:
     """A handful of driver-side rows as a local relation: its size is known to the optimizer, and reading
     it takes no job of its own."""

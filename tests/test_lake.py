@@ -2,7 +2,7 @@ from datetime import date, datetime, timedelta
 
 import pandas as pd
 import pytest
-from conftest import frame, walk
+from conftest import frame, made_bars
 from pyspark.sql import functions as F
 
 from barlake.plans.ingest import fetch_windows, ingest, window_lists
@@ -18,7 +18,7 @@ NAMES = ["AAA", "BBB", "CCC", "DDD"]
 
 @pytest.fixture(scope="module")
 def vendor(spark):
-    pdf = walk(NAMES, "2020-01-01", 400)
+    pdf = made_bars(NAMES, "2020-01-01", 400)
     return frame(spark, pdf).withColumn("arrived", F.lit(0)).persist()
 
 
@@ -48,11 +48,10 @@ def test_planner_backfills_new_and_resumes_known(spark):
     assert ahead.count() == 0
 
 
-def test_long_window_lists_are_split_without_loss(spark):
-    names = spark.range(1000).selectExpr("concat('T', id) ticker", "date'2020-01-01' start")
-    lists = window_lists(names, most=100).collect()
-    assert len(lists) == 10 and max(len(r["tickers"]) for r in lists) < 200
-    assert len({t for r in lists for t in r["tickers"]}) == 1000
+def test_window_lists_have_a_row_per_start(spark):
+    names = spark.range(25).selectExpr("concat('T', lpad(id, 2, '0')) ticker", "date_add(date'2020-01-01', cast(id % 2 as int)) start")
+    lists = {r["start"].day: r["tickers"] for r in window_lists(names).collect()}
+    assert lists == {1 + k: [f"T{i:02d}" for i in range(25) if i % 2 == k] for k in (0, 1)}
 
 
 def test_incremental_runs_append_and_fetch_only_the_tail(spark, vendor, tmp_path):
@@ -60,13 +59,14 @@ def test_incremental_runs_append_and_fetch_only_the_tail(spark, vendor, tmp_path
     tickers = ticker_frame(spark, NAMES)
     first = ingest(lake, source(vendor), tickers, date(2021, 6, 4), SETTINGS, "r1", datetime(2021, 6, 4))
     second = ingest(lake, source(vendor), tickers, date(2021, 6, 11), SETTINGS, "r2", datetime(2021, 6, 11))
-    assert first.rows_landed > 1000
-    assert 0 < second.rows_landed < 60
-    assert list(second.windows) == ["2021-05-30"]
+    assert first["rows_landed"] > 1000
+    assert 0 < second["rows_landed"] < 60
+    starts = spark.read.parquet(second["windows_path"]).select("start").distinct().collect()
+    assert [r[0] for r in starts] == [date(2021, 5, 30)]
     assert {r["watermark"] for r in lake.watermarks().collect()} == {date(2021, 6, 11)}
     runs = {r["run_id"] for r in lake.manifests().collect()}
     assert runs == {"r1", "r2"}
-    assert lake.bronze().count() == first.rows_landed + second.rows_landed
+    assert lake.bronze().count() == first["rows_landed"] + second["rows_landed"]
     assert staged(lake.bronze()).count() == lake.bronze().select("ticker", "date").distinct().count()
 
 
@@ -75,7 +75,7 @@ def test_repeating_a_run_replaces_its_own_files_only(spark, vendor, tmp_path):
     tickers = ticker_frame(spark, NAMES)
     days = date(2020, 3, 2)
     landed = [
-        ingest(lake, source(vendor), tickers, days, SETTINGS, run, datetime(2020, 3, i + 2)).rows_landed
+        ingest(lake, source(vendor), tickers, days, SETTINGS, run, datetime(2020, 3, i + 2))["rows_landed"]
         for i, run in enumerate(["a", "b", "b"])
     ]
     assert landed[1] == landed[2]
@@ -90,12 +90,12 @@ def test_other_vendor_is_refused(spark, vendor, tmp_path):
     lake = Lake(spark, str(tmp_path))
     tickers = ticker_frame(spark, NAMES)
     ingest(lake, source(vendor), tickers, date(2020, 2, 3), SETTINGS, "r1")
-    with pytest.raises(MixedSources, match="already holds"):
+    with pytest.raises(MixedSources, match="can't take those of"):
         ingest(lake, source(vendor, "other"), tickers, date(2020, 2, 4), SETTINGS, "r2")
 
 
 def test_flaky_vendor_bars_go_to_quarantine_and_are_fetched_again(spark, tmp_path):
-    pdf = walk(["AAA"], "2024-01-01", 30)
+    pdf = made_bars(["AAA"], "2024-01-01", 30)
     pdf["arrived"] = range(len(pdf))
     last = len(pdf) - 1
     unfinished = pdf.copy()
@@ -104,7 +104,7 @@ def test_flaky_vendor_bars_go_to_quarantine_and_are_fetched_again(spark, tmp_pat
     lake = Lake(spark, str(tmp_path))
     today, tickers = pdf.loc[last, "date"], ticker_frame(spark, ["AAA"])
     result = ingest(lake, source(spark.createDataFrame(flaky)), tickers, today, SETTINGS, "r1")
-    assert (result.duplicates_dropped, result.rows_quarantined) == (1, 1)
+    assert (result["duplicates_dropped"], result["rows_quarantined"]) == (1, 1)
     reason = lake.quarantine().first()["_reject_reason"]
     assert reason == "adj_close:not_nullable; close:not_nullable"
     assert lake.watermarks().first()["watermark"] < today
@@ -113,10 +113,20 @@ def test_flaky_vendor_bars_go_to_quarantine_and_are_fetched_again(spark, tmp_pat
     assert lake.watermarks().first()["watermark"] == today
 
 
+def test_a_retry_clears_what_the_first_attempt_set_aside(spark, tmp_path):
+    pdf = made_bars(["AAA"], "2024-01-01", 10).assign(arrived=0)
+    broken = pdf.assign(close=-1.0)
+    lake, today, tickers = Lake(spark, str(tmp_path)), pdf["date"].max(), ticker_frame(spark, ["AAA"])
+    ingest(lake, source(spark.createDataFrame(broken)), tickers, today, SETTINGS, "r1")
+    assert (lake.bronze().count(), lake.quarantine().count()) == (0, 10)
+    ingest(lake, source(spark.createDataFrame(pdf)), tickers, today, SETTINGS, "r1")
+    assert (lake.bronze().count(), lake.quarantine().count()) == (10, 0)
+
+
 def test_nothing_fetched_still_leaves_a_manifest(spark, vendor, tmp_path):
     lake = Lake(spark, str(tmp_path))
     result = ingest(lake, source(vendor), ticker_frame(spark, ["ZZZ"]), date(2021, 1, 4), SETTINGS, "r1")
-    assert result.rows_fetched == 0 and result.bronze_path is None
+    assert result["rows_fetched"] == 0 and "bronze_path" not in result
     assert lake.manifests().first()["rows_landed"] == 0
     assert lake.bronze().count() == 0
 
@@ -130,7 +140,7 @@ def test_older_files_without_a_column_are_unified_by_name(spark, vendor, tmp_pat
 
 
 def test_wide_frames_keep_every_ticker(spark):
-    pdf = walk(["AAPL", "MSFT", "BRK.B"], "2024-01-01", 3)
+    pdf = made_bars(["AAPL", "MSFT", "BRK.B"], "2024-01-01", 3)
     wide = widen(frame(spark, pdf), ["AAPL", "BRK.B", "MSFT"])
     back = tidy(wide)
     assert back.count() == 9

@@ -2,7 +2,7 @@
 from datetime import date, datetime, timedelta
 
 import pytest
-from conftest import frame, walk
+from conftest import frame, made_bars
 from pyspark.sql import functions as F
 
 from barlake.plans.pipeline import StaleSource, build_marts, run_daily
@@ -12,13 +12,13 @@ from barlake.plans.training import load_card
 from barlake.settings import Settings, TreeSettings
 from barlake.sources.bars import TableSource, ticker_frame
 from barlake.sources.lake import Lake
-from barlake.streaming.ingest import land_stream, trade_bar_stream, trade_bars
+from barlake.streaming.ingest import keep_trade_bars, land_stream, trade_bar_stream, trade_bars
 
 NAMES = ["AAA", "BBB", "CCC"]
 
 
 def test_whole_run_twice(spark, tmp_path):
-    pdf = walk(NAMES, "2018-01-01", 900)
+    pdf = made_bars(NAMES, "2018-01-01", 900)
     source = TableSource("vendor", frame(spark, pdf).withColumn("arrived", F.lit(0)), ["arrived"])
     settings = Settings(
         start_date=date(2018, 1, 1),
@@ -65,7 +65,7 @@ def test_publishing_twice_replaces_the_same_snapshot(spark, tmp_path):
 
 
 def test_streamed_bars_land_like_a_batch_and_replays_add_nothing(spark, tmp_path):
-    pdf = walk(NAMES, "2024-01-01", 20)
+    pdf = made_bars(NAMES, "2024-01-01", 20)
     bad = pdf.copy()
     bad.loc[3, "close"] = None
     inbox = str(tmp_path / "inbox")
@@ -100,12 +100,16 @@ def test_trades_become_daily_bars(spark, tmp_path):
     inbox, out = str(tmp_path / "in"), str(tmp_path / "out")
     trades.write.parquet(inbox)
     bars = trade_bar_stream(spark.readStream.schema(trades.schema).parquet(inbox), "symbol", "ts", "price")
-    (
-        bars.writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "cp"))
-        .outputMode("append").trigger(availableNow=True).start(out).awaitTermination()
-    )
-    closed = spark.read.parquet(out).orderBy("date").collect()
-    assert [r["date"] for r in closed] == [date(2024, 1, 1), date(2024, 1, 2)]
-    assert closed[0].asDict()["close"] == 11
+    for _ in range(2):  # the second run has nothing new
+        keep_trade_bars(bars, out, str(tmp_path / "cp")).awaitTermination()
+    kept = spark.read.parquet(out).orderBy("date").collect()
+    assert [(r["date"].day, r["close"], r["trades"]) for r in kept] == [(1, 11, 4), (2, 12, 1), (4, 13, 1)]
+    late = [("AAA", datetime(2024, 1, 4, 11), 15.0), ("BBB", datetime(2024, 1, 4, 11), 1.0)]
+    spark.createDataFrame(late, trades.schema).write.mode("append").parquet(inbox)
+    keep_trade_bars(bars, out, str(tmp_path / "cp")).awaitTermination()
+    kept = spark.read.parquet(out).orderBy("date", "ticker").collect()
+    assert [(r["ticker"], r["date"].day, r["close"]) for r in kept] == [
+        ("AAA", 1, 11), ("AAA", 2, 12), ("AAA", 4, 15), ("BBB", 4, 1)
+    ]
 
 
