@@ -198,6 +198,23 @@ def q_gbt_oos_metrics(spark, sf):
     return fold_metrics(cross_validate(labelled, SHORT_TREES))
 
 
+def q_gbt_properties(spark, sf):
+    """Rows that persistence and trees are measured on, in every fold, and whether the loss is a sound number."""
+    metrics = fold_metrics(cross_validate(labelled_table(spark, sf), replace(SHORT_TREES, n_splits=5)))
+    sound = F.col("qlike").between(0, 100) & F.col("rmse_log").between(0, 100)
+    return metrics.select("fold", "model", "train_rows", "test_rows", sound.alias("sound"))
+
+
+def q_importance_properties(spark, sf):
+    """Features with a share of gain, and whether the shares are shares."""
+    shares = q_feature_importance(spark, sf)
+    return shares.agg(
+        F.count_distinct("feature").alias("features"),
+        (F.abs(F.sum("gain") - 1) < 1e-6).alias("whole"),
+        (F.min("gain") >= 0).alias("positive"),
+    )
+
+
 def q_feature_importance(spark, sf):
     labelled = labelled_table(spark, sf)
     validation = cross_validate(labelled, replace(SHORT_TREES, candidates=("naive",)))
