@@ -62,7 +62,7 @@ def block_order(vectors: np.ndarray) -> np.ndarray:
 def search_shard(q_ids, queries, ids, vectors, k: int, block_rows: int = BLOCK_ROWS):
     """The k best of a shard for every query: row of the query, id, score; the query's own id is passed over.
 
-    ``queries`` and ``vectors`` are matrices of equal width; ids may repeat.
+    ``queries`` and ``vectors`` are matrices of equal width; of rows of one id the best counts.
     """
     order = block_order(vectors)
     ids, vectors = ids[order], vectors[order]
@@ -91,7 +91,8 @@ def search_shard(q_ids, queries, ids, vectors, k: int, block_rows: int = BLOCK_R
                     continue
                 some_ids = np.concatenate([held_ids, ids[rows][take]])
                 some = np.concatenate([held, row[take]])
-                top = np.lexsort((some_ids, -some))[:k]
+                top = np.lexsort((some_ids, -some))
+                top = top[np.sort(np.unique(some_ids[top], return_index=True)[1])][:k]  # an id counts once
                 best[q] = some_ids[top], some[top]
                 if len(top) == k:
                     kth[q] = some[top[-1]]

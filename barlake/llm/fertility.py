@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_schema
 
-from barlake.llm.ragged import PieceTable, byte_texts, filter_texts, segment_sums, slices
+from barlake.llm.ragged import PieceTable, byte_texts, filter_texts, ragged, segment_sums, slices
 
 SYMBOLS = b"#*$%&|<>"
 #: Words of a window, words a text must have, and the share of words in repeated windows it may have.
@@ -36,7 +36,8 @@ MEASURES = pa.schema(
 
 class Band(NamedTuple):
     """What a text may have: characters per token from and to, byte tokens among all tokens up to, and entropy
-    of its tokens, as a share of the entropy of as many different tokens, from."""
+    of its tokens in bits from. A short text can't have much entropy: half of what so many different tokens
+    would have is enough for any."""
 
     least_chars: float
     most_chars: float
@@ -44,13 +45,14 @@ class Band(NamedTuple):
     least_entropy: float
 
 
-#: Bands by script; ``other`` is for all else.
+#: Bands by script; ``other`` is for all else. Wide enough for any prose: what falls outside is hex and other
+#: encoded data, marks, wrongly decoded or unknown characters, and endless repetition.
 BANDS: dict[str, Band] = {
-    "latin": Band(1.6, 8.0, 0.10, 0.45),
-    "cyrillic": Band(1.2, 8.0, 0.20, 0.45),
-    "greek": Band(0.6, 8.0, 0.40, 0.40),
-    "han": Band(0.25, 4.0, 0.75, 0.40),
-    "other": Band(0.25, 8.0, 1.00, 0.40),
+    "latin": Band(1.5, 8.0, 0.10, 4.0),
+    "cyrillic": Band(1.2, 8.0, 0.20, 4.0),
+    "greek": Band(0.6, 8.0, 0.40, 3.5),
+    "han": Band(0.25, 4.0, 0.75, 3.5),
+    "other": Band(0.25, 8.0, 1.00, 3.0),
 }
 #: Letters of each script (fixed values: ranges of code points), the first code point after each range behind it.
 SCRIPTS = {
@@ -85,7 +87,11 @@ def tables(path: str) -> tuple[PieceTable, np.ndarray]:
 
         model = sentencepiece.SentencePieceProcessor(model_file=path)
         is_byte = np.array([model.is_byte(i) for i in range(model.get_piece_size())])
-        _tables[path] = PieceTable(lambda words: model.encode([w.decode() for w in words], num_threads=1), np.int32), is_byte
+
+        def encode(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+            return ragged(model.encode([w.decode() for w in words], num_threads=1), np.int32)
+
+        _tables[path] = PieceTable(encode, np.int32), is_byte
     return _tables[path]
 
 
@@ -120,14 +126,12 @@ def repeated_words(codes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 
 
 def entropies(ids: np.ndarray, sizes: np.ndarray, kinds: int) -> np.ndarray:
-    """Entropy of each text's tokens as a share of the most that so many tokens can have; 1 below two tokens."""
-    out = np.ones(len(sizes))
+    """Entropy in bits of each text's tokens; 0 for a text without tokens."""
     text = np.repeat(np.arange(len(sizes)), sizes)
     key, times = np.unique(text * kinds + ids, return_counts=True)
     total = segment_sums(times * np.log2(times), np.bincount(key // kinds, minlength=len(sizes)))
-    many = sizes > 1
-    out[many] = 1 - total[many] / (sizes[many] * np.log2(sizes[many]))
-    return out
+    some = np.maximum(sizes, 1)
+    return np.log2(some) - total / some
 
 
 def measure_texts(path: str, texts: list[bytes]) -> list[np.ndarray]:
@@ -162,11 +166,12 @@ def measure_texts(path: str, texts: list[bytes]) -> list[np.ndarray]:
 def verdicts(found: list[np.ndarray], bands: Mapping[str, Band] = BANDS) -> tuple[np.ndarray, np.ndarray]:
     """base_failed and kept of texts whose measures (without doc_id) are ``found``; a script without a band of
     its own has that of ``other``, and without one there every text holds."""
-    words, _, _, _, repeated, scripts, _, per_token, share, entropy = found
+    words, _, _, _, repeated, scripts, pieces, per_token, share, entropy = found
     failed = (words < LEAST_WORDS) | (100 * repeated > MOST_REPEATED * words)
     none = Band(0.0, np.inf, 1.0, -np.inf)
     own = np.array([bands.get(s, bands.get("other", none)) for s in scripts], np.float64).reshape(-1, 4)
-    inside = (per_token >= own[:, 0]) & (per_token <= own[:, 1]) & (share <= own[:, 2]) & (entropy >= own[:, 3])
+    floor = np.minimum(own[:, 3], 0.5 * np.log2(np.maximum(pieces, 1)))
+    inside = (per_token >= own[:, 0]) & (per_token <= own[:, 1]) & (share <= own[:, 2]) & (entropy >= floor)
     return failed, ~failed & inside
 
 

@@ -50,6 +50,10 @@ def prefix_length(threshold: float = THRESHOLD, trees: int = TREES, depth: int =
     return depth
 
 
+def word_codes(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    return np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words)), np.ones(len(words), np.int64)
+
+
 def shingles(texts: list[bytes], words: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of the shingles of every text, and how many each has (repeats included).
 
@@ -57,7 +61,7 @@ def shingles(texts: list[bytes], words: int = WORDS) -> tuple[np.ndarray, np.nda
     than ASCII white space, taken as they are.
     """
     if not _words:
-        _words.append(PieceTable(lambda new: [(xxhash.xxh64_intdigest(w),) for w in new], np.uint64))
+        _words.append(PieceTable(word_codes, np.uint64))
     split = [t.split() for t in texts]
     sizes = np.fromiter(map(len, split), np.int64, len(split))
     rows = _words[0].rows([w for own in split for w in own])

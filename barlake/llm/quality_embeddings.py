@@ -1,8 +1,9 @@
 """Quality classifier: supervised subword embeddings.
 
 A text's features are its words, its pairs of neighbouring words and the byte n-grams of its words, all hashed
-into one set of buckets. Every bucket has a learned vector; a text is the average of its features' vectors, and
-a softmax layer over that average gives the class probabilities. Vectors and layer are trained together by
+into one set of buckets; a word that follows itself makes the same pair whatever the word. Every bucket has a
+learned vector; a text is the average of its features' vectors and of some vectors of nothing, so that a few
+words decide little, and a softmax layer over that average gives the class probabilities. Vectors and layer are trained together by
 stochastic gradient descent in numpy, one text a step.
 
 Training reads a bounded sample of the labelled rows, ``SAMPLE_ROWS``, in one task; the sample is drawn by a
@@ -28,7 +29,11 @@ from barlake.llm.ragged import PieceTable, byte_texts, filter_texts, ragged_inde
 SAMPLE_ROWS = 6000
 BUCKETS = 1 << 17
 DIMENSIONS = 12
-EPOCHS = 6
+#: Passes over the sample, more if it takes fewer steps than these.
+EPOCHS = 5
+LEAST_STEPS = 8000
+#: Features of nothing that every text has.
+BLANKS = 64
 #: Step of the layer, and how many times larger that of the vectors is: each gets a small share of a text.
 RATE = 0.5
 VECTOR_RATE = 50
@@ -43,8 +48,8 @@ def _spread(hashes: np.ndarray) -> np.ndarray:
     return hashes ^ (hashes >> np.uint32(15))
 
 
-def word_features(words: list[bytes]) -> list[np.ndarray]:
-    """Hashes of every word: first its own, then those of its byte n-grams."""
+def word_features(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of every word, first its own, then those of its byte n-grams; and how many each has."""
     lengths = np.fromiter(map(len, words), np.int64, len(words)) + 2
     chars = np.frombuffer(b"".join(b"\x02" + w + b"\x03" for w in words), np.uint8).astype(np.uint32)
     word = np.repeat(np.arange(len(words)), lengths)
@@ -67,18 +72,20 @@ def word_features(words: list[bytes]) -> list[np.ndarray]:
     owner = np.concatenate(owners)
     order = np.argsort(owner, kind="stable")
     counts = np.bincount(owner, minlength=len(words))
-    return np.split(np.concatenate(parts)[order], np.cumsum(counts)[:-1])
+    return np.concatenate(parts)[order], counts
 
 
 def pair_features(own: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of neighbouring words of each text, and how many each text has."""
     pairs = np.maximum(sizes - 1, 0)
     at = ragged_index(starts_of(sizes), pairs)
-    return _spread(own[at] * np.uint32(0x9E3779B1) + own[at + 1]), pairs
+    left, right = own[at], own[at + 1]
+    return _spread(np.where(left == right, np.uint32(0), left * np.uint32(0x9E3779B1) + right)), pairs
 
 
 def text_features(table: PieceTable, text: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets of a text in rising order and the share of its features in each; a text without a word has none."""
+    """Buckets of a text in rising order and the share of its features in each; a text without a word has none.
+    The shares fall short of 1 by that of the blanks."""
     words = text.split()
     if not words:
         return np.zeros(0, np.int64), np.zeros(0, np.float32)
@@ -86,7 +93,7 @@ def text_features(table: PieceTable, text: bytes) -> tuple[np.ndarray, np.ndarra
     hashes, _ = table.gather(rows)
     pairs, _ = pair_features(table.values[table.starts[rows]], np.array([len(words)]))
     buckets, counts = np.unique(np.concatenate([hashes, pairs]) % BUCKETS, return_counts=True)
-    return buckets.astype(np.int64), (counts / counts.sum()).astype(np.float32)
+    return buckets.astype(np.int64), (counts / (counts.sum() + BLANKS)).astype(np.float32)
 
 
 @dataclass
@@ -102,13 +109,12 @@ class QualityModel:
         if self.name not in _memos:
             _memos.clear()
 
-            def sums(words: list[bytes]) -> list[np.ndarray]:
-                found = word_features(words)
-                flat = self.weights[np.concatenate(found) % BUCKETS]
-                counts = np.fromiter(map(len, found), np.int64, len(found))
-                total = np.add.reduceat(flat, starts_of(counts), axis=0, dtype=np.float64)
-                own = np.array([f[0] for f in found], np.float64)  # below 2**32, whole in a double
-                return list(np.column_stack([own, counts, total]))
+            def sums(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+                """Of every word: its own hash (below 2**32, whole in a double), its features, their weights."""
+                found, counts = word_features(words)
+                total = np.add.reduceat(self.weights[found % BUCKETS], starts_of(counts), axis=0, dtype=np.float64)
+                values = np.column_stack([found[starts_of(counts)].astype(np.float64), counts, total])
+                return values.ravel(), np.full(len(words), values.shape[1])
 
             _memos[self.name] = PieceTable(sums, np.float64, limit=400_000)
         memo, classes = _memos[self.name], len(self.bias)
@@ -126,7 +132,7 @@ class QualityModel:
             running = np.vstack([np.zeros((1, classes)), np.cumsum(picked, axis=0)])
             of_pairs = running[ends] - running[ends - n_pairs]
             logits = total[:, 1:] + of_pairs[full]
-            out[full] += logits / (total[:, 0] + n_pairs[full])[:, None]
+            out[full] += logits / (total[:, 0] + n_pairs[full] + BLANKS)[:, None]
         out = np.exp(out - out.max(axis=1, keepdims=True))
         return out / out.sum(axis=1, keepdims=True)
 
@@ -141,8 +147,9 @@ def train(texts: list[bytes], labels: np.ndarray, classes: int = 2) -> tuple[np.
     rng = np.random.default_rng(17)
     vectors = rng.uniform(-1 / DIMENSIONS, 1 / DIMENSIONS, (BUCKETS, DIMENSIONS)).astype(np.float32)
     layer, bias = np.zeros((DIMENSIONS, classes), np.float32), np.zeros(classes, np.float32)
-    steps, done = EPOCHS * len(texts), 0
-    for _ in range(EPOCHS):
+    epochs = max(EPOCHS, -(-LEAST_STEPS // len(texts)))
+    steps, done = epochs * len(texts), 0
+    for _ in range(epochs):
         for k in rng.permutation(len(texts)):
             rate = np.float32(RATE * (1 - done / steps))
             done += 1
@@ -159,6 +166,11 @@ def train(texts: list[bytes], labels: np.ndarray, classes: int = 2) -> tuple[np.
     return bias, vectors @ layer
 
 
+def shares_only(shares: list[float]) -> tuple[np.ndarray, np.ndarray]:
+    """Bias and weights of a model that gives every text the classes' shares."""
+    return np.log(np.clip(shares, 1e-6, 1)).astype(np.float32), np.zeros((BUCKETS, len(shares)), np.float32)
+
+
 def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> QualityModel:
     """Train on documents (doc_id, text) that ``labels`` (doc_id, quality) marks 0 or 1; others are passed over.
 
@@ -190,13 +202,14 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> QualityM
         if len(set(quality)) == 2:
             bias, weights = train([t for _, _, t in found], quality)
         else:
-            bias = np.log(np.clip([np.mean(quality == c) if len(found) else 0.5 for c in (0, 1)], 1e-6, 1)).astype(np.float32)
-            weights = np.zeros((BUCKETS, 2), np.float32)
+            bias, weights = shares_only([np.mean(quality == c) if len(found) else 0.5 for c in (0, 1)])
         yield pa.RecordBatch.from_arrays(
             [pa.array([2], pa.int64()), pa.array([bias.tobytes()], pa.binary()), pa.array([weights.tobytes()], pa.binary())], schema=MODEL
         )
 
     made = taught.repartition(1).mapInArrow(train_all, from_arrow_schema(MODEL)).head()
+    if made is None:  # no row, no task
+        return QualityModel(*shares_only([0.5, 0.5]))
     classes = made.classes
     return QualityModel(np.frombuffer(bytes(made.bias), np.float32), np.frombuffer(bytes(made.weights), np.float32).reshape(-1, classes))
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
-from itertools import repeat
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -66,15 +66,23 @@ def split_marks(piece: bytes) -> tuple[bytes, ...]:
     return (piece,)
 
 
+def ragged(lists: Sequence[Sequence], dtype) -> tuple[np.ndarray, np.ndarray]:
+    """Values of several lists one after another, and how many each has."""
+    lengths = np.fromiter(map(len, lists), np.int64, len(lists))
+    return np.fromiter(chain.from_iterable(lists), dtype, int(lengths.sum())), lengths
+
+
 class PieceTable:
     """Memo from a piece of text to its values, kept as one ragged array.
 
-    ``encode`` gets a list of distinct new pieces and returns their values. The memo holds at most about
-    ``limit`` pieces: it is emptied when full, so its memory is bounded and results never depend on it.
+    ``encode`` gets a list of distinct new pieces and returns their values one after another and how many each
+    has. With ``split``, a piece of two parts has the values of its parts, which are pieces of their own. The
+    memo holds about ``limit`` pieces at most: it is emptied when full, so its memory is bounded, and results
+    never depend on it.
     """
 
-    def __init__(self, encode: Callable[[list[bytes]], list[Sequence]], dtype, limit: int = 1_000_000):
-        self.encode, self.dtype, self.limit = encode, dtype, limit
+    def __init__(self, encode: Callable, dtype, limit: int = 1_000_000, split: Callable | None = None):
+        self.encode, self.dtype, self.limit, self.split = encode, dtype, limit, split
         self._clear()
 
     def _clear(self) -> None:
@@ -84,11 +92,8 @@ class PieceTable:
         self.lengths = np.zeros(1 << 14, np.int64)
         self.used = 0
 
-    def _add(self, pieces: list[bytes]) -> None:
-        found = self.encode(pieces)
-        lengths = np.fromiter(map(len, found), np.int64, len(found))
-        first, total = len(self.index), int(lengths.sum())
-        flat = np.concatenate([np.asarray(v, self.dtype) for v in found]) if total else np.zeros(0, self.dtype)
+    def _store(self, pieces: list[bytes], flat: np.ndarray, lengths: np.ndarray) -> None:
+        first, total = len(self.index), len(flat)
         while self.used + total > len(self.values):
             self.values = np.concatenate([self.values, np.zeros_like(self.values)])
         while first + len(pieces) > len(self.starts):
@@ -100,6 +105,20 @@ class PieceTable:
         self.used += total
         self.index.update(zip(pieces, range(first, first + len(pieces))))
 
+    def _add(self, pieces: list[bytes]) -> None:
+        if self.split is None:
+            self._store(pieces, *self.encode(pieces))
+            return
+        split = list(map(self.split, pieces))
+        parts = [p for p in dict.fromkeys(chain.from_iterable(split)) if p not in self.index]
+        if parts:
+            self._store(parts, *self.encode(parts))
+        joined = [s for s in split if len(s) == 2]
+        if joined:
+            rows = np.fromiter(map(self.index.__getitem__, chain.from_iterable(joined)), np.int64, 2 * len(joined))
+            flat, lengths = self.gather(rows)
+            self._store([a + b for a, b in joined], flat, lengths[::2] + lengths[1::2])
+
     def rows(self, pieces: list[bytes]) -> np.ndarray:
         """Row of every piece, valid until the next call."""
         if len(self.index) >= self.limit:

@@ -167,7 +167,11 @@ _tables: dict[str, tuple[MergeTable, PieceTable]] = {}
 def tables(path: str) -> tuple[MergeTable, PieceTable]:
     if path not in _tables:
         merges = MergeTable(path)
-        _tables[path] = merges, PieceTable(lambda pieces: merges.count([p.decode() for p in pieces]), np.int64)
+
+        def count(pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+            return merges.count([p.decode() for p in pieces]).ravel(), np.full(len(pieces), 2)
+
+        _tables[path] = merges, PieceTable(count, np.int64)
     return _tables[path]
 
 
