@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_schema
 
-from barlake.llm.ragged import SLICE_BYTES, PieceTable, byte_texts, ragged_index, slices, split_marks, starts_of
+from barlake.llm.ragged import SLICE_BYTES, PieceTable, byte_texts, ragged, ragged_index, slices, split_marks, starts_of
 
 #: Unsplit text of more bytes than this is halved.
 LEAF_BYTES = 4096
@@ -47,7 +47,7 @@ class ByteBpe:
         self.library.no_truncation()
         self.library.no_padding()
         self.specials = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        self.memo = PieceTable(self._encode, np.uint32)
+        self.memo = PieceTable(self._encode, np.uint32, limit=500_000, split=split_marks)
         self._bytes: tuple[np.ndarray, np.ndarray, np.ndarray] | None = None
 
     def whole(self, texts: list[bytes]) -> list[list[int]]:
@@ -55,12 +55,8 @@ class ByteBpe:
         found = self.library.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)
         return [e.ids for e in found]
 
-    def _encode(self, chunks: list[bytes]) -> list[list[int]]:
-        split = [split_marks(c) for c in chunks]
-        new, parts = list(dict.fromkeys(p for s in split for p in s)), {}
-        for i in range(0, len(new), 2000):
-            parts.update(zip(new[i : i + 2000], self.whole(new[i : i + 2000])))
-        return [parts[s[0]] if len(s) == 1 else parts[s[0]] + parts[s[1]] for s in split]
+    def _encode(self, chunks: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        return ragged([ids for i in range(0, len(chunks), 2000) for ids in self.whole(chunks[i : i + 2000])], np.uint32)
 
     def chunks(self, text: bytes) -> list[bytes]:
         """Parts of the text whose ids, one after another, are the text's."""
