@@ -17,24 +17,27 @@ and read through ``pyarrow.fs``, so the folder may be on any store it knows.
 from __future__ import annotations
 
 import os
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs
 import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_schema
 
-from barlake.llm.ragged import SLICE_BYTES, PieceTable, byte_texts, slices, split_marks, starts_of
+from barlake.llm.ragged import SLICE_BYTES, PieceTable, byte_texts, ragged, ragged_index, segment_sums, slices, split_marks, starts_of
 
 #: Ids in a block.
 BLOCK_IDS = 1 << 16
 PLANES = 4
-BETWEEN = "<|startoftext|>"
+#: Words that neither normalising nor splitting changes.
+LETTERS = re.compile("[a-zß-öø-ÿ]+")
 MAGIC = b"IDPLANE1"
 CHUNK = np.dtype([("ids", "<u4"), ("crc", "<u4"), ("offset", "<u8"), ("planes", "<u4", (PLANES,))])
 DOCUMENTS = pa.schema([("doc_id", pa.int64()), ("part", pa.string()), ("first", pa.int64()), ("n_tokens", pa.int64())])
@@ -69,36 +72,47 @@ def store_of(path: str) -> tuple[pa.fs.FileSystem, str]:
 def word_table(path: str) -> PieceTable:
     """Memo of the ids of words, as the tokenizers library encodes them with the vocabulary at ``path``.
 
-    The library sees each distinct part of a word once.
+    A word that ends in marks is put together from its two parts, so the library sees each part once. Words of
+    lower-case Latin letters alone are what normalising and splitting leave as they are: for them the library
+    is loaded a second time without these two steps.
     """
     if path not in _tables:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
-        from tokenizers import Tokenizer
-
-        tokenizer = Tokenizer.from_file(path)
-        tokenizer.no_truncation()
-        tokenizer.no_padding()
-        between = tokenizer.token_to_id(BETWEEN)
-        def encode(words: list[bytes]) -> list[list[int]]:
-            split = [split_marks(w) for w in words]
-            new, parts = dict.fromkeys(p for s in split for p in s), {}
-            alone = [p for p in new if b"<|" in p]
-            for p, e in zip(alone, tokenizer.encode_batch_fast([p.decode() for p in alone], add_special_tokens=False)):
-                parts[p] = e.ids
-            # words go to the library with a special token between them, which it takes out before all else
-            plain = [p for p in new if b"<|" not in p]
-            for i in range(0, len(plain), 1000):
-                some = plain[i : i + 1000]
-                ids = tokenizer.encode(BETWEEN.join(p.decode() for p in some), add_special_tokens=False).ids
-                ids.append(between)
-                at = 0
-                for p in some:
-                    end = ids.index(between, at)
-                    parts[p] = ids[at:end]
-                    at = end + 1
-            return [parts[s[0]] if len(s) == 1 else parts[s[0]] + parts[s[1]] for s in split]
-
-        _tables[path] = PieceTable(encode, np.uint32)
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        whole, merges = Tokenizer.from_file(path), Tokenizer.from_file(path)
+        for tokenizer in (whole, merges):
+            tokenizer.no_truncation()
+            tokenizer.no_padding()
+        merges.normalizer = None
+        merges.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+
+        # where the vocabulary marks word ends, they tell the words of a run apart
+        suffix = whole.model.end_of_word_suffix
+        marked = suffix is not None
+        ends = np.zeros(whole.get_vocab_size(), bool)
+        ends[[i for token, i in whole.get_vocab(False).items() if marked and token.endswith(suffix)]] = True
+
+        def encode(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+            strings = [w.decode() for w in words]
+            plain = np.fromiter(map(bool, map(LETTERS.fullmatch, strings)), bool, len(strings)) & marked
+            order = np.argsort(~plain, kind="stable")
+            first = [strings[i] for i in order[: plain.sum()]]
+            rest = [strings[i] for i in order[plain.sum() :]]
+            runs = [first[i : i + 1000] for i in range(0, len(first), 1000)]
+            flat, lengths = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
+            for e in merges.encode_batch_fast(runs, add_special_tokens=False, is_pretokenized=True):
+                flat.append(np.array(e.ids, np.uint32))
+                lengths.append(np.diff(np.flatnonzero(ends[flat[-1]]), prepend=-1))
+            for i in range(0, len(rest), 2000):
+                some = whole.encode_batch_fast(rest[i : i + 2000], add_special_tokens=False)
+                for values, out in zip(ragged([e.ids for e in some], np.uint32), (flat, lengths)):
+                    out.append(values)
+            flat, lengths = np.concatenate(flat), np.concatenate(lengths)
+            back = np.argsort(order)
+            return flat[ragged_index(starts_of(lengths)[back], lengths[back])], lengths[back]
+
+        _tables[path] = PieceTable(encode, np.uint32, split=split_marks)
     return _tables[path]
 
 
@@ -108,12 +122,20 @@ def encode_texts(path: str, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]
     The vocabulary drops white space and lower-cases, so words are encoded alone. A text that holds ``<|`` may
     hold a special token, which is matched before lower-casing: it goes to the library as one piece.
     """
-    pieces = [[t] if b"<|" in t else t.lower().split() for t in texts]
+    plain = pa.array([b"" if b"<|" in t else t for t in texts], pa.binary()).cast(pa.string())
+    words = pc.ascii_split_whitespace(pc.ascii_lower(plain))
+    special = [k for k, t in enumerate(texts) if b"<|" in t]
+    # a slice's distinct words are looked up once each; white space at either end makes an empty word without ids
+    coded = words.flatten().dictionary_encode()
+    distinct = coded.dictionary.cast(pa.binary()).to_pylist()
     table = word_table(path)
-    ids, lengths = table.gather(table.rows([w for p in pieces for w in p]))
-    ends = np.concatenate([[0], np.cumsum(lengths)])
-    cuts = np.concatenate([[0], np.cumsum([len(p) for p in pieces])]).astype(np.int64)
-    return ids, ends[cuts[1:]] - ends[cuts[:-1]]
+    rows = table.rows(distinct + [texts[k] for k in special])
+    sizes = words.value_lengths().to_numpy().astype(np.int64)
+    of_words = rows[coded.indices.to_numpy()]
+    if special:  # such a text has one empty word, whose place it takes
+        of_words[starts_of(sizes)[special]] = rows[len(distinct) :]
+    ids, lengths = table.gather(of_words)
+    return ids, segment_sums(lengths, sizes)
 
 
 class PartWriter:
