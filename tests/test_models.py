@@ -61,8 +61,9 @@ def test_folds_of_any_calendar(sessions, n_splits, test_days, min_train, embargo
 
 def test_qlike_falls_to_zero_from_both_sides_and_faster_from_below(spark):
     ratios = [0.25, 0.5, 0.9, 1.0, 1.1, 2.0, 4.0]
-    rows = spark.createDataFrame([(0.17, 0.17 * r) for r in ratios], "y double, p double")
-    loss = [r[0] for r in rows.select(qlike(F.col("y"), F.col("p"))).collect()]
+    rows = spark.createDataFrame([(r, 0.17, 0.17 * r) for r in ratios], "r double, y double, p double")
+    by_ratio = rows.groupBy("r").agg(qlike(F.col("y"), F.col("p")).alias("loss")).orderBy("r")
+    loss = [r["loss"] for r in by_ratio.collect()]
     assert loss[3] == pytest.approx(0, abs=1e-12)
     assert loss[:4] == sorted(loss[:4], reverse=True) and loss[3:] == sorted(loss[3:])
     assert all(under > over for under, over in zip(loss[:3], loss[:3:-1]))
