@@ -91,7 +91,7 @@ def tables(path: str) -> tuple[PieceTable, np.ndarray]:
         def encode(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
             return ragged(model.encode([w.decode() for w in words], num_threads=1), np.int32)
 
-        _tables[path] = PieceTable(encode, np.int32), is_byte
+        _tables[path] = PieceTable(encode, np.int32, limit=600_000), is_byte
     return _tables[path]
 
 

@@ -61,7 +61,7 @@ def shingles(texts: list[bytes], words: int = WORDS) -> tuple[np.ndarray, np.nda
     than ASCII white space, taken as they are.
     """
     if not _words:
-        _words.append(PieceTable(word_codes, np.uint64))
+        _words.append(PieceTable(word_codes, np.uint64, limit=300_000))
     split = [t.split() for t in texts]
     sizes = np.fromiter(map(len, split), np.int64, len(split))
     rows = _words[0].rows([w for own in split for w in own])

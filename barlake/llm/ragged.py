@@ -78,9 +78,11 @@ class PieceTable:
     ``encode`` gets a list of distinct new pieces and returns their values one after another and how many each
     has. With ``split``, a piece of two parts has the values of its parts, which are pieces of their own. The
     memo holds about ``limit`` pieces at most: it is emptied when full, so its memory is bounded, and results
-    never depend on it.
+    never depend on it. A worker process that goes on to another table empties the one before.
     """
 
+    in_use: PieceTable | None = None
+
     def __init__(self, encode: Callable, dtype, limit: int = 1_000_000, split: Callable | None = None):
         self.encode, self.dtype, self.limit, self.split = encode, dtype, limit, split
         self._clear()
@@ -120,7 +122,10 @@ class PieceTable:
             self._store([a + b for a, b in joined], flat, lengths[::2] + lengths[1::2])
 
     def rows(self, pieces: list[bytes]) -> np.ndarray:
-        """Row of every piece, valid until the next call."""
+        """Row of every piece, valid until the next call, to this or another table."""
+        other, PieceTable.in_use = PieceTable.in_use, self
+        if other is not None and other is not self:
+            other._clear()
         if len(self.index) >= self.limit:
             self._clear()
         out = np.fromiter(map(self.index.get, pieces, repeat(-1)), np.int64, len(pieces))
