@@ -37,22 +37,48 @@ MEASURES = pa.schema(
 class Band(NamedTuple):
     """What a text may have: characters per token from and to, byte tokens among all tokens up to, and entropy
     of its tokens in bits from. A short text can't have much entropy: half of what so many different tokens
-    would have is enough for any."""
+    would have is enough for any. A long one must have ``growth`` more for each doubling beyond GROWS_FROM tokens;
+    where the vocabulary has single letters only, entropy stays that of the alphabet, and nothing is added."""
 
     least_chars: float
     most_chars: float
     most_bytes: float
     least_entropy: float
+    growth: float = 0.0
 
 
-#: Bands by script; ``other`` is for all else. Wide enough for any prose: what falls outside is hex and other
-#: encoded data, marks, wrongly decoded or unknown characters, and endless repetition.
+GROWS_FROM = 256
+#: A text fewer than one in so many of whose characters are letters counts as one without.
+LETTERS_ONE_IN = 10
+#: Bands by script; ``none`` is for texts without letters, ``other`` for letters of all other scripts. Wide enough
+#: for any prose (those of the further scripts leave a margin about reference prose of each, see the tests): what
+#: falls outside is hex and other encoded data, marks, digits, wrongly decoded or unknown characters, and endless
+#: repetition. Letters that the vocabulary doesn't know are unknown characters, but for scripts with a band.
 BANDS: dict[str, Band] = {
-    "latin": Band(1.5, 8.0, 0.10, 4.0),
-    "cyrillic": Band(1.2, 8.0, 0.20, 4.0),
+    "latin": Band(1.5, 8.0, 0.10, 4.0, 0.25),
+    "cyrillic": Band(1.2, 8.0, 0.20, 4.0, 0.25),
     "greek": Band(0.6, 8.0, 0.40, 3.5),
-    "han": Band(0.25, 4.0, 0.75, 3.5),
-    "other": Band(0.25, 8.0, 1.00, 3.0),
+    "han": Band(0.25, 4.0, 0.75, 3.5, 0.10),
+    "arabic": Band(0.55, 4.0, 0.25, 3.5),
+    "hebrew": Band(0.55, 4.0, 0.25, 3.5),
+    "armenian": Band(0.50, 4.0, 0.40, 3.5),
+    "georgian": Band(0.55, 4.0, 0.25, 3.3),
+    "devanagari": Band(0.50, 4.0, 0.35, 3.5),
+    "bengali": Band(0.45, 4.0, 0.45, 3.5),
+    "gurmukhi": Band(0.30, 4.0, 0.92, 3.0),
+    "gujarati": Band(0.30, 4.0, 0.92, 3.0),
+    "tamil": Band(0.50, 4.0, 0.40, 3.5),
+    "telugu": Band(0.40, 4.0, 0.75, 3.3),
+    "kannada": Band(0.45, 4.0, 0.65, 3.3),
+    "malayalam": Band(0.30, 4.0, 0.93, 3.0),
+    "sinhala": Band(0.33, 4.0, 0.85, 3.2),
+    "thai": Band(0.55, 4.0, 0.30, 3.5),
+    "lao": Band(0.30, 4.0, 0.97, 2.8),
+    "myanmar": Band(0.40, 4.0, 0.80, 3.3),
+    "ethiopic": Band(0.30, 4.0, 0.93, 3.2),
+    "khmer": Band(0.50, 4.0, 0.55, 3.5),
+    "other": Band(0.25, 8.0, 0.90, 3.0),
+    "none": Band(1.5, 8.0, 0.10, 4.0, 0.25),
 }
 #: Letters of each script (fixed values: ranges of code points), the first code point after each range behind it.
 SCRIPTS = {
@@ -60,6 +86,24 @@ SCRIPTS = {
     "greek": (0x370, 0x400),
     "cyrillic": (0x400, 0x530),
     "han": (0x3040, 0x3100, 0x3400, 0xA000, 0xAC00, 0xD7B0),
+    "arabic": (0x600, 0x700, 0x750, 0x780, 0x8A0, 0x900, 0xFB50, 0xFE00, 0xFE70, 0xFF00),
+    "hebrew": (0x590, 0x600, 0xFB1D, 0xFB50),
+    "armenian": (0x530, 0x590),
+    "georgian": (0x10A0, 0x1100, 0x1C90, 0x1CC0),
+    "devanagari": (0x900, 0x980),
+    "bengali": (0x980, 0xA00),
+    "gurmukhi": (0xA00, 0xA80),
+    "gujarati": (0xA80, 0xB00),
+    "tamil": (0xB80, 0xC00),
+    "telugu": (0xC00, 0xC80),
+    "kannada": (0xC80, 0xD00),
+    "malayalam": (0xD00, 0xD80),
+    "sinhala": (0xD80, 0xE00),
+    "thai": (0xE00, 0xE80),
+    "lao": (0xE80, 0xF00),
+    "myanmar": (0x1000, 0x10A0),
+    "ethiopic": (0x1200, 0x13A0),
+    "khmer": (0x1780, 0x1800),
 }
 
 RATED = MEASURES.append(pa.field("base_failed", pa.bool_())).append(pa.field("kept", pa.bool_()))
@@ -145,7 +189,7 @@ def measure_texts(path: str, texts: list[bytes]) -> list[np.ndarray]:
     pieces = segment_sums(lengths, sizes)
     by_bytes = segment_sums(is_byte[ids].astype(np.int64), pieces)
     chars, symbols, lines, script = (np.zeros(len(texts), np.int64) for _ in range(4))
-    names = ["other", *SCRIPTS]
+    names = ["other", *SCRIPTS, "none"]
     for k, text in enumerate(texts):
         string = text.decode()
         own = words[k]
@@ -155,9 +199,9 @@ def measure_texts(path: str, texts: list[bytes]) -> list[np.ndarray]:
         lines[k] = len(full) - len(set(full))
         if not string.isascii():
             kinds = np.bincount(script_table()[np.frombuffer(string.encode("utf-32-le"), "<u4")], minlength=256)[:255]
-            script[k] = kinds.argmax() if kinds.any() else 0
-        else:
-            script[k] = 1 if any(65 <= b < 91 or 97 <= b < 123 for b in text) else 0
+            script[k] = kinds.argmax() if LETTERS_ONE_IN * kinds.sum() >= max(1, chars[k]) else len(names) - 1
+        elif own:
+            script[k] = 1 if any(65 <= b < 91 or 97 <= b < 123 for b in text) else len(names) - 1
     per_token = np.divide(chars, pieces, out=np.zeros(len(texts)), where=pieces > 0)
     share = np.divide(by_bytes, pieces, out=np.zeros(len(texts)), where=pieces > 0)
     return [sizes, chars, symbols, lines, repeated, [names[s] for s in script], pieces, per_token, share, entropies(ids, pieces, len(is_byte))]
@@ -169,8 +213,9 @@ def verdicts(found: list[np.ndarray], bands: Mapping[str, Band] = BANDS) -> tupl
     words, _, _, _, repeated, scripts, pieces, per_token, share, entropy = found
     failed = (words < LEAST_WORDS) | (100 * repeated > MOST_REPEATED * words)
     none = Band(0.0, np.inf, 1.0, -np.inf)
-    own = np.array([bands.get(s, bands.get("other", none)) for s in scripts], np.float64).reshape(-1, 4)
-    floor = np.minimum(own[:, 3], 0.5 * np.log2(np.maximum(pieces, 1)))
+    own = np.array([bands.get(s, bands.get("other", none)) for s in scripts], np.float64).reshape(-1, 5)
+    size = np.log2(np.maximum(pieces, 1))
+    floor = np.minimum(own[:, 3] + own[:, 4] * np.maximum(size - np.log2(GROWS_FROM), 0), 0.5 * size)
     inside = (per_token >= own[:, 0]) & (per_token <= own[:, 1]) & (share <= own[:, 2]) & (entropy >= floor)
     return failed, ~failed & inside
 

@@ -1,9 +1,11 @@
 """Tokeniser fertility: counts against brute force, measures against the library, verdicts at the bands."""
 
 import math
+import random
 import re
 from collections import Counter
 
+import numpy as np
 import public_tokenizers
 import sentencepiece
 from hypothesis import given, settings
@@ -99,3 +101,64 @@ def test_query_equals_definitions(spark, documents):
     got = {r.doc_id: (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed) for r in rows}
     assert got == {i: base(t) for i, t in documents}
     assert sum(r.kept for r in rows) == sum(not r.base_failed for r in rows)
+
+
+#: The beginning of one declaration in languages of many scripts.
+PROSE = {
+    "arabic": "يولد جميع الناس أحرارا متساوين في الكرامة والحقوق، وقد وهبوا عقلا وضميرا وعليهم أن يعامل بعضهم بعضا بروح الإخاء. لكل إنسان حق التمتع بكافة الحقوق والحريات الواردة في هذا الإعلان، دون أي تمييز، كالتمييز بسبب العنصر أو اللون أو الجنس أو اللغة أو الدين أو الرأي السياسي",
+    "persian": "تمام افراد بشر آزاد به دنیا می‌آیند و از لحاظ حیثیت و حقوق با هم برابرند. همه دارای عقل و وجدان می‌باشند و باید نسبت به یکدیگر با روح برادری رفتار کنند. هر کس می‌تواند بدون هیچگونه تمایز از تمام حقوق و کلیه آزادی‌هایی که در اعلامیه حاضر ذکر شده است بهره‌مند گردد",
+    "hebrew": "כל בני האדם נולדו בני חורין ושווים בערכם ובזכויותיהם. כולם חוננו בתבונה ובמצפון, לפיכך חובה עליהם לנהוג איש ברעהו ברוח של אחוה. כל אדם זכאי לזכויות ולחרויות שנקבעו בהכרזה זו ללא הפליה כלשהיא מטעמי גזע, צבע, מין, לשון, דת, דעה פוליטית או דעה בבעיות אחרות",
+    "devanagari": "सभी मनुष्यों को गौरव और अधिकारों के मामले में जन्मजात स्वतन्त्रता और समानता प्राप्त है। उन्हें बुद्धि और अन्तरात्मा की देन प्राप्त है और परस्पर उन्हें भाईचारे के भाव से बर्ताव करना चाहिए। सभी को इस घोषणा में सन्निहित सभी अधिकारों और आज़ादियों को प्राप्त करने का हक़ है",
+    "bengali": "সমস্ত মানুষ স্বাধীনভাবে সমান মর্যাদা এবং অধিকার নিয়ে জন্মগ্রহণ করে। তাঁদের বিবেক এবং বুদ্ধি আছে; সুতরাং সকলেরই একে অপরের প্রতি ভ্রাতৃত্বসুলভ মনোভাব নিয়ে আচরণ করা উচিত। এ ঘোষণায় উল্লেখিত স্বাধীনতা এবং অধিকারসমূহে গোত্র ধর্ম বর্ণ শিক্ষা ভাষা নির্বিশেষে প্রত্যেকেরই সমান অধিকার থাকবে",
+    "tamil": "மனிதப் பிறவியினர் சகலரும் சுதந்திரமாகவே பிறக்கின்றனர்; அவர்கள் மதிப்பிலும் உரிமைகளிலும் சமமானவர்கள், அவர்கள் நியாயத்தையும் மனச்சாட்சியையும் இயற்பண்பாகப் பெற்றவர்கள். அவர்கள் ஒருவருடனொருவர் சகோதர உணர்வுப் பாங்கில் நடந்துகொள்ளல் வேண்டும்",
+    "telugu": "ప్రతిపత్తిస్వత్వముల విషయమున మానవులెల్లరును జన్మతః స్వతంత్రులును సమానులును నగుదురు. వారు వివేదన అంతఃకరణ సంపన్నులగుటచే పరస్పరము భ్రాతృభావముతో వర్తింపవలయును",
+    "thai": "มนุษย์ทั้งหลายเกิดมามีอิสระและเสมอภาคกันในเกียรติศักดิ์และสิทธิ ต่างมีเหตุผลและมโนธรรม และควรปฏิบัติต่อกันด้วยเจตนารมณ์แห่งภราดรภาพ ทุกคนย่อมมีสิทธิและอิสรภาพบรรดาที่กำหนดไว้ในปฏิญญานี้ โดยปราศจากความแตกต่างไม่ว่าชนิดใด ๆ ดังเช่น เชื้อชาติ ผิว เพศ ภาษา ศาสนา ความคิดเห็นทางการเมือง",
+    "lao": "ມະນຸດທຸກຄົນເກີດມາມີກຽດສັກສີ ສິດທິ ເສລີພາບ ແລະ ຄວາມສະເໝີພາບເທົ່າທຽມກັນ ທຸກໆຄົນມີເຫດຜົນ ແລະ ຄວາມຄິດຄວາມເຫັນສ່ວນຕົວ ແລະ ຄວນປະພຶດຕໍ່ກັນຄືກັບອ້າຍນ້ອງ",
+    "khmer": "មនុស្សទាំងអស់កើតមកមានសេរីភាព និងភាពស្មើៗគ្នា ក្នុងសិទ្ធិ និងសេចក្ដីថ្លៃថ្នូរ មនុស្សគ្រប់រូបសុទ្ធតែមានវិចារណញ្ញាណ និងសតិសម្បជញ្ញៈ ហើយត្រូវប្រព្រឹត្ដចំពោះគ្នាទៅវិញទៅមកក្នុងស្មារតីរាប់អានគ្នាជាបងប្អូន",
+    "myanmar": "လူတိုင်းသည် တူညီ လွတ်လပ်သော ဂုဏ်သိက္ခာဖြင့် လည်းကောင်း၊ တူညီလွတ်လပ်သော အခွင့်အရေးများဖြင့် လည်းကောင်း မွေးဖွားလာသူများ ဖြစ်သည်။ ထိုသူတို့၌ ပိုင်းခြား ဝေဖန်တတ်သော ဉာဏ်နှင့် ကျင့်ဝတ် သိတတ်သော စိတ်တို့ရှိကြ၍",
+    "armenian": "Բոլոր մարդիկ ծնվում են ազատ ու հավասար իրենց արժանապատվությամբ ու իրավունքներով: Նրանք ունեն բանականություն ու խիղճ և միմյանց պետք է եղբայրաբար վերաբերվեն: Յուրաքանչյուր ոք ունի այս հռչակագրում ամրագրված բոլոր իրավունքներն ու ազատությունները",
+    "georgian": "ყველა ადამიანი იბადება თავისუფალი და თანასწორი თავისი ღირსებითა და უფლებებით. მათ მინიჭებული აქვთ გონება და სინდისი და ერთმანეთის მიმართ უნდა იქცეოდნენ ძმობის სულისკვეთებით. ყოველი ადამიანი უნდა ფლობდეს ყველა უფლებასა და ყველა თავისუფლებას",
+    "ethiopic": "የሰው ልጅ ሁሉ ሲወለድ ነጻና በክብርና በመብትም እኩልነት ያለው ነው። የተፈጥሮ ማስተዋልና ሕሊና ስላለው አንዱ ሌላውን በወንድማማችነት መንፈስ መመልከት ይገባዋል። እያንዳንዱ ሰው የዘር የቀለም የጾታ የቋንቋ የሃይማኖት የፖለቲካ ልዩነት ሳይኖር",
+    "greek": "Όλοι οι άνθρωποι γεννιούνται ελεύθεροι και ίσοι στην αξιοπρέπεια και τα δικαιώματα. Είναι προικισμένοι με λογική και συνείδηση, και οφείλουν να συμπεριφέρονται μεταξύ τους με πνεύμα αδελφοσύνης.",
+    "korean": "모든 인간은 태어날 때부터 자유로우며 그 존엄과 권리에 있어 동등하다. 인간은 천부적으로 이성과 양심을 부여받았으며 서로 형제애의 정신으로 행동하여야 한다.",
+    "japanese": "すべての 人間は、生まれながらにして自由であり、かつ、尊厳と権利とについて平等である。人間は、理性と良心とを授けられており、互いに同胞の精神をもって行動しなければならない。",
+    "gujarati": "પ્રતિષ્ઠા અને અધિકારોની દૃષ્ટિએ સર્વ માનવો જન્મથી સ્વતંત્ર અને સમાન હોય છે. તેમનામાં વિચારશક્તિ અને અંતઃકરણ હોય છે અને તેમણે પરસ્પર બંધુત્વની ભાવનાથી વર્તવું જોઇએ.",
+    "gurmukhi": "ਸਾਰਾ ਮਨੁੱਖੀ ਪਰਿਵਾਰ ਆਪਣੀ ਮਹਿਮਾ, ਸ਼ਾਨ ਅਤੇ ਹੱਕਾਂ ਦੇ ਪੱਖੋਂ ਜਨਮ ਤੋਂ ਹੀ ਆਜ਼ਾਦ ਹੈ ਅਤੇ ਸੁਤੇ ਸਿੱਧ ਸਾਰੇ ਲੋਕ ਬਰਾਬਰ ਹਨ। ਉਨ੍ਹਾਂ ਸਭਨਾ ਨੂੰ ਤਰਕ ਅਤੇ ਜ਼ਮੀਰ ਦੀ ਸੌਗਾਤ ਮਿਲੀ ਹੋਈ ਹੈ ਅਤੇ ਉਨ੍ਹਾਂ ਨੂੰ ਭਰਾਤਰੀਭਾਵ ਦੀ ਭਾਵਨਾ ਰਖਦਿਆਂ ਆਪਸ ਵਿਚ ਵਿਚਰਣਾ ਚਾਹੀਦਾ ਹੈ",
+    "kannada": "ಎಲ್ಲಾ ಮಾನವರೂ ಸ್ವತಂತ್ರರಾಗಿಯೇ ಜನಿಸಿದ್ದಾರೆ. ಹಾಗೂ ಘನತೆ ಮತ್ತು ಹಕ್ಕುಗಳಲ್ಲಿ ಸಮಾನರಾಗಿದ್ದಾರೆ. ವಿವೇಕ ಮತ್ತು ಅಂತಃಕರಣಗಳನ್ನು ಪಡೆದವರಾದ್ದರಿಂದ ಅವರು ಪರಸ್ಪರ ಸಹೋದರ ಭಾವದಿಂದ ವರ್ತಿಸಬೇಕು",
+    "malayalam": "മനുഷ്യരെല്ലാവരും തുല്യാവകാശങ്ങളോടും അന്തസ്സോടും സ്വാതന്ത്ര്യത്തോടുംകൂടി ജനിച്ചവരാണ്. അന്യോന്യം ഭ്രാതൃഭാവത്തോടെ പെരുമാറുവാനാണ് മനുഷ്യന്ന് വിവേകബുദ്ധിയും മനസ്സാക്ഷിയും സിദ്ധമായിരിക്കുന്നത്",
+    "sinhala": "සියලු මනුෂ්‍යයෝ නිදහස්ව උපත ලබා ඇත. ගරුත්වයෙන් හා අයිතිවාසිකම් වලින් සමාන වෙති. යුක්ති අයුක්ති පිළිබඳ හැඟීමෙන් හා හෘදය සාක්ෂියෙන් යුත් ඔවුන් ඔවුනොවුන්ට සැළකිය යුත්තේ සහෝදරත්වය පිළිබඳ හැඟීමෙනි",
+}
+
+
+def test_marks_digits_and_unknown_characters_are_rejected():
+    rng = random.Random(3)
+    kinds = {
+        "marks": "!?#.,;:*()[]{}-+=/&%$@",
+        "digits": "0123456789",
+        "private use": [chr(0xE000 + k) for k in range(200)],
+        "box drawing": [chr(0x2500 + k) for k in range(100)],
+        "letters unknown to the vocabulary": [chr(0x13A0 + k) for k in range(80)],
+    }
+    texts = [" ".join("".join(rng.choices(c, k=rng.randint(2, 9))) for _ in range(100)) for c in kinds.values()]
+    texts.append(texts[2] + " ລ")  # one letter doesn't make it prose of that letter's script
+    found = measure_texts(VOCABULARY, [t.encode() for t in texts])
+    assert not verdicts(found)[0].any()
+    assert not verdicts(found)[1].any()
+    assert found[5] == ["none"] * 4 + ["other", "none"]
+
+
+def test_prose_of_many_scripts_lies_in_its_band():
+    found = measure_texts(VOCABULARY, [t.encode() for t in PROSE.values()])
+    own = {"persian": "arabic", "korean": "han", "japanese": "han"}
+    assert found[5] == [own.get(n, n) for n in PROSE]
+    enough = [np.full(len(PROSE), 20), *found[1:]]  # some write few spaces
+    assert verdicts(enough)[1].all()
+
+
+def test_the_entropy_floor_grows_with_length():
+    rng = random.Random(5)
+    words = "the of and to in is that for it as was with be by on not he his but at are this have from".split()[:24]
+    short, long = (" ".join(rng.choices(words, k=n)).encode() for n in (150, 20_000))
+    found = measure_texts(VOCABULARY, [short, long])
+    assert found[9][1] > BANDS["latin"].least_entropy
+    assert verdicts(found)[1].tolist() == [True, False]
