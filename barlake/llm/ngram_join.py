@@ -37,6 +37,10 @@ UNIT_SHINGLES = 1 << 19
 TEXT_SHINGLES = 256
 #: A hash of more sets than this is counted by matrix products.
 FEW = 24
+#: Stands for a null doc_id in join keys. A row that has it as its id has an equal text where keys meet, too.
+NO_ID = -(1 << 63)
+#: The column that ``one_of_each`` adds to documents while it chooses.
+TEXT_KEY = "_text_key"
 SIGNED = pa.schema([("doc_id", pa.int64()), ("key", pa.string()), ("shingles", pa.int64()), ("prefixes", pa.list_(pa.int64()))])
 CHECKED = pa.schema([("node", pa.int64()), ("label", pa.int64()), ("links", pa.int64()), ("split", pa.bool_())])
 
@@ -189,21 +193,17 @@ def least_of(n: int, left: np.ndarray, right: np.ndarray, names: np.ndarray) ->
         label = least
 
 
-def join_documents(
+def classes_of(
     docs: DataFrame, threshold: float = THRESHOLD, words: int = WORDS, recall: float = RECALL
-) -> DataFrame:
-    """doc_id, class_id, n_copies and n_links of every document (doc_id, text; other columns are ignored).
-
-    Two documents are linked if the Jaccard similarity of their sets of ``words``-word shingles is at least
-    ``threshold``; a class is all that links reach, named by its least doc_id; n_links counts the documents that
-    one is linked to, n_copies those of the same text, itself included. Null texts, and texts without a word,
-    are linked to nothing and are classes of their own. Rows without a doc_id come back with null, 1 and 0.
-    Rows of one doc_id are documents of one name: they end up in one class, and each counts as a link.
-    """
+) -> tuple[DataFrame, DataFrame]:
+    """All rows as doc_id, key (of the text) and shingles; and for every text that has a word its key, node,
+    first_id (the least doc_id that has it), n_copies, links to other texts' rows (null for none), and its class:
+    class_id, the least doc_id, and class_key, the text that has it. Classes are told apart by class_key; doc_ids
+    only name rows, so texts of one doc_id are texts of their own, and rows without one take part."""
     length = prefix_length(threshold, recall=recall)
     share = Fraction(threshold).limit_denominator(10_000)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    keyed = rows.withColumn("key", F.md5("text"))
+    keyed = rows.withColumn("key", F.md5("text")).withColumn("id", F.coalesce("doc_id", F.lit(NO_ID)))
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -217,14 +217,18 @@ def join_documents(
                     [batch.column(0).slice(i, j - i), batch.column(1).slice(i, j - i), pa.array(counts), lists], schema=SIGNED
                 )
 
-    signed = keyed.filter("doc_id is not null").select("doc_id", "key", "text").mapInArrow(sign, from_arrow_schema(SIGNED))
+    signed = keyed.select("doc_id", "key", "text").mapInArrow(sign, from_arrow_schema(SIGNED))
     signed = materialise(signed, "signed")
-    # a node is a text, named by the least id that has it
+    # a node is a text, numbered once as it is written
     nodes = (
         signed.filter("shingles > 0")
         .groupBy("key")
-        .agg(F.min(F.struct("doc_id", "shingles", "prefixes")).alias("first"), F.count(F.lit(1)).alias("n_copies"))
-        .select("key", F.col("first.doc_id").alias("node"), "first.shingles", "first.prefixes", "n_copies")
+        .agg(
+            F.min("doc_id").alias("first_id"),
+            F.first(F.struct("shingles", "prefixes")).alias("found"),
+            F.count(F.lit(1)).alias("n_copies"),
+        )
+        .select("key", F.monotonically_increasing_id().alias("node"), "first_id", "found.shingles", "found.prefixes", "n_copies")
     )
     nodes = materialise(nodes, "nodes")
     placed = nodes.select("node", F.explode("prefixes").alias("prefix"))
@@ -233,7 +237,7 @@ def join_documents(
     groups = groups.union(groups.select(F.col("grp").alias("node"), "grp")).distinct()
 
     # a group of many shingles is cut into blocks, and every pair of blocks is a task; small groups share tasks
-    members = nodes.select("node", "key", "shingles", "n_copies").join(groups, "node")
+    members = nodes.select("node", "key", F.coalesce("first_id", F.lit(NO_ID)).alias("id"), "shingles", "n_copies").join(groups, "node")
     totals = members.groupBy("grp").agg(F.sum(F.col("shingles") + TEXT_SHINGLES).alias("total"))
     whole = totals.agg(F.sum("total")).head()[0] or 0
     bins = max(1, -(-whole // UNIT_SHINGLES))
@@ -244,16 +248,16 @@ def join_documents(
         members.withColumn("block", block)
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)))
         .select(
-            "node", "key", "n_copies", "grp", "block",
+            "node", "id", "key", "n_copies", "grp", "block",
             (F.col("n_blocks") > 1).alias("split"),
             F.least("block", "other").alias("i"),
             F.greatest("block", "other").alias("j"),
             F.when(F.col("n_blocks") > 1, F.col("grp")).otherwise(F.pmod(F.xxhash64("grp"), F.lit(bins))).alias("bin"),
         )
     )
-    texts = keyed.join(members.select(F.col("node").alias("doc_id"), "key").distinct(), ["doc_id", "key"], "left_semi")
-    texts = texts.groupBy("doc_id", "key").agg(F.first("text").alias("text")).withColumnRenamed("doc_id", "node")
-    units = dealt.join(texts, ["node", "key"])
+    texts = keyed.join(members.select("id", "key").distinct(), ["id", "key"], "left_semi")
+    texts = texts.groupBy("id", "key").agg(F.first("text").alias("text"))
+    units = dealt.join(texts, ["id", "key"])
 
     def verify(unit: pa.Table) -> pa.Table:
         unit = unit.sort_by("grp")
@@ -280,29 +284,61 @@ def join_documents(
     # labels of blocks of one group are tied together; others are already the least of their class
     tied = components(checked.filter("split").select(F.col("node").alias("u"), F.col("label").alias("v")), "tied")
     links = links.join(tied, "node", "left").select("node", "links", F.coalesce("tied", "label").alias("label"))
-    classes = nodes.select("key", "node", "n_copies").join(links, "node", "left")
-    result = signed.select("doc_id", F.when(F.col("shingles") > 0, F.col("key")).alias("key")).join(classes, "key", "left")
-    result = result.select(
+    # the text of a class that has its least doc_id, by key among equals, names it
+    named = nodes.select("key", "node", "first_id")
+    linked = materialise(links.join(named, "node"), "linked")
+    name = F.struct(F.col("first_id").isNull(), F.col("first_id").alias("id"), "key")
+    names = linked.groupBy("label").agg(F.min(name).alias("name"))
+    names = names.select("label", F.col("name.id").alias("class_id"), F.col("name.key").alias("class_key"))
+    linked = materialise(linked.join(names, "label").select("node", "links", "class_id", "class_key"), "named")
+    classes = nodes.select("key", "node", "first_id", "n_copies").join(linked, "node", "left")
+    alone = F.col("class_key").isNull()
+    classes = classes.withColumns(
+        {"class_id": F.when(alone, F.col("first_id")).otherwise(F.col("class_id")), "class_key": F.coalesce("class_key", "key")}
+    )
+    return signed.select("doc_id", "key", "shingles"), classes
+
+
+def join_documents(
+    docs: DataFrame, threshold: float = THRESHOLD, words: int = WORDS, recall: float = RECALL
+) -> DataFrame:
+    """doc_id, class_id, n_copies and n_links of every document (doc_id, text; other columns are ignored).
+
+    Two documents are linked if the Jaccard similarity of their sets of ``words``-word shingles is at least
+    ``threshold``; a class is all that links reach, named by its least doc_id; n_links counts the documents that
+    one is linked to, n_copies those of the same text, itself included. Null texts, and texts without a word,
+    are linked to nothing and are classes of their own. Every row is a document: rows without a doc_id take part
+    as others do, and a class of such rows only has a null name. Different texts of one doc_id are in one class
+    only if links reach from one to the other; if not, their classes may bear the same name.
+    """
+    rows, classes = classes_of(docs, threshold, words, recall)
+    result = rows.select("doc_id", F.when(F.col("shingles") > 0, F.col("key")).alias("key")).join(classes, "key", "left")
+    return result.select(
         "doc_id",
-        F.coalesce("label", "node", "doc_id").alias("class_id"),
+        F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
         F.coalesce("n_copies", F.lit(1)).cast("long").alias("n_copies"),
         (F.coalesce("n_copies", F.lit(1)) - 1 + F.coalesce("links", F.lit(0))).cast("long").alias("n_links"),
     )
-    nameless = rows.filter("doc_id is null").select(
-        "doc_id", F.col("doc_id").alias("class_id"), F.lit(1).cast("long").alias("n_copies"), F.lit(0).cast("long").alias("n_links")
-    )
-    return result.unionByName(nameless)
 
 
 def one_of_each(docs: DataFrame, threshold: float = THRESHOLD, words: int = WORDS, recall: float = RECALL) -> DataFrame:
-    """``docs`` (doc_id, text and any columns) with one document of each class: that of the least doc_id.
+    """``docs`` (doc_id, text and any columns) with one document of each class: that of the least doc_id, or one
+    without a doc_id where the class has no other.
 
-    Of several rows of that doc_id the least stays, columns compared in their order. Rows without a doc_id stay.
+    Of several rows of that doc_id and text the least stays, columns compared in their order. Rows without a word
+    are classes of their own: those of one doc_id and text are one, those without a doc_id all stay.
     """
-    joined = join_documents(docs, threshold, words, recall)
-    stays = joined.filter("doc_id = class_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
-    stays = materialise(stays, "stays")
-    single = docs.join(stays.filter("n = 1"), "doc_id", "left_semi")
-    several = docs.join(stays.filter("n > 1"), "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct(*docs.columns)).alias("row"))
-    nameless = docs.filter("doc_id is null")
+    rows, classes = classes_of(docs, threshold, words, recall)
+    rows = rows.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), F.coalesce("key", F.lit("")).alias(TEXT_KEY), "doc_id", "shingles")
+    chosen = classes.filter("key = class_key").select(F.coalesce("first_id", F.lit(NO_ID)).alias("id"), F.col("key").alias(TEXT_KEY))
+    stays = rows.filter("shingles > 0").join(chosen, ["id", TEXT_KEY], "left_semi").unionByName(rows.filter("shingles = 0 and doc_id is not null"))
+    stays = materialise(stays.groupBy("doc_id", TEXT_KEY).agg(F.count(F.lit(1)).alias("n")), "stays")
+    text = F.col("text").cast("string")
+    keyed = docs.withColumn(TEXT_KEY, F.coalesce(F.md5(text), F.lit("")))
+    same = keyed["doc_id"].cast("long").eqNullSafe(stays["doc_id"]) & (keyed[TEXT_KEY] == stays[TEXT_KEY])
+    single = keyed.join(stays.filter("n = 1"), same, "left_semi")
+    several = keyed.join(stays.filter("n > 1"), same, "left_semi")
+    several = several.groupBy("doc_id", TEXT_KEY).agg(F.min(F.struct(*docs.columns)).alias("row"))
+    wordless = ~F.coalesce(text.rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    nameless = docs.filter(F.col("doc_id").cast("long").isNull() & wordless)
     return single.select(*docs.columns).unionByName(several.select("row.*")).unionByName(nameless)

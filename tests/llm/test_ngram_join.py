@@ -120,3 +120,18 @@ def test_components_of_a_chain_and_a_star(spark):
 
 def test_query_equals_all_pairs(spark, documents):
     assert collected(op1_ngram_join(spark, TINY)) == brute(documents)
+
+
+def test_texts_of_one_id_and_rows_without_one(spark):
+    """Ids are names of rows only: unrelated texts of one id stay apart, rows without an id have copies as well."""
+    a, b, c, d = (" ".join(f"{x}{k}" for k in range(60)) for x in "abcd")
+    rows = [(5, a), (5, b), (7, b + " more"), (None, c), (None, c), (None, c + " more"), (9, d), (None, d), (8, d + " more"), (None, " "), (None, " ")]
+    docs = spark.createDataFrame([(i, t, n) for n, (i, t) in enumerate(rows)], "doc_id long, text string, n int")
+    got = sorted(((r.doc_id, r.class_id, r.n_copies, r.n_links) for r in join_documents(docs).collect()), key=str)
+    assert got == sorted(
+        [(5, 5, 1, 0), (5, 5, 1, 1), (7, 5, 1, 1), (None, None, 2, 2), (None, None, 2, 2), (None, None, 1, 2)]
+        + [(9, 8, 2, 2), (None, 8, 2, 2), (8, 8, 1, 2), (None, None, 1, 0), (None, None, 1, 0)],
+        key=str,
+    )
+    kept = sorted(r.n for r in one_of_each(docs).collect())
+    assert kept in ([0, 1, 3, 8, 9, 10], [0, 1, 5, 8, 9, 10])  # of the class without ids, the row of either text
