@@ -71,23 +71,25 @@ def validity(events: DataFrame) -> DataFrame:
 
 
 def judge(captures: DataFrame, events: DataFrame) -> DataFrame:
-    """capture_id, blocked, n_entries, lists and verdict_value for every capture.
+    """capture_id, blocked, n_entries, lists and verdict_value for every capture: a row for every row given.
 
     ``captures`` has capture_id, url and fetched_at (timestamp); other columns are ignored. The longest active
     value decides; if a block and an allow entry are equally long, the allow entry does. n_entries counts the
     active entries that cover the capture, lists has the sorted names of their lists, verdict_value the value
     that decided. A capture without a host or a fetch time, or which no active entry covers, isn't blocked and
-    has 0 entries, an empty array and null. Rows of one capture_id, null included, are judged together and give
-    one row.
+    has 0 entries, an empty array and null. Captures of one capture_id, null included, are judged each by its own
+    URL and time; equal rows are judged once and come back as often as they were given.
 
     A frequent host makes a frequent join key. Spark broadcasts the intervals where their measured size allows
     it, and a capture's values then never leave its task until they are one row again. Beyond that size it is a
     sort-merge join, whose frequent keys adaptive execution splits; nothing in the plan needs a key's rows in
     one place.
     """
+    capture = ["capture_id", "url", "fetched_at"]
     captures = captures.select("capture_id", "url", F.col("fetched_at").cast("timestamp").alias("fetched_at"))
+    captures = captures.groupBy(*capture).agg(F.count(F.lit(1)).alias("n_rows"))
     values = lookup_values(url_host(F.col("url")), url_path(F.col("url")))
-    keyed = captures.select("capture_id", "fetched_at", F.explode_outer(values).alias("looked_up"))
+    keyed = captures.select(*capture, "n_rows", F.explode_outer(values).alias("looked_up"))
     active = validity(events)
     at_fetch = (
         (F.col("looked_up") == F.col("value"))
@@ -97,14 +99,16 @@ def judge(captures: DataFrame, events: DataFrame) -> DataFrame:
     rank = F.struct(F.length("value").alias("size"), (F.col("verdict") == "allow").alias("allow"), F.col("value").alias("value"))
     found = (
         keyed.join(active, at_fetch, "left")
-        .groupBy("capture_id")
+        .groupBy(*capture)
         .agg(
+            F.max("n_rows").alias("n_rows"),
             F.count("value").alias("n_entries"),
             F.array_sort(F.collect_set("list_name")).alias("lists"),
             F.max(F.when(F.col("value").isNotNull(), rank)).alias("top"),
         )
     )
-    return found.select(
+    each = found.withColumn("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n_rows"))))
+    return each.select(
         "capture_id",
         F.coalesce(~F.col("top.allow"), F.lit(False)).alias("blocked"),
         "n_entries",

@@ -100,6 +100,19 @@ def test_repeated_rows_null_ids_and_clashing_columns(spark):
     assert got.keys() == {1, None, 2} and got[None][:2] == (True, 1) and got[1][0] and got[2] == (False, 0, [], None)
 
 
+def test_every_capture_has_its_own_row(spark):
+    """Captures of one id, fetched again later or of another URL, without an id, and equal rows."""
+    a, b = "http://a.com/", "http://b.com/"
+    rows = [(1, a, DAY[1]), (1, a, DAY[3]), (1, b, DAY[3]), (None, a, DAY[3]), (None, b, DAY[3]), (2, a, DAY[5]), (2, a, DAY[5]), (2, a, None), (3, None, DAY[3])]
+    events = spark.createDataFrame([("L", "block", "a.com", "add", DAY[2])], EVENT)
+    got = judge(spark.createDataFrame(rows, CAPTURE), events).collect()
+    found = [(r.capture_id, r.blocked, r.n_entries, r.verdict_value) for r in got]
+    blocked = (True, 1, "a.com")
+    free = (False, 0, None)
+    expected = [(1, *free), (1, *blocked), (1, *free), (None, *blocked), (None, *free), (2, *blocked), (2, *blocked), (2, *free), (3, *free)]
+    assert sorted(found, key=str) == sorted(expected, key=str)
+
+
 def test_empty_tables(spark):
     captures = spark.createDataFrame([(1, "http://a.com/", DAY[3])], CAPTURE)
     events = spark.createDataFrame([("L", "block", "a.com", "add", DAY[1])], EVENT)
