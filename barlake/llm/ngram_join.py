@@ -1,10 +1,11 @@
-"""N-gram Jaccard join by a MinHash LSH forest with exact verification.
+"""N-gram Jaccard join by MinHash banding with exact verification.
 
-Every text is a set of word shingles. Its MinHash signature is cut into trees; in the sorted prefix trie of a
-tree, texts that share a prefix of a given length stand together. Matched prefixes are shortened, from the whole
-depth of the trie on, until a pair at the threshold is found in some tree with the target recall. Texts that
-meet anywhere form candidate groups, and inside a group every pair is verified on its whole shingle sets, so
-links found on the way by no tree count as well.
+Every text is a set of word shingles. Its MinHash signature is cut into trees, and texts that share a prefix of a
+given length in a tree meet. The length is fixed before any text is read: the longest, up to DEPTH, at which a pair
+at the threshold meets in some tree with the target recall. This stands in for an LSH forest, which would sort
+whole-depth signatures and shorten matched prefixes text by text. Texts that meet anywhere form candidate groups,
+and inside a group every pair is verified on its whole shingle sets, so links found on the way by no tree count as
+well.
 
 What keeps groups of copies cheap: equal texts are one node with a count; a prefix links its texts to its least
 one only, not to each other; verification gets each text of a group once, splits large groups into blocks whose
@@ -29,7 +30,7 @@ from barlake.workspace import materialise
 WORDS = 5
 THRESHOLD = 0.8
 TREES = 32
-#: Signature values in a tree: the depth of its trie.
+#: Signature values in a tree at most; no more than the prefix's length are computed.
 DEPTH = 10
 RECALL = 0.999
 #: What a verifying task holds, about: shingles, and so many for each text besides.
