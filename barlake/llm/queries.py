@@ -9,7 +9,18 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barlake.llm import block_topk, curriculum_mix, fertility, language_bayes, ngram_join, quality_embeddings, temporal_lists
+from barlake.llm import (
+    block_topk,
+    curriculum_mix,
+    exact_dedup,
+    fertility,
+    hard_negatives,
+    hybrid_search,
+    language_bayes,
+    ngram_join,
+    quality_embeddings,
+    temporal_lists,
+)
 from barlake.llm.bpe_tree import decode_documents, encode_documents
 from barlake.llm.token_counts import count_tokens
 from barlake.llm.token_planes import read_tokens, write_tokens
@@ -213,6 +224,87 @@ from hits group by page_id
 """
 
 
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    digest = F.sha2(exact_dedup.without_spaces(F.col("text")), 256)
+    found = exact_dedup.equal_texts(table(spark, sf_dir, "documents"), carry=[digest])
+    return found.select("doc_id", "keep_id", "group_size", "kept", F.col("carried_0").alias("text_sha256"))
+
+
+OP11_SQL = r"""
+with d as (
+  select doc_id, length(coalesce(text, '')) as chars,
+         sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')) as text_sha256
+  from documents
+)
+select doc_id, first_value(doc_id) over best as keep_id, count(*) over (partition by text_sha256)::bigint as group_size,
+       row_number() over best = 1 as kept, text_sha256
+from d window best as (partition by text_sha256 order by chars desc, doc_id nulls last)
+"""
+
+
+def op12_hybrid_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hybrid_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+
+
+OP12_SQL = r"""
+with d as (
+  select doc_id, row_number() over () as place,
+         regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') as terms
+  from documents
+), q as (
+  select item_id, term, count(*) as repeats
+  from (select item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                               '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term from benchmark)
+  group by item_id, term
+), a as (select count(*)::bigint as n_docs, sum(len(terms))::bigint as n_all from d where len(terms) > 0
+), p as (
+  select place, any_value(doc_id) as doc_id, any_value(n) as n, term, count(*)::bigint as tf
+  from (select place, doc_id, len(terms)::bigint as n, unnest(terms) as term from d) group by place, term
+), w as (
+  select term, floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1)))::bigint as weight
+  from p, a group by term, n_docs
+), s as (
+  select q.item_id, p.place, any_value(p.doc_id) as doc_id,
+         sum(q.repeats * w.weight * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * n * n_docs) // n_all))))::bigint as score
+  from q join w using (term) join p using (term), a group by q.item_id, p.place
+), r as (
+  select item_id, row_number() over (partition by item_id order by score desc, doc_id nulls last)::integer as rank, doc_id, score
+  from s where score > 0
+)
+select item_id, rank, doc_id, score from r where rank <= 10
+"""
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, sf_dir, "embeddings").withColumn("label", label)
+    return hard_negatives.mine(rows, F.col("vec_id") % 50 == 0, positives=5, negatives=3, least=50, most=95)
+
+
+OP13_SQL = """
+with v as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+         list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as w
+  from embeddings
+  where vec_id is not null and label is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), s as (
+  select a.vec_id as anchor_id, c.vec_id, a.label = c.label as same,
+         list_sum(list_transform(list_zip(a.w, c.w), lambda p: p[1] * p[2]))::bigint as score
+  from v a join v c on a.vec_id % 50 = 0 and a.vec_id <> c.vec_id
+), p as (
+  select anchor_id, vec_id as positive_id, score as positive_score from s where same
+  qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5
+)
+select p.anchor_id, positive_id, row_number() over best::integer as rank, vec_id as negative_id, positive_score, score as negative_score
+from p join s on p.anchor_id = s.anchor_id and not same
+ and 50 * positive_score <= 100 * score and 100 * score <= 95 * positive_score
+window best as (partition by p.anchor_id, positive_id order by score desc, vec_id)
+qualify row_number() over best <= 3
+"""
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_ngram_join": op1_ngram_join,
@@ -225,8 +317,18 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_block_topk": op8_block_topk,
         "op9_fertility": op9_fertility,
         "op10_temporal_lists": op10_temporal_lists,
+        "op11_exact_dedup": op11_exact_dedup,
+        "op12_hybrid_search": op12_hybrid_search,
+        "op13_hard_negatives": op13_hard_negatives,
     }
 
 
 def llm_sql() -> dict[str, str]:
-    return {"op6_curriculum_mix": OP6_SQL, "op8_block_topk": OP8_SQL, "op10_temporal_lists": OP10_SQL}
+    return {
+        "op6_curriculum_mix": OP6_SQL,
+        "op8_block_topk": OP8_SQL,
+        "op10_temporal_lists": OP10_SQL,
+        "op11_exact_dedup": OP11_SQL,
+        "op12_hybrid_search": OP12_SQL,
+        "op13_hard_negatives": OP13_SQL,
+    }
