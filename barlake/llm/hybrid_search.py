@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_schema
 
-from barlake.llm.ragged import byte_texts, slices
+from barlake.llm.ragged import byte_runs, byte_texts, runs_of, slices
 
 #: Bytes of text indexed at once, and of a piece of one long text.
 SLICE_BYTES = 8 << 20
@@ -64,17 +64,8 @@ def split_terms(texts: list[bytes]) -> tuple[pa.Array, np.ndarray]:
     data = _BYTES[np.frombuffer(b"".join(texts), np.uint8)]
     ends = np.cumsum(sizes)
     inside = data != 0
-    joined = np.zeros(len(data) + 1, bool)  # whether a byte goes on with the term of the byte before it
-    joined[1:-1] = inside[1:] & inside[:-1]
-    joined[ends] = False
-    first, last = inside & ~joined[:-1], inside & ~joined[1:]
-    lengths = np.flatnonzero(last) - np.flatnonzero(first) + 1
-    offsets = np.zeros(len(lengths) + 1, np.int64)
-    np.cumsum(lengths, out=offsets[1:])
-    running = np.zeros(len(data) + 1, np.int64)
-    np.cumsum(first, out=running[1:])
-    terms = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(lengths), [None, pa.py_buffer(offsets), pa.py_buffer(data[inside])])
-    return terms, running[ends] - running[ends - sizes]
+    first, last = runs_of(inside, ends)
+    return byte_runs(data, inside, first, last), np.diff(np.searchsorted(first, ends), prepend=0)
 
 
 def pieces(text: bytes, most: int) -> Iterator[bytes]:

@@ -9,6 +9,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+
+
+def free_name(name: str, taken: Sequence[str]) -> str:
+    """``name``, with underscores behind it while a column of the table has it (whatever the case of its letters)."""
+    held = {t.lower() for t in taken}
+    while name.lower() in held:
+        name += "_"
+    return name
+
+
 #: ASCII white space as the word contracts mean it; ``bytes.split()`` splits at exactly these.
 SPACE = " \t\n\r\x0b\x0c"
 #: Bytes of text worked on at once inside a task.
@@ -53,6 +63,21 @@ def segment_sums(values: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return running[ends] - running[ends - lengths]
 
 
+def runs_of(inside: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First and last place of every run of places ``inside``; a run never goes beyond one of ``ends`` (exclusive)."""
+    joined = np.zeros(len(inside) + 1, bool)  # whether a place goes on with the run of the place before it
+    joined[1:-1] = inside[1:] & inside[:-1]
+    joined[ends] = False
+    return np.flatnonzero(inside & ~joined[:-1]), np.flatnonzero(inside & ~joined[1:])
+
+
+def byte_runs(data: np.ndarray, inside: np.ndarray, first: np.ndarray, last: np.ndarray) -> pa.Array:
+    """The bytes of each run of places ``inside``."""
+    offsets = np.zeros(len(first) + 1, np.int64)
+    np.cumsum(last - first + 1, out=offsets[1:])
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(first), [None, pa.py_buffer(offsets), pa.py_buffer(data[inside])])
+
+
 #: ASCII marks but for the apostrophe, which may begin a contraction.
 MARKS = b".,!?;:$%&*#|()[]{}\"-_+=/<>@~^`\\"
 

@@ -6,12 +6,13 @@ index tells where each block's planes lie. A written corpus is a folder:
 
 ``files/part-*.planes``   one file per writing task: compressed planes; then the chunk index, a row per block
                           (ids, offset, length of each plane, crc32 of the ids); then the index's length; MAGIC
-``documents/``            Parquet, a row per document: doc_id, part, first (its first id's place in the part),
-                          n_tokens
+``documents/``            Parquet, a row per document: doc_id, part, task (its writer's place in the order of
+                          documents), first (its first id's place in the part), n_tokens
 
 Each task attempt writes a file of its own name, and only the rows of attempts that Spark committed name their
 files, so a lost executor or a repeated task leaves at most a file that nothing refers to. Files are written
-and read through ``pyarrow.fs``, so the folder may be on any store it knows.
+and read through ``pyarrow.fs``, so the folder may be on any store it knows; the folder's full address is taken from
+Spark once, so that files lie where Spark's own tables do.
 """
 
 from __future__ import annotations
@@ -27,20 +28,34 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import pyarrow.fs
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_schema
 
-from barlake.llm.ragged import SLICE_BYTES, PieceTable, byte_texts, ragged, ragged_index, segment_sums, slices, split_marks, starts_of
+from barlake.llm.ragged import MARKS, SLICE_BYTES, PieceTable, ragged, ragged_index, starts_of
 
 #: Ids in a block.
 BLOCK_IDS = 1 << 16
 PLANES = 4
 #: Words that neither normalising nor splitting changes.
 LETTERS = re.compile("[a-zß-öø-ÿ]+")
+#: Bytes of text worked on at once.
+STRETCH_BYTES = 1 << 22
+#: What a byte is: white space 0, ASCII letter 1, ASCII mark but for the apostrophe 3, digit 4, anything else 2.
+_KIND = np.full(256, 2, np.uint8)
+_KIND[list(b" \t\n\r\x0b\x0c")] = 0
+_KIND[65:91] = _KIND[97:123] = 1
+_KIND[list(MARKS)] = 3
+_KIND[48:58] = 4
+#: Where the vocabulary's splitter cuts whatever surrounds the place: at white space, between a letter and a mark, and
+#: on either side of a digit. By 5 x the kind before + the kind behind.
+_CUTS = np.array([a == 0 or b == 0 or a == 4 or b == 4 or {a, b} == {1, 3} for a in range(5) for b in range(5)])
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
 MAGIC = b"IDPLANE1"
 CHUNK = np.dtype([("ids", "<u4"), ("crc", "<u4"), ("offset", "<u8"), ("planes", "<u4", (PLANES,))])
-DOCUMENTS = pa.schema([("doc_id", pa.int64()), ("part", pa.string()), ("first", pa.int64()), ("n_tokens", pa.int64())])
+DOCUMENTS = pa.schema([("doc_id", pa.int64()), ("part", pa.string()), ("task", pa.int32()), ("first", pa.int64()), ("n_tokens", pa.int64())])
 TOKENS = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.binary())])
 
 _tables: dict[str, PieceTable] = {}
@@ -60,6 +75,12 @@ def unpack(planes: list[bytes], count: int) -> np.ndarray:
     return np.ascontiguousarray(np.stack(raw, axis=1)).view("<u4").ravel()
 
 
+def full_address(spark: SparkSession, path: str) -> str:
+    """The path with the store that Spark would take it from."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(place).toString()
+
+
 def store_of(path: str) -> tuple[pa.fs.FileSystem, str]:
     if "://" not in path and ":/" not in path:
         return pa.fs.LocalFileSystem(), path
@@ -70,10 +91,9 @@ def store_of(path: str) -> tuple[pa.fs.FileSystem, str]:
 
 
 def word_table(path: str) -> PieceTable:
-    """Memo of the ids of words, as the tokenizers library encodes them with the vocabulary at ``path``.
+    """Memo of the ids of pieces, as the tokenizers library encodes them with the vocabulary at ``path``.
 
-    A word that ends in marks is put together from its two parts, so the library sees each part once. Words of
-    lower-case Latin letters alone are what normalising and splitting leave as they are: for them the library
+    Pieces of lower-case Latin letters alone are what normalising and splitting leave as they are: for them the library
     is loaded a second time without these two steps.
     """
     if path not in _tables:
@@ -112,30 +132,88 @@ def word_table(path: str) -> PieceTable:
             back = np.argsort(order)
             return flat[ragged_index(starts_of(lengths)[back], lengths[back])], lengths[back]
 
-        _tables[path] = PieceTable(encode, np.uint32, split=split_marks)
+        _tables[path] = PieceTable(encode, np.uint32, limit=700_000)
     return _tables[path]
 
 
-def encode_texts(path: str, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of every whole text one after another, and how many each has.
+def encode_stretch(table: PieceTable, data: np.ndarray, ends: np.ndarray, special: dict[int, bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of a stretch of bytes, and how many of them come before each of ``ends``, the places where texts end.
 
-    The vocabulary drops white space and lower-cases, so words are encoded alone. A text that holds ``<|`` may
-    hold a special token, which is matched before lower-casing: it goes to the library as one piece.
+    The vocabulary drops white space and lower-cases, so the pieces between its splitter's certain cuts are encoded
+    alone, each distinct one once. ``special`` has whole texts that are encoded by the library at the end they stand for.
+    """
+    kinds = _KIND[data]
+    cut = _CUTS[kinds[:-1] * np.uint8(5) + kinds[1:]]
+    cut[ends[(ends > 0) & (ends < len(data))] - 1] = True
+    inside = kinds != 0
+    first = np.flatnonzero(inside & np.concatenate([[True], cut])[: len(data)])
+    last = np.flatnonzero(inside & np.concatenate([cut, [True]])[: len(data)])
+    offsets = np.zeros(len(first) + 1, np.int64)
+    np.cumsum(last - first + 1, out=offsets[1:])
+    pieces = pa.LargeBinaryArray.from_buffers(
+        pa.large_binary(), len(first), [None, pa.py_buffer(offsets), pa.py_buffer(_LOWER[data[inside]])]
+    )
+    coded = pieces.dictionary_encode()
+    rows = table.rows(coded.dictionary.to_pylist() + list(special.values()))
+    known = len(coded.dictionary)
+    of_pieces = rows[coded.indices.to_numpy()]
+    before = np.searchsorted(first, ends)
+    if special:
+        where = np.fromiter(special, np.int64, len(special))
+        of_pieces = np.insert(of_pieces, before[where], rows[known:])
+        added = np.zeros(len(ends), np.int64)
+        added[where] = 1
+        before = before + np.cumsum(added)
+    ids, lengths = table.gather(of_pieces)
+    running = np.zeros(len(lengths) + 1, np.int64)
+    np.cumsum(lengths, out=running[1:])
+    return ids, running[before]
+
+
+def stretches(data: np.ndarray, ends: np.ndarray, most: int) -> Iterator[tuple[int, int, int, int]]:
+    """Stretches [a, b) of about ``most`` bytes and the texts [i, j) that end in them. A long text is cut at white space."""
+    a = i = 0
+    while a < len(data) or i < len(ends):
+        b = min(a + most, len(data))
+        while b < len(data):
+            window = data[b : b + most]
+            place = np.flatnonzero(_KIND[window] == 0)
+            close = ends[np.searchsorted(ends, b)]
+            b = min(int(close), b + (int(place[0]) if len(place) else len(window)))
+            if b == close or len(place):
+                break
+        j = int(np.searchsorted(ends, b, side="right"))
+        yield a, b, i, j
+        a, i = b, j
+
+
+def encode_texts(path: str, texts: pa.Array, end_id: int | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Ids of every whole text one after another in bounded runs, with the number of ids, counted from the first
+    text, at which each text that ends in the run is over. Null texts are empty; ``end_id`` closes each text.
+
+    A text that holds ``<|`` may hold a special token, which is matched before lower-casing: the library gets it whole.
     """
-    plain = pa.array([b"" if b"<|" in t else t for t in texts], pa.binary()).cast(pa.string())
-    words = pc.ascii_split_whitespace(pc.ascii_lower(plain))
-    special = [k for k, t in enumerate(texts) if b"<|" in t]
-    # a slice's distinct words are looked up once each; white space at either end makes an empty word without ids
-    coded = words.flatten().dictionary_encode()
-    distinct = coded.dictionary.cast(pa.binary()).to_pylist()
     table = word_table(path)
-    rows = table.rows(distinct + [texts[k] for k in special])
-    sizes = words.value_lengths().to_numpy().astype(np.int64)
-    of_words = rows[coded.indices.to_numpy()]
-    if special:  # such a text has one empty word, whose place it takes
-        of_words[starts_of(sizes)[special]] = rows[len(distinct) :]
-    ids, lengths = table.gather(of_words)
-    return ids, segment_sums(lengths, sizes)
+    texts = texts.cast(pa.large_string()).fill_null("")
+    marked = pc.match_substring(texts, "<|")
+    special: dict[int, bytes] = {}
+    if pc.any(marked).as_py():
+        where = np.flatnonzero(marked.to_numpy(zero_copy_only=False))
+        special = {int(i): texts[i].as_py().encode() for i in where}
+        texts = pc.if_else(marked, "", texts).cast(pa.large_string())
+    offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    raw = texts.buffers()[2]
+    data = np.zeros(0, np.uint8) if raw is None else np.frombuffer(raw, np.uint8)[offsets[0] : offsets[-1]]
+    ends = offsets[1:] - offsets[0]
+    done = 0
+    for a, b, i, j in stretches(data, ends, STRETCH_BYTES):
+        own = {k - i: special[k] for k in range(i, j) if k in special} if special else {}
+        ids, over = encode_stretch(table, data[a:b], ends[i:j] - a, own)
+        if end_id is not None:
+            ids = np.insert(ids, over, np.uint32(end_id))
+            over = over + np.arange(1, j - i + 1)
+        yield ids, done + over
+        done += len(ids)
 
 
 class PartWriter:
@@ -229,6 +307,7 @@ def write_tokens(
     often as they come. An empty table writes an empty folder of documents.
     """
     n = partitions or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    folder = full_address(docs.sparkSession, folder)
     order = [F.col("doc_id"), F.xxhash64("text")]
     # texts are dealt out before they are encoded: finding the ranges then samples the scan, not the encoder
     ordered = (
@@ -238,21 +317,16 @@ def write_tokens(
     )
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part = None
+        part, task = None, TaskContext.get().partitionId()
         for batch in batches:
-            texts = byte_texts(batch.column(1))
-            for i, j in slices(texts):
-                part = part or PartWriter(f"{folder}/files")
-                ids, counts = encode_texts(vocabulary, texts[i:j])
-                if end_id is not None:
-                    ids = np.insert(ids, np.cumsum(counts), np.uint32(end_id))
-                    counts = counts + 1
-                firsts = part.ids + starts_of(counts)
+            part = part or PartWriter(f"{folder}/files")
+            begin, over = part.ids, []
+            for ids, ends in encode_texts(vocabulary, batch.column(1), end_id):
                 part.add(ids)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(i, j - i), pa.array([part.name] * (j - i)), pa.array(firsts), pa.array(counts)],
-                    schema=DOCUMENTS,
-                )
+                over.append(ends)
+            counts = np.diff(np.concatenate(over), prepend=0)
+            columns = [batch.column(0), [part.name] * len(counts), [task] * len(counts), begin + starts_of(counts), counts]
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, DOCUMENTS)], schema=DOCUMENTS)
         if part:
             part.close()
 
@@ -263,13 +337,13 @@ def write_tokens(
 def document_index(spark: SparkSession, folder: str) -> DataFrame:
     """doc_id, part, first, n_tokens, and start: the ids of all documents before it.
 
-    Parts are put in the order of their documents. There is one part per writing task, so this small table of
-    parts is bounded by the task count of the write, whatever the number of documents.
+    Parts are put in the order of the tasks that wrote them, which is that of their documents, also where one doc_id
+    fills several. There is one part per writing task, so this small table of parts is bounded by the task count of the
+    write, whatever the number of documents.
     """
     documents = spark.read.schema(from_arrow_schema(DOCUMENTS)).parquet(f"{folder}/documents")
-    key = F.struct(F.col("doc_id").isNotNull(), "doc_id")
-    parts = documents.groupBy("part").agg(F.sum("n_tokens").alias("ids"), F.min(key).alias("low"), F.max(key).alias("high"))
-    before = Window.orderBy("low", "high", "part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = documents.groupBy("part").agg(F.sum("n_tokens").alias("ids"), F.min("task").alias("task"))
+    before = Window.orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
     parts = parts.select("part", F.coalesce(F.sum("ids").over(before), F.lit(0)).alias("before"))
     return documents.join(F.broadcast(parts), "part").select(
         "doc_id", "part", "first", "n_tokens", (F.col("before") + F.col("first")).alias("start")
@@ -278,6 +352,7 @@ def document_index(spark: SparkSession, folder: str) -> DataFrame:
 
 def read_tokens(spark: SparkSession, folder: str) -> DataFrame:
     """Every written document from the files: doc_id, start, n_tokens, and ids as little-endian 32-bit numbers."""
+    folder = full_address(spark, folder)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, at = None, None
