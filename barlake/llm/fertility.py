@@ -3,7 +3,8 @@
 How a public vocabulary takes a text apart tells text of the kind it was made from from other text: characters
 per token fall where words are broken by marks or noise, the share of byte-fallback tokens rises with characters
 that are in no vocabulary, and the entropy of a text's tokens falls with repetition. Each of the three has a band
-per script, or per language where one is given; a text outside a band is rejected. Bands are parameters: they
+per script, and Latin script has a second one for languages that write many marked letters (Vietnamese, Yoruba,
+Navajo), which the vocabulary takes letter by letter; a text outside its band is rejected. Bands are parameters: they
 don't depend on the other texts, so a text's verdict is its own.
 
 Plain counts of words, symbols, repeated lines and repeated word windows are made in the same pass.
@@ -11,6 +12,7 @@ Plain counts of words, symbols, repeated lines and repeated word windows are mad
 
 from __future__ import annotations
 
+import string
 from collections.abc import Iterator, Mapping
 from typing import NamedTuple
 
@@ -20,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_schema
 
-from barlake.llm.ragged import PieceTable, byte_texts, filter_texts, ragged, segment_sums, slices
+from barlake.llm.ragged import PieceTable, byte_runs, byte_texts, filter_texts, ragged, runs_of, segment_sums, slices, starts_of
 
 SYMBOLS = b"#*$%&|<>"
 #: Words of a window, words a text must have, and the share of words in repeated windows it may have.
@@ -50,12 +52,15 @@ class Band(NamedTuple):
 GROWS_FROM = 256
 #: A text fewer than one in so many of whose characters are letters counts as one without.
 LETTERS_ONE_IN = 10
-#: Bands by script; ``none`` is for texts without letters, ``other`` for letters of all other scripts. Wide enough
-#: for any prose (those of the further scripts leave a margin about reference prose of each, see the tests): what
-#: falls outside is hex and other encoded data, marks, digits, wrongly decoded or unknown characters, and endless
-#: repetition. Letters that the vocabulary doesn't know are unknown characters, but for scripts with a band.
+#: Latin text is ``latin_marked`` if one in so many of its letters, or more, is no ASCII letter or carries a mark.
+MARKED_ONE_IN = 20
+#: Bands by script; ``none`` is for texts without letters, ``other`` for letters of all other scripts. They leave a
+#: margin about reference prose of each script and of Latin languages of few and of many marked letters, composed and
+#: decomposed (see the tests). What falls outside is hex and other encoded data, marks, digits, unknown characters,
+#: and endless repetition. Letters that the vocabulary doesn't know are unknown characters, but for scripts with a band.
 BANDS: dict[str, Band] = {
-    "latin": Band(1.5, 8.0, 0.10, 4.0, 0.25),
+    "latin": Band(1.35, 8.0, 0.12, 4.0, 0.25),
+    "latin_marked": Band(0.85, 8.0, 0.35, 3.8),
     "cyrillic": Band(1.2, 8.0, 0.20, 4.0, 0.25),
     "greek": Band(0.6, 8.0, 0.40, 3.5),
     "han": Band(0.25, 4.0, 0.75, 3.5, 0.10),
@@ -67,6 +72,7 @@ BANDS: dict[str, Band] = {
     "bengali": Band(0.45, 4.0, 0.45, 3.5),
     "gurmukhi": Band(0.30, 4.0, 0.92, 3.0),
     "gujarati": Band(0.30, 4.0, 0.92, 3.0),
+    "odia": Band(0.28, 4.0, 0.97, 2.8),
     "tamil": Band(0.50, 4.0, 0.40, 3.5),
     "telugu": Band(0.40, 4.0, 0.75, 3.3),
     "kannada": Band(0.45, 4.0, 0.65, 3.3),
@@ -77,13 +83,17 @@ BANDS: dict[str, Band] = {
     "myanmar": Band(0.40, 4.0, 0.80, 3.3),
     "ethiopic": Band(0.30, 4.0, 0.93, 3.2),
     "khmer": Band(0.50, 4.0, 0.55, 3.5),
+    "tibetan": Band(0.50, 4.0, 0.65, 3.5),
+    "mongolian": Band(0.28, 4.0, 0.97, 2.5),
+    "thaana": Band(0.35, 4.0, 0.97, 2.8),
     "other": Band(0.25, 8.0, 0.90, 3.0),
     "none": Band(1.5, 8.0, 0.10, 4.0, 0.25),
 }
 #: Letters of each script (fixed values: ranges of code points), the first code point after each range behind it.
 SCRIPTS = {
-    "latin": (0x41, 0x5B, 0x61, 0x7B, 0xC0, 0x250),
-    "greek": (0x370, 0x400),
+    "latin": (0x41, 0x5B, 0x61, 0x7B),
+    "latin_marked": (0xC0, 0xD7, 0xD8, 0xF7, 0xF8, 0x370, 0x1E00, 0x1F00, 0x2C60, 0x2C80, 0xA720, 0xA800, 0xAB30, 0xAB70),
+    "greek": (0x370, 0x400, 0x1F00, 0x2000),
     "cyrillic": (0x400, 0x530),
     "han": (0x3040, 0x3100, 0x3400, 0xA000, 0xAC00, 0xD7B0),
     "arabic": (0x600, 0x700, 0x750, 0x780, 0x8A0, 0x900, 0xFB50, 0xFE00, 0xFE70, 0xFF00),
@@ -94,6 +104,7 @@ SCRIPTS = {
     "bengali": (0x980, 0xA00),
     "gurmukhi": (0xA00, 0xA80),
     "gujarati": (0xA80, 0xB00),
+    "odia": (0xB00, 0xB80),
     "tamil": (0xB80, 0xC00),
     "telugu": (0xC00, 0xC80),
     "kannada": (0xC80, 0xD00),
@@ -104,11 +115,22 @@ SCRIPTS = {
     "myanmar": (0x1000, 0x10A0),
     "ethiopic": (0x1200, 0x13A0),
     "khmer": (0x1780, 0x1800),
+    "tibetan": (0xF00, 0x1000),
+    "mongolian": (0x1800, 0x18B0),
+    "thaana": (0x780, 0x7C0),
 }
+#: Marks that stand apart from the letter they belong to (fixed values: a range of code points).
+COMBINING = (0x300, 0x370)
+_SPACE = np.zeros(256, bool)
+_SPACE[list(b" \t\n\r\x0b\x0c")] = True
+_LETTER = np.zeros(256, bool)
+_LETTER[list(string.ascii_letters.encode())] = True
+_SYMBOL = np.zeros(256, bool)
+_SYMBOL[list(SYMBOLS)] = True
 
 RATED = MEASURES.append(pa.field("base_failed", pa.bool_())).append(pa.field("kept", pa.bool_()))
 
-_tables: dict[str, tuple[PieceTable, np.ndarray]] = {}
+_tables: dict[str, tuple[PieceTable, np.ndarray, np.ndarray]] = {}
 _scripts: list[np.ndarray] = []
 
 
@@ -117,6 +139,7 @@ def script_table() -> np.ndarray:
     what is no letter."""
     if not _scripts:
         table = np.array([0 if chr(i).isalpha() else 255 for i in range(0x110000)], np.uint8)
+        table[slice(*COMBINING)] = 0  # counts as a marked letter
         for k, edges in enumerate(SCRIPTS.values(), 1):
             for a, b in zip(edges[::2], edges[1::2]):
                 table[a:b][table[a:b] == 0] = k
@@ -124,45 +147,64 @@ def script_table() -> np.ndarray:
     return _scripts[0]
 
 
-def tables(path: str) -> tuple[PieceTable, np.ndarray]:
-    """Memo of the token ids of words, and which ids are byte-fallback tokens."""
+def tables(path: str) -> tuple[PieceTable, np.ndarray, np.ndarray]:
+    """Memo of the token ids of pieces of words, which ids are byte-fallback tokens, and which bytes are marks that a
+    word can be cut before.
+
+    Merging joins neighbours only into what is a token, so where no token holds an ASCII letter followed by a certain
+    mark, nothing is ever joined across the two. A piece from inside a word has a blank before it in the memo: it is
+    encoded behind a letter, whose token is left out, since the library takes what it gets as the beginning of a word.
+    """
     if path not in _tables:
         import sentencepiece
 
         model = sentencepiece.SentencePieceProcessor(model_file=path)
         is_byte = np.array([model.is_byte(i) for i in range(model.get_piece_size())])
+        pairs = {a + b for p in map(model.id_to_piece, np.flatnonzero(~is_byte).tolist()) for a, b in zip(p, p[1:])}
+        letters = string.ascii_letters
+        cut = np.zeros(256, bool)
+        cut[[ord(m) for m in string.punctuation if not any(x + m in pairs for x in letters)]] = True
+        if len(model.encode("a")) != 1:
+            cut[:] = False
 
         def encode(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-            return ragged(model.encode([w.decode() for w in words], num_threads=1), np.int32)
+            inner = np.fromiter((w[:1] == b" " for w in words), bool, len(words))
+            flat, lengths = ragged(model.encode([("a" + w[1:].decode()) if t else w.decode() for w, t in zip(words, inner)], num_threads=1), np.int32)
+            drop = np.zeros(len(flat), bool)
+            drop[starts_of(lengths)[inner]] = True
+            return flat[~drop], lengths - inner
 
-        _tables[path] = PieceTable(encode, np.int32, limit=600_000), is_byte
+        _tables[path] = PieceTable(encode, np.int32, limit=600_000), is_byte, cut
     return _tables[path]
 
 
 def repeated_words(codes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """How many words of each text lie in a window of WINDOW words that the text holds twice or more.
 
-    ``codes`` numbers the words of all texts one after another. Equal windows are found exactly, by numbering
-    pairs, then pairs of pairs, then windows.
+    ``codes`` numbers the words of all texts one after another. A hash of each window and its text finds windows that
+    may be equal; these few are then compared word by word, so the count is exact.
     """
     out = np.zeros(len(sizes), np.int64)
-    if not len(codes):
+    n = len(codes) - WINDOW + 1
+    if n <= 0:
         return out
     text = np.repeat(np.arange(len(sizes)), sizes)
-    span, numbered = 1, codes.astype(np.int64)
-    while span < WINDOW:
-        if len(numbered) <= span:
-            return out
-        pairs = numbered[:-span] * (int(numbered.max()) + 1) + numbered[span:]
-        _, numbered = np.unique(pairs, return_inverse=True)
-        span *= 2
-    inside = text[: len(numbered)] == text[WINDOW - 1 :]
-    place = np.flatnonzero(inside)
-    if not len(place):
+    place = np.flatnonzero(text[:n] == text[WINDOW - 1 :])
+    mixed = (codes.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+    mixed ^= mixed >> np.uint64(29)
+    key = text[:n].astype(np.uint64) * np.uint64(0xD1B54A32D192ED03)
+    for k in range(WINDOW):
+        key = key * np.uint64(0xBF58476D1CE4E5B9) + mixed[k : k + n]
+    key = key[place]
+    ordered = np.sort(key)
+    twice = ordered[1:][ordered[1:] == ordered[:-1]]
+    if not len(twice):
         return out
-    own = text[place].astype(np.int64) * (int(numbered.max()) + 1) + numbered[place]
-    _, which, times = np.unique(own, return_inverse=True, return_counts=True)
-    first = place[times[which] > 1]
+    where = np.searchsorted(twice, key)
+    place = place[twice[np.minimum(where, len(twice) - 1)] == key]
+    windows = np.column_stack([text[place], *(codes[place + k] for k in range(WINDOW))])
+    _, which, times = np.unique(windows, axis=0, return_inverse=True, return_counts=True)
+    first = place[times[which.ravel()] > 1]
     edge = np.zeros(len(codes) + 1, np.int64)
     np.add.at(edge, first, 1)
     np.add.at(edge, first + WINDOW, -1)
@@ -178,33 +220,60 @@ def entropies(ids: np.ndarray, sizes: np.ndarray, kinds: int) -> np.ndarray:
     return np.log2(some) - total / some
 
 
+def script_of(text: bytes, chars: int) -> str:
+    """The script that most letters of a text belong to; ``none`` for a text of few letters or none."""
+    if text.isascii():
+        return "latin" if text.lower() != text.upper() else "none"
+    code_points = np.frombuffer(text.decode().encode("utf-32-le"), "<u4")
+    kinds = np.bincount(script_table()[code_points], minlength=256)[:255]
+    if LETTERS_ONE_IN * kinds.sum() < max(1, chars):
+        return "none"
+    names = ["other", *SCRIPTS]
+    plain, marked = kinds[names.index("latin")], kinds[names.index("latin_marked")]
+    if plain + marked >= kinds.max():
+        return "latin_marked" if MARKED_ONE_IN * marked >= plain + marked else "latin"
+    return names[kinds.argmax()]
+
+
 def measure_texts(path: str, texts: list[bytes]) -> list[np.ndarray]:
     """The columns of MEASURES behind doc_id for every whole text."""
-    memo, is_byte = tables(path)
-    words = [t.split() for t in texts]
-    sizes = np.fromiter(map(len, words), np.int64, len(words))
-    rows = memo.rows([w for own in words for w in own])
-    repeated = repeated_words(rows, sizes)
-    ids, lengths = memo.gather(rows)
-    pieces = segment_sums(lengths, sizes)
+    memo, is_byte, cut = tables(path)
+    data = np.frombuffer(b"".join(texts), np.uint8)
+    ends = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)))
+    inside = ~_SPACE[data]
+    first, last = runs_of(inside, ends)
+    sizes = np.diff(np.searchsorted(first, ends), prepend=0)
+    codes = byte_runs(data, inside, first, last).dictionary_encode().indices.to_numpy(zero_copy_only=False)
+    repeated = repeated_words(codes, sizes)
+    # words are encoded in pieces, each distinct one once
+    apart = np.flatnonzero(_LETTER[data[:-1]] & cut[data[1:]]) + 1
+    begin, end = runs_of(inside, np.concatenate([ends, apart]))
+    coded = byte_runs(data, inside, begin, end).dictionary_encode()
+    codes = coded.indices.to_numpy(zero_copy_only=False)
+    inner = np.ones(len(begin), bool)
+    inner[np.searchsorted(begin, first)] = False
+    some_inner = np.flatnonzero(np.bincount(codes[inner], minlength=1))
+    whole = coded.dictionary.to_pylist()
+    rows = memo.rows(whole + [b" " + whole[c] for c in some_inner])
+    of_inner = np.zeros(len(whole), np.int64)
+    of_inner[some_inner] = rows[len(whole) :]
+    ids, lengths = memo.gather(np.where(inner, of_inner[codes], rows[codes]) if len(codes) else rows[:0])
+    pieces = segment_sums(lengths, np.diff(np.searchsorted(begin, ends), prepend=0))
     by_bytes = segment_sums(is_byte[ids].astype(np.int64), pieces)
-    chars, symbols, lines, script = (np.zeros(len(texts), np.int64) for _ in range(4))
-    names = ["other", *SCRIPTS, "none"]
+
+    def count(flags: np.ndarray) -> np.ndarray:
+        return np.diff(np.searchsorted(np.flatnonzero(flags), ends), prepend=0)
+
+    chars = segment_sums(last - first + 1, sizes) - count((data & 0xC0) == 0x80)  # bytes that go on with a character
+    symbols = count(_SYMBOL[data])
+    lines = np.zeros(len(texts), np.int64)
     for k, text in enumerate(texts):
-        string = text.decode()
-        own = words[k]
-        chars[k] = len(string) - (len(text) - sum(map(len, own)))
-        symbols[k] = len(text) - len(text.translate(None, SYMBOLS))
         full = [line for line in text.split(b"\n") if line.strip()]
         lines[k] = len(full) - len(set(full))
-        if not string.isascii():
-            kinds = np.bincount(script_table()[np.frombuffer(string.encode("utf-32-le"), "<u4")], minlength=256)[:255]
-            script[k] = kinds.argmax() if LETTERS_ONE_IN * kinds.sum() >= max(1, chars[k]) else len(names) - 1
-        elif own:
-            script[k] = 1 if any(65 <= b < 91 or 97 <= b < 123 for b in text) else len(names) - 1
+    scripts = [script_of(text, n) if size else "other" for text, n, size in zip(texts, chars, sizes)]
     per_token = np.divide(chars, pieces, out=np.zeros(len(texts)), where=pieces > 0)
     share = np.divide(by_bytes, pieces, out=np.zeros(len(texts)), where=pieces > 0)
-    return [sizes, chars, symbols, lines, repeated, [names[s] for s in script], pieces, per_token, share, entropies(ids, pieces, len(is_byte))]
+    return [sizes, chars, symbols, lines, repeated, scripts, pieces, per_token, share, entropies(ids, pieces, len(is_byte))]
 
 
 def verdicts(found: list[np.ndarray], bands: Mapping[str, Band] = BANDS) -> tuple[np.ndarray, np.ndarray]:
@@ -226,7 +295,8 @@ def rate(docs: DataFrame, vocabulary: str, bands: Mapping[str, Band] = BANDS) ->
 
     A text of fewer than LEAST_WORDS words, or more than MOST_REPEATED percent of whose words lie in repeated
     windows, fails the base rules, so null and empty texts do. The others are kept if they lie in the bands of
-    their script. A row comes back for every row given; nothing is shuffled.
+    their script. A row comes back for every row given; nothing is shuffled. Very long texts are measured whole, one at
+    a time. Columns of ``docs`` that share a name with a measure are not read.
     """
 
     def rated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

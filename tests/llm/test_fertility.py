@@ -3,10 +3,12 @@
 import math
 import random
 import re
+import unicodedata
 from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pytest
 import sentencepiece
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -64,6 +66,18 @@ def test_measures_are_those_of_the_librarys_tokens():
     assert found[5] == ["latin", "han", "other", "latin"]
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text(alphabet="abzE .,:;!?()\"'-_/\\|<>#$%&*+=@[]{}~^`\n19é▁ćо日\u0301\x00", max_size=40), min_size=1, max_size=4))
+def test_cutting_words_changes_no_token(texts):
+    found = measure_texts(VOCABULARY, [t.encode() for t in texts])
+    for k, text in enumerate(texts):
+        ids = [i for w in WORD.findall(text) for i in LIBRARY.encode(w)]
+        counts = Counter(ids).values()
+        assert found[6][k] == len(ids)
+        assert math.isclose(found[8][k], sum(LIBRARY.is_byte(i) for i in ids) / max(1, len(ids)), abs_tol=1e-12)
+        assert math.isclose(found[9][k], -sum(c / len(ids) * math.log2(c / len(ids)) for c in counts), abs_tol=1e-9)
+
+
 def test_what_the_bands_reject():
     prose = "The committee will meet on Thursday to look at the plans for the new bridge, which many people in the town have asked for since the old one was closed last winter."
     hexes = " ".join(f"{k * 2654435761 % 2**64:016x}" for k in range(1, 40))
@@ -130,6 +144,49 @@ PROSE = {
 }
 
 
+#: The same in Latin languages of few and many marked letters, and in further scripts; one is the beginning of a gospel.
+MARKED = {
+    "vietnamese": "Tất cả mọi người sinh ra đều được tự do và bình đẳng về nhân phẩm và quyền. Mọi con người đều được tạo hóa ban cho lý trí và lương tâm và cần phải đối xử với nhau trong tình anh em. Mọi người đều được hưởng tất cả những quyền và tự do nêu trong bản tuyên ngôn này",
+    "yoruba": "Gbogbo ènìyàn ni a bí ní òmìnira; iyì àti ẹ̀tọ́ kọ̀ọ̀kan sì dọ́gba. Wọ́n ní ẹ̀bùn ti làákàyè àti ti ẹ̀rí-ọkàn, ó sì yẹ kí wọn ó máa hùwà sí ara wọn gẹ́gẹ́ bí ọmọ ìyá. Ẹnì kọ̀ọ̀kan ló ní àǹfààní sí gbogbo ẹ̀tọ́ àti òmìnira",
+    "polish": "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem i sumieniem i powinni postępować wobec innych w duchu braterstwa. Każdy człowiek posiada wszystkie prawa i wolności zawarte w niniejszej Deklaracji",
+    "turkish": "Bütün insanlar hür, haysiyet ve haklar bakımından eşit doğarlar. Akıl ve vicdana sahiptirler ve birbirlerine karşı kardeşlik zihniyeti ile hareket etmelidirler. Herkes, ırk, renk, cinsiyet, dil, din, siyasi veya diğer herhangi bir akide, milli veya içtimai menşe bakımından",
+    "czech": "Všichni lidé rodí se svobodní a sobě rovní co do důstojnosti a práv. Jsou nadáni rozumem a svědomím a mají spolu jednat v duchu bratrství. Každý má všechna práva a všechny svobody, stanovené touto deklarací, bez jakéhokoli rozlišování",
+    "hungarian": "Minden emberi lény szabadon születik és egyenlő méltósága és joga van. Az emberek, ésszel és lelkiismerettel bírván, egymással szemben testvéri szellemben kell hogy viseltessenek. Mindenki, bármely megkülönböztetésre tekintet nélkül",
+    "icelandic": "Hver maður er borinn frjáls og jafn öðrum að virðingu og réttindum. Menn eru gæddir vitsmunum og samvisku, og ber þeim að breyta bróðurlega hverjum við annan. Hver maður skal eiga kröfu á réttindum þeim og því frjálsræði",
+    "lithuanian": "Visi žmonės gimsta laisvi ir lygūs savo orumu ir teisėmis. Jiems suteiktas protas ir sąžinė ir jie turi elgtis vienas kito atžvilgiu kaip broliai. Kiekvienas žmogus gali naudotis visomis šioje Deklaracijoje paskelbtomis teisėmis ir laisvėmis",
+    "hawaiian": "Hānau kūʻokoʻa ʻia nā kānaka apau loa, a ua kau like ka hanohano a me nā pono kīvila ma luna o kākou pākahi. Ua kuʻu mai ka noʻonoʻo pono a me ka ʻike pono ma luna o kākou, no laila, e aloha kākou kekahi i kekahi",
+    "navajo": "Bilaʼashdlaʼii tʼáá ałtsoh yiníkʼehgo bidizhchį́ dóó aheełtʼeego ílį́į́go bee baahóchįʼ. Eíí hwiindzin hwiihdaasyaʼ dóó hwiindzin bee hózhǫ́ dóó ałhidaʼahʼąągo kʼé bee ałhił yádaałtiʼ dooleeł",
+    "odia": "ସମସ୍ତ ମନୁଷ୍ୟ ଜନ୍ମକାଳରୁ ସ୍ୱାଧୀନ ଏବଂ ମର୍ଯ୍ୟାଦା ଓ ଅଧିକାରରେ ସମାନ। ସେମାନଙ୍କଠାରେ ବୁଦ୍ଧି ଓ ବିବେକ ନିହିତ ଅଛି ଏବଂ ସେମାନେ ପରସ୍ପର ପ୍ରତି ଭ୍ରାତୃଭାବ ପୋଷଣ କରି କାର୍ଯ୍ୟ କରିବା ଉଚିତ",
+    "tibetan": "འགྲོ་བ་མིའི་རིགས་རྒྱུད་ཡོངས་ལ་སྐྱེས་ཙམ་ཉིད་ནས་ཆེ་མཐོངས་དང༌། ཐོབ་ཐངགི་རང་དབང་འདྲ་མཉམ་དུ་ཡོད་ལ། ཁོང་ཚོར་རང་བྱུང་གི་བློ་རྩལ་དང་བསམ་ཚུལ་བཟང་པོ་འདོན་པའི་འོས་བབས་ཀྱང་ཡོད།",
+    "mongolian_trad": "ᠬᠦᠮᠦᠨ ᠪᠦᠷ ᠲᠥᠷᠥᠵᠦ ᠮᠡᠨᠳᠡᠯᠡᠬᠦ ᠡᠷᠬᠡ ᠴᠢᠯᠥᠭᠡ ᠲᠡᠢ᠂ ᠠᠳᠠᠯᠢᠬᠠᠨ ᠨᠡᠷ᠎ᠡ ᠲᠥᠷᠥ ᠲᠡᠢ᠂ ᠢᠵᠢᠯ ᠡᠷᠬᠡ ᠲᠡᠢ ᠪᠠᠢᠠᠭ᠃ ᠣᠶᠤᠨ ᠤᠬᠠᠭᠠᠨ᠂ ᠨᠠᠨᠳᠢᠨ ᠴᠢᠨᠠᠷ ᠵᠠᠶᠠᠭᠠᠰᠠᠨ",
+    "polytonic": "Ἐν ἀρχῇ ἦν ὁ λόγος, καὶ ὁ λόγος ἦν πρὸς τὸν θεόν, καὶ θεὸς ἦν ὁ λόγος. οὗτος ἦν ἐν ἀρχῇ πρὸς τὸν θεόν. πάντα δι’ αὐτοῦ ἐγένετο, καὶ χωρὶς αὐτοῦ ἐγένετο οὐδὲ ἕν ὃ γέγονεν. ἐν αὐτῷ ζωὴ ἦν, καὶ ἡ ζωὴ ἦν τὸ φῶς τῶν ἀνθρώπων",
+    "thaana": "ހުރިހާ އިންސާނުން ވެސް އުފަންވަނީ، ދަރަޖައާއި ޙައްޤުތަކުގައި މިނިވަންކަމާއެކު ހަމަހަމަވެގެންވާ ބައެއްގެ ގޮތުގައެވެ. އެމީހުންނަށް ހެޔޮ ވިސްނުމާއި ހެޔޮ ބުއްދީގެ ބާރު ލިބިގެންވެއެވެ",
+    "romanian": "Toate ființele umane se nasc libere și egale în demnitate și în drepturi. Ele sunt înzestrate cu rațiune și conștiință și trebuie să se comporte unele față de altele în spiritul fraternității",
+    "kazakh": "Барлық адамдар тумысынан азат және қадір-қасиеті мен құқықтары тең болып дүниеге келеді. Адамдарға ақыл-парасат, ар-ождан берілген, сондықтан олар бір-бірімен туыстық, бауырмалдық қарым-қатынас жасаулары тиіс",
+    "finnish": "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto, ja heidän on toimittava toisiaan kohtaan veljeyden hengessä. Jokainen on oikeutettu kaikkiin tässä julistuksessa esitettyihin oikeuksiin",
+    "ewe": "Wodzi amegbetɔwo katã ablɔɖeviwoe eye wodzena bubu kple gomekpɔkpɔ sɔsɔe. Susu kple dzitsinya le wo dometɔ ɖe sia ɖe si eyata wodze be woanɔ anyi le ɖekawɔwɔ blibo me. Amegbetɔ ɖe sia ɖe kpɔ mɔ",
+}
+
+
+@pytest.mark.parametrize("form", ["NFC", "NFD"])
+def test_prose_of_marked_letters_is_kept_composed_and_decomposed(form):
+    found = measure_texts(VOCABULARY, [unicodedata.normalize(form, t).encode() for t in MARKED.values()])
+    scripts = dict(zip(MARKED, found[5]))
+    assert scripts["vietnamese"] == scripts["yoruba"] == scripts["navajo"] == "latin_marked"
+    assert [scripts[n] for n in ("odia", "tibetan", "mongolian_trad", "polytonic", "thaana", "kazakh")] == [
+        "odia", "tibetan", "mongolian", "greek", "thaana", "cyrillic",
+    ]
+    enough = [np.full(len(MARKED), 20), *found[1:]]  # some write few spaces
+    assert [n for n, kept in zip(MARKED, verdicts(enough)[1]) if not kept] == []
+
+
+def test_very_long_texts():
+    word = "prose of many different words that goes on and on, "
+    text = "".join(word.replace("on,", f"{k},") for k in range(100_000)).encode()
+    found = measure_texts(VOCABULARY, [text, b"short"])
+    assert found[0].tolist() == [1_000_000, 1] and found[4].tolist() == [900_000, 0] and len(text) > 5_000_000
+
+
 def test_marks_digits_and_unknown_characters_are_rejected():
     rng = random.Random(3)
     kinds = {
