@@ -17,6 +17,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from barlake.llm.ragged import free_name
+
 #: A word, as counted everywhere here (fixed value).
 WORD = r"[^\x20\x09-\x0D]+"
 #: Passes over a source at most.
@@ -70,70 +72,75 @@ def inverse_demand(part: Column, tilt: Column) -> Column:
     return F.when(F.abs(tilt) < 1e-9, part).otherwise(root)
 
 
-def mix(
-    docs: DataFrame, keep: list[str] | None = None, most: int = MOST_PASSES, tilt: Column | None = None
-) -> DataFrame:
-    """A row per document: how often the mix takes it, and at which training positions.
-
-    Reads doc_id, source and text. Returns ``keep`` (columns of ``docs``, by default doc_id) and mix_size
-    (words), mix_source_size, mix_target (both of its source), mix_passes (how often the document is taken) and
-    mix_positions (0 to 1, one for each time). ``tilt`` (from -1 to 1) is how steep a source's schedule is, an
-    expression of mix_weight; by default sources of odd weight grow over training and the others shrink.
-
-    A document is taken whole. In the pass that the target ends in, it is taken while at least half of it is
-    still asked for, so a source misses its target by half a document at most. Documents without a word (null
-    or empty texts) are never taken. Null sources are one source, null ids are values like others, and repeated
-    rows are documents of their own.
-    """
-    keep = ["doc_id"] if keep is None else keep
-    tilt = F.when(F.col("mix_weight") % 2 == 1, F.lit(TILT)).otherwise(F.lit(-TILT)) if tilt is None else tilt
+def _placed(docs: DataFrame, keep: list[str], most: int, tilt: Column | None) -> DataFrame:
+    """row (a struct of the kept columns), size, source_size, target, passes and positions of every document."""
+    tilt = F.when(F.col("weight") % 2 == 1, F.lit(TILT)).otherwise(F.lit(-TILT)) if tilt is None else tilt
     digits = 1
     while docs.count() > RUN_ROWS * 16**digits:
         digits += 1
     name = F.coalesce(F.col("source").cast("string"), F.lit(""))
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    drawn = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.md5(text.cast("binary")))
     rows = docs.select(
-        *[F.col(f"`{c}`") for c in keep],
-        F.concat(F.col("source").isNull().cast("string"), name).alias("mix_key"),  # as a join key, null is a value
-        F.col("source").cast("string").alias("mix_source"),
-        word_count(F.col("text")).alias("mix_size"),
-        F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")).alias("mix_order"),
-        F.xxhash64("text").alias("mix_tie"),
-    ).withColumn("mix_run", F.substring("mix_order", 1, digits))
-    runs = rows.groupBy("mix_key", "mix_source", "mix_run").agg(F.sum("mix_size").alias("words"))
+        F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row") if keep else F.lit(None).alias("row"),
+        F.concat(F.col("source").isNull().cast("string"), name).alias("key"),  # as a join key, null is a value
+        F.col("source").cast("string").alias("source"),
+        word_count(F.col("text")).alias("size"),
+        F.md5(drawn.cast("binary")).alias("drawn"),
+    ).withColumn("run", F.substring("drawn", 1, digits))
+    runs = rows.groupBy("key", "source", "run").agg(F.sum("size").alias("words"))
     # the sums of runs stand for the rows in all that is done per source
-    sources = source_targets(runs.select(F.col("mix_source").alias("source"), F.col("words").alias("size")), most)
+    sources = source_targets(runs.select("source", F.col("words").alias("size")), most)
     sources = sources.select(
-        F.concat(F.col("source").isNull().cast("string"), F.coalesce("source", F.lit(""))).alias("mix_key"),
-        F.col("weight").alias("mix_weight"),
-        F.col("source_size").alias("mix_source_size"),
-        F.col("target").alias("mix_target"),
-    )
-    in_order = Window.partitionBy("mix_key").orderBy("mix_run").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = runs.select(
-        "mix_key", "mix_run", F.coalesce(F.sum("words").over(in_order), F.lit(0)).alias("mix_before")
-    ).join(sources, "mix_key")
-    in_run = Window.partitionBy("mix_key", "mix_run").orderBy("mix_order", "mix_size", "mix_tie")
-    begin = F.col("mix_before") + F.coalesce(
-        F.sum("mix_size").over(in_run.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
+        F.concat(F.col("source").isNull().cast("string"), F.coalesce("source", F.lit(""))).alias("key"),
+        "weight",
+        "source_size",
+        "target",
     )
-    placed = rows.join(offsets, ["mix_key", "mix_run"]).withColumn("mix_begin", begin)
+    in_order = Window.partitionBy("key").orderBy("run").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = runs.select("key", "run", F.coalesce(F.sum("words").over(in_order), F.lit(0)).alias("before")).join(sources, "key")
+    in_run = Window.partitionBy("key", "run").orderBy("drawn").rowsBetween(Window.unboundedPreceding, -1)
+    begin = F.col("before") + F.coalesce(F.sum("size").over(in_run), F.lit(0))
+    placed = rows.join(offsets, ["key", "run"]).withColumn("begin", begin)
 
     def starts(p: int) -> Column:
-        return p * F.col("mix_source_size") + F.col("mix_begin")
+        return p * F.col("source_size") + F.col("begin")
 
     passes = sum(
-        F.when((F.col("mix_size") > 0) & (2 * starts(p) + F.col("mix_size") <= 2 * F.col("mix_target")), 1).otherwise(0)
+        F.when((F.col("size") > 0) & (2 * starts(p) + F.col("size") <= 2 * F.col("target")), 1).otherwise(0)
         for p in range(most)
     )
-    times = F.array(*[inverse_demand(starts(p) / F.col("mix_target"), tilt) for p in range(most)])
-    return placed.withColumn("mix_passes", passes.cast("int")).select(
-        *[F.col(f"`{c}`") for c in keep],
-        "mix_size",
-        "mix_source_size",
-        "mix_target",
-        "mix_passes",
-        F.slice(times, F.lit(1), F.col("mix_passes")).alias("mix_positions"),
-    )
+    times = F.array(*[inverse_demand(F.try_divide(starts(p).cast("double"), F.col("target")), tilt) for p in range(most)])
+    placed = placed.withColumn("passes", passes.cast("int"))
+    return placed.select("row", "size", "source_size", "target", "passes", F.slice(times, F.lit(1), F.col("passes")).alias("positions"))
+
+
+def mix(docs: DataFrame, keep: list[str] | None = None, most: int = MOST_PASSES, tilt: Column | None = None) -> DataFrame:
+    """A row per document: how often the mix takes it, and at which training positions.
+
+    Reads doc_id, source and text. Returns ``keep`` (columns of ``docs``, by default doc_id) and mix_size
+    (words), mix_source_size, mix_target (both of its source), mix_passes (how often the document is taken) and
+    mix_positions (0 to 1, one for each time); where a kept column has one of these names, the mix's has an
+    underscore behind it. ``tilt`` (from -1 to 1) is how steep a source's schedule is, an expression of weight; by
+    default sources of odd weight grow over training and the others shrink.
+
+    A document is taken whole. In the pass that the target ends in, it is taken while at least half of it is
+    still asked for, so a source misses its target by half a document at most. Documents without a word (null
+    or empty texts) are never taken. Null sources are one source, null ids are values like others, and repeated
+    rows are documents of their own. Documents of one id are told apart by their texts; only rows equal in both
+    share a run however many they are.
+    """
+    keep = ["doc_id"] if keep is None else keep
+    own = [F.col(c).alias(free_name(f"mix_{c}", keep)) for c in ("size", "source_size", "target", "passes", "positions")]
+    return _placed(docs, keep, most, tilt).select(*[F.col("row").getField(c).alias(c) for c in keep], *own)
+
+
+def by_first_position(mixed: DataFrame) -> DataFrame:
+    """The documents of ``mix`` in the order in which training first meets them, over all partitions; those that it never
+    takes last. Adds mix_first and mix_last, the first and the last of their positions."""
+    first = F.get("mix_positions", F.lit(0)).alias("mix_first")
+    last = F.get("mix_positions", F.col("mix_passes") - 1).alias("mix_last")
+    return mixed.select("*", first, last).orderBy(F.col("mix_first").asc_nulls_last(), "mix_size")
 
 
 def in_training_order(mixed: DataFrame) -> DataFrame:
@@ -144,3 +151,11 @@ def in_training_order(mixed: DataFrame) -> DataFrame:
     """
     copies = mixed.select("*", F.explode("mix_positions").alias("mix_position"))
     return copies.orderBy("mix_position", "mix_size")
+
+
+def training_documents(docs: DataFrame, most: int = MOST_PASSES) -> DataFrame:
+    """The rows of ``docs``, with its columns alone, as often as the mix takes them and in training order. Names of its
+    columns don't matter, but for doc_id, source and text, which are read."""
+    placed = _placed(docs, docs.columns, most, None)
+    copies = placed.select("row", "size", F.explode("positions").alias("position")).orderBy("position", "size")
+    return copies.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])

@@ -64,20 +64,22 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mixed = curriculum_mix.mix(table(spark, sf_dir, "documents"))
+    mixed = curriculum_mix.by_first_position(curriculum_mix.mix(table(spark, sf_dir, "documents")))
     return mixed.select(
         "doc_id",
         F.col("mix_size").alias("size"),
         F.col("mix_source_size").alias("source_size"),
         F.col("mix_target").alias("target"),
         (F.col("mix_size") * F.col("mix_passes")).alias("taken"),
+        F.col("mix_first").alias("first_position"),
+        F.col("mix_last").alias("last_position"),
     )
 
 
-#: DuckDB's words, sizes and draw order are those of the operator; only positions need the demand's inverse.
+#: DuckDB's words, sizes, draw order and inverse of the demand are those of the operator.
 OP6_SQL = r"""
 with d as (
-  select doc_id, source, md5(coalesce(cast(doc_id as varchar), '')) as h, hash(text) as tie,
+  select doc_id, source, md5(coalesce(cast(doc_id as varchar), '') || ':' || md5(coalesce(text, ''))) as drawn,
          coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::bigint as size
   from documents
 ), s as (
@@ -91,20 +93,24 @@ with d as (
 ), f as (select *, words * weight / weights > 3 * source_size as stops from l
 ), first_on as (select words, weights from f where not stops order by weights desc limit 1
 ), t as (
-  select f.source, f.source_size,
+  select f.source, f.source_size, case when f.weight % 2 = 1 then 0.5::double else -0.5::double end as tilt,
          case when stops then (3 * f.source_size)::double else coalesce(o.words * f.weight / o.weights, 0) end as target
   from f left join first_on o on true
 ), c as (
-  select d.*, t.source_size, t.target,
-         coalesce(sum(size) over (partition by d.source order by h, size, tie
+  select d.*, t.source_size, t.target, t.tilt,
+         coalesce(sum(size) over (partition by d.source order by drawn
                                   rows between unbounded preceding and 1 preceding), 0)::bigint as start
   from d join t on d.source is not distinct from t.source
+), p as (
+  select *, (size > 0 and 2 * start + size <= 2 * target)::bigint
+          + (size > 0 and 2 * (start + source_size) + size <= 2 * target)::bigint
+          + (size > 0 and 2 * (start + 2 * source_size) + size <= 2 * target)::bigint as passes
+  from c
 )
-select doc_id, size, source_size, target,
-       size * ((size > 0 and 2 * start + size <= 2 * target)::bigint
-             + (size > 0 and 2 * (start + source_size) + size <= 2 * target)::bigint
-             + (size > 0 and 2 * (start + 2 * source_size) + size <= 2 * target)::bigint) as taken
-from c
+select doc_id, size, source_size, target, size * passes as taken,
+       case when passes > 0 then (sqrt(greatest((1 - tilt) * (1 - tilt) + 4 * tilt * (start::double / target), 0::double)) - (1 - tilt)) / (2 * tilt) end as first_position,
+       case when passes > 0 then (sqrt(greatest((1 - tilt) * (1 - tilt) + 4 * tilt * (((passes - 1) * source_size + start)::double / target), 0::double)) - (1 - tilt)) / (2 * tilt) end as last_position
+from p
 """
 
 

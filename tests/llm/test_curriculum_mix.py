@@ -4,9 +4,10 @@ import duckdb
 import pytest
 from compare import differences, duck
 from llm.cases import AWKWARD, TINY
+from pyspark.sql import functions as F
 
 from barlake.llm import curriculum_mix
-from barlake.llm.curriculum_mix import in_training_order, mix, source_targets
+from barlake.llm.curriculum_mix import in_training_order, mix, source_targets, training_documents
 from barlake.llm.queries import OP6_SQL, op6_curriculum_mix
 
 
@@ -91,6 +92,40 @@ def test_no_python_in_the_plan(spark, awkward):
     assert not any(word in plan for word in ("Python", "Arrow", "Pandas"))
 
 
+def test_the_query_inverts_the_demand_and_range_sorts(spark):
+    frame = op6_curriculum_mix(spark, TINY)
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning(" in plan and "SQRT" in plan.upper()
+    firsts = [r.first_position for r in frame.collect()]
+    taken = [f for f in firsts if f is not None]
+    assert taken == sorted(taken) and firsts[: len(taken)] == taken and len(taken) > 100
+
+
+def test_clashing_columns_stay(spark):
+    rows = [(1, "a b", "x", 7, "k", 0.5), (2, "c", "y", 8, "l", 0.25), (3, "", None, 9, "m", 1.0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, mix_size int, mix_key string, mix_position double")
+    mixed = mix(docs, keep=docs.columns)
+    assert {r.doc_id: (r.mix_size, r.mix_size_) for r in mixed.collect()} == {1: (7, 2), 2: (8, 1), 3: (9, 0)}
+    got = training_documents(docs)
+    assert got.columns == docs.columns
+    assert {tuple(r) for r in got.collect()} == set(rows[:2])
+
+
+def test_a_source_without_words(spark):
+    docs = spark.createDataFrame([(1, "", "x"), (2, None, "x"), (3, "a b c", "y")], "doc_id long, text string, source string")
+    got = {r.doc_id: (r.mix_passes, r.mix_target) for r in mix(docs).collect()}
+    assert got == {1: (0, 0.0), 2: (0, 0.0), 3: (1, 3.0)}
+
+
+def test_one_id_is_split_into_runs(spark, monkeypatch):
+    monkeypatch.setattr(curriculum_mix, "RUN_ROWS", 50)
+    rows = [(7, f"word {k}", "hot") for k in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    assert mix(docs).agg({"mix_passes": "sum"}).first()[0] == 600
+    run = F.substring(F.md5(F.concat(F.lit("7:"), F.md5(F.col("text").cast("binary"))).cast("binary")), 1, 1)
+    assert docs.groupBy(run).count().agg({"count": "max"}).first()[0] < 100
+
+
 def test_sql_twin_on_awkward_rows(spark, tmp_path):
     rows = [(1, "a b", "x"), (2, None, "x"), (3, "", None), (4, "c d e", None), (4, "c d e", None), (None, "f", "y"), (5, "g " * 50, "z")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
