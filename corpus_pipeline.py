@@ -27,8 +27,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them, in training order."""
-    mixed = curriculum_mix.mix(docs, keep=docs.columns)
-    return curriculum_mix.in_training_order(mixed).select(*docs.columns)
+    return curriculum_mix.training_documents(docs)
 
 
 def bpe_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
