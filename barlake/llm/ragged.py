@@ -30,12 +30,12 @@ def byte_texts(column: pa.ChunkedArray | pa.Array) -> list[bytes]:
     return [b"" if v is None else v for v in column.cast(pa.large_string()).cast(pa.large_binary()).to_pylist()]
 
 
-def slices(texts: Sequence[bytes], most: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
-    """Runs ``[i, j)`` of rows of about ``most`` bytes, one row at least, so that memory follows neither the
-    batch size nor the number of rows."""
+def slices(texts: Sequence[bytes], most: int = SLICE_BYTES, rows: int | None = None) -> Iterator[tuple[int, int]]:
+    """Runs ``[i, j)`` of rows of about ``most`` bytes and at most ``rows`` rows, one row at least, so that memory follows
+    neither the batch size nor the number of rows."""
     start, size = 0, 0
     for i, text in enumerate(texts):
-        if i > start and size + len(text) > most:
+        if i > start and (size + len(text) > most or i - start == rows):
             yield start, i
             start, size = i, 0
         size += len(text)

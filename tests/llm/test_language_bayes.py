@@ -1,6 +1,7 @@
 """Naive Bayes against a plain count, and its accuracy on held-out rows."""
 
 import math
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -8,8 +9,10 @@ import duckdb
 import numpy as np
 from llm.cases import TINY
 
-from barlake.llm.language_bayes import SMOOTHING, LanguageModel, identify, learn, ngrams
+from barlake.llm import language_bayes
+from barlake.llm.language_bayes import SMOOTHING, LanguageModel, identify, learn, long_ngrams, ngrams
 from barlake.llm.queries import op5_language_id
+from barlake.llm.ragged import slices
 
 
 def plain_ngrams(text):
@@ -44,6 +47,32 @@ def test_model_is_the_plain_one(spark):
         assert abs(s - 1 / sum(math.exp(v - max(logs)) for v in logs)) < 1e-3
 
 
+def test_long_texts_in_pieces(monkeypatch):
+    texts = ["Abc, déf!! 12 x日本 " * 40, "   ", "x" * 50, ". , é" * 30, "日" * 33 + "  b"]
+    for piece in (1, 2, 3, 7, 1000):
+        monkeypatch.setattr(language_bayes, "PIECE_BYTES", piece)
+        for text in texts:
+            found, _, lettered = ngrams([text.encode()], 1 << 10)
+            times, some = long_ngrams(text.encode(), 1 << 10)
+            assert times.tolist() == np.bincount(found, minlength=1 << 10).tolist() and some == lettered[0]
+
+
+def test_memory_follows_neither_languages_nor_length():
+    rng = np.random.default_rng(1)
+    many = LanguageModel([f"l{k:04d}" for k in range(4096)], rng.random((1025, 4096), np.float32))
+    four = LanguageModel(list("abcd"), rng.random(((1 << 18) + 1, 4), np.float32))
+    words = "".join(map(chr, rng.integers(97, 123, 500_000))).replace("e", " ").encode()
+    short = [words[k : k + 5] for k in range(0, 100_000, 5)]
+    language_bayes.fold_table()
+    for model, texts in ((many, [words]), (many, short), (four, [words * 100])):
+        tracemalloc.start()
+        for i, j in slices(texts, language_bayes.SCORED_BYTES, model.most_texts()):
+            model.predict(texts[i:j])
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < 300 << 20
+
+
 def test_awkward_rows(spark, awkward):
     model = learn(awkward.selectExpr("text", "'a' lang"))
     got = {r.doc_id: (r.lang_pred, r.score) for r in identify(awkward, model).collect()}
