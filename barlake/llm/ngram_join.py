@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_schema
 
-from barlake.llm.ragged import PieceTable, byte_texts, ragged_index, slices, starts_of
+from barlake.llm.ragged import PieceTable, byte_texts, free_name, ragged_index, slices, starts_of
 from barlake.workspace import materialise
 
 WORDS = 5
@@ -327,19 +327,21 @@ def one_of_each(docs: DataFrame, threshold: float = THRESHOLD, words: int = WORD
     without a doc_id where the class has no other.
 
     Of several rows of that doc_id and text the least stays, columns compared in their order. Rows without a word
-    are classes of their own: those of one doc_id and text are one, those without a doc_id all stay.
+    are classes of their own: those of one doc_id and text are one, those without a doc_id all stay. Columns may have
+    any names and keep their values.
     """
+    text_key = free_name(TEXT_KEY, docs.columns)
     rows, classes = classes_of(docs, threshold, words, recall)
-    rows = rows.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), F.coalesce("key", F.lit("")).alias(TEXT_KEY), "doc_id", "shingles")
-    chosen = classes.filter("key = class_key").select(F.coalesce("first_id", F.lit(NO_ID)).alias("id"), F.col("key").alias(TEXT_KEY))
-    stays = rows.filter("shingles > 0").join(chosen, ["id", TEXT_KEY], "left_semi").unionByName(rows.filter("shingles = 0 and doc_id is not null"))
-    stays = materialise(stays.groupBy("doc_id", TEXT_KEY).agg(F.count(F.lit(1)).alias("n")), "stays")
+    rows = rows.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), F.coalesce("key", F.lit("")).alias(text_key), "doc_id", "shingles")
+    chosen = classes.filter("key = class_key").select(F.coalesce("first_id", F.lit(NO_ID)).alias("id"), F.col("key").alias(text_key))
+    stays = rows.filter("shingles > 0").join(chosen, ["id", text_key], "left_semi").unionByName(rows.filter("shingles = 0 and doc_id is not null"))
+    stays = materialise(stays.groupBy("doc_id", text_key).agg(F.count(F.lit(1)).alias("n")), "stays")
     text = F.col("text").cast("string")
-    keyed = docs.withColumn(TEXT_KEY, F.coalesce(F.md5(text), F.lit("")))
-    same = keyed["doc_id"].cast("long").eqNullSafe(stays["doc_id"]) & (keyed[TEXT_KEY] == stays[TEXT_KEY])
+    keyed = docs.withColumn(text_key, F.coalesce(F.md5(text), F.lit("")))
+    same = keyed["doc_id"].cast("long").eqNullSafe(stays["doc_id"]) & (keyed[text_key] == stays[text_key])
     single = keyed.join(stays.filter("n = 1"), same, "left_semi")
     several = keyed.join(stays.filter("n > 1"), same, "left_semi")
-    several = several.groupBy("doc_id", TEXT_KEY).agg(F.min(F.struct(*docs.columns)).alias("row"))
+    several = several.groupBy("doc_id", text_key).agg(F.min(F.struct(*docs.columns)).alias("row"))
     wordless = ~F.coalesce(text.rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
     nameless = docs.filter(F.col("doc_id").cast("long").isNull() & wordless)
     return single.select(*docs.columns).unionByName(several.select("row.*")).unionByName(nameless)

@@ -135,3 +135,11 @@ def test_texts_of_one_id_and_rows_without_one(spark):
     )
     kept = sorted(r.n for r in one_of_each(docs).collect())
     assert kept in ([0, 1, 3, 8, 9, 10], [0, 1, 5, 8, 9, 10])  # of the class without ids, the row of either text
+
+
+def test_columns_of_any_name_keep_their_values(spark):
+    rows = [(1, "one two three four five six seven", "mine1", 5), (2, "one two three four five six seven", "mine2", 6), (3, "x", "mine3", 7)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _text_key string, node int")
+    got = one_of_each(docs)
+    assert got.columns == docs.columns
+    assert {tuple(r) for r in got.collect()} == {rows[0], rows[2]}
