@@ -140,7 +140,8 @@ def by_first_position(mixed: DataFrame) -> DataFrame:
     takes last. Adds mix_first and mix_last, the first and the last of their positions."""
     first = F.get("mix_positions", F.lit(0)).alias("mix_first")
     last = F.get("mix_positions", F.col("mix_passes") - 1).alias("mix_last")
-    return mixed.select("*", first, last).orderBy(F.col("mix_first").asc_nulls_last(), "mix_size")
+    # documents never taken are many and tie in all but themselves, so the sort's ranges go on through a hash of the row
+    return mixed.select("*", first, last).orderBy(F.col("mix_first").asc_nulls_last(), "mix_size", F.xxhash64(*mixed.columns))
 
 
 def in_training_order(mixed: DataFrame) -> DataFrame:
