@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from barlake.functions.columns import log_vol, utc_literal
 from barlake.operators.latest import latest_by
-from barlake.operators.trees import predicted_log, tree_inputs
+from barlake.operators.boosting import with_predictions
+from barlake.operators.trees import tree_inputs
 from barlake.plans.training import Champion
 from barlake.schema import FORECAST_SCHEMA, MODEL_FEATURES
 
@@ -32,8 +33,8 @@ def predict_vol(champion: Champion, features: DataFrame) -> DataFrame:
             log_forecast = log_forecast + F.lit(slope) * log_vol(F.col(name))
         return features.withColumn("forecast_vol", F.exp(log_forecast))
     rows = features.select(F.struct(*features.columns).alias("_row"), *MODEL_FEATURES)
-    scored = champion.trees.transform(tree_inputs(rows, carry=["_row"]))
-    return scored.select("_row.*", F.exp(predicted_log(champion.smear)).alias("forecast_vol"))
+    scored = with_predictions(tree_inputs(rows, carry=["_row"]), [champion.trees], "_predicted")
+    return scored.select("_row.*", F.exp(F.col("_predicted")[0] + F.lit(champion.smear)).alias("forecast_vol"))
 
 
 def score(

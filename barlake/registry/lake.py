@@ -18,7 +18,7 @@ from barlake.plans.publishing import existing_tables, export_gold, publish
 from barlake.plans.scoring import latest_features, score, write_forecast_files
 from barlake.plans.staging import staged
 from barlake.plans.training import Champion, load_card, load_champion, train, write_artifacts
-from barlake.registry.forecasting import LINEAR, SCORED_AT, card, features_table
+from barlake.registry.forecasting import LINEAR, SCORED_AT, card, features_table, trained
 from barlake.registry.relational import returns_feed, rounded
 from barlake.schema import BAR_COLUMNS, REASON
 from barlake.settings import Settings
@@ -160,14 +160,8 @@ def q_forecast_files(spark, sf):
     return rounded(files)
 
 
-def trained(spark, sf, settings: Settings = LINEAR):
-    models = work_path(spark, "models")
-    result = train(features_table(spark, sf), models, settings, version="v1")
-    return models, result
-
-
 def q_cv_artifacts(spark, sf):
-    """Validation files written and read back: rows per file."""
+    """Validation files of the whole training run, written and read back: rows per file."""
     _, result = trained(spark, sf)
     path = work_path(spark, "evaluation")
     write_artifacts(result, path)
@@ -180,26 +174,37 @@ def q_cv_artifacts(spark, sf):
     )
 
 
+def q_cv_files_by_value(spark, sf):
+    """The same files: what those of persistence and HAR say of every fold, and the predictions' sums of each model."""
+    _, result = trained(spark, sf)
+    path = work_path(spark, "evaluation")
+    write_artifacts(result, path)
+    folds = spark.read.csv(f"{path}/cv_folds", header=True, inferSchema=True).where("model <> 'trees'")
+    rows = spark.read.parquet(f"{path}/oos_predictions").where("model <> 'trees'")
+    sums = rows.groupBy("fold", "model").agg(F.count(F.lit(1)).alias("predictions"), F.avg("y_pred_log").alias("mean_prediction"))
+    counts = [F.col(c).cast("long").alias(c) for c in ("train_rows", "test_rows")]
+    return rounded(folds.select("fold", "model", *counts, "qlike", "rmse_log").join(sums, ["fold", "model"]))
+
+
 def q_model_card(spark, sf):
-    """The card of the model trained on all rows: champion, gate and data profile."""
+    """The card of the model trained on all rows with all candidates: gate, data profile, scores of the linear ones."""
     _, result = trained(spark, sf)
     c = result.card
     row = (
-        c["champion"],
+        ",".join(sorted(c["cv"])),
         c["promoted"],
         c["data"]["rows"],
         c["data"]["n_tickers"],
         c["data"]["start"],
         c["data"]["end"],
         ",".join(sorted(r[0] for r in spark.read.parquet(c["data"]["tickers_path"]).collect())),
-        c["gate"]["champion_improvement_vs_naive"],
         c["cv"]["naive"]["qlike_mean"],
         c["cv"]["har"]["rmse_log_mean"],
         len(c["reference_profile"]),
     )
     schema = (
-        "champion string, promoted boolean, rows long, n_tickers long, start string, end string, "
-        "tickers string, improvement double, naive_qlike double, har_rmse double, profiled int"
+        "candidates string, promoted boolean, rows long, n_tickers long, start string, end string, "
+        "tickers string, naive_qlike double, har_rmse double, profiled int"
     )
     return small_frame(spark, [row], schema)
 
@@ -218,9 +223,9 @@ def q_model_reload(spark, sf):
 
 
 def q_pipeline_summary(spark, sf):
-    """The whole run over the feed: ingest, marts with checks, train, score, monitor, publish."""
+    """The whole run over the feed, every candidate: ingest, marts with checks, train, score, monitor, publish."""
     lake = new_lake(spark)
-    settings = replace(FEED_SETTINGS, min_improvement=-1.0)
+    settings = replace(FEED_SETTINGS, candidates=Settings().candidates, min_improvement=-1.0)
     summary = run_daily(
         lake,
         feed_source(spark, sf),

