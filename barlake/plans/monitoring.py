@@ -19,14 +19,17 @@ from barlake.workspace import small_frame
 
 
 def recent_sessions(features: DataFrame, sessions: int = 63) -> DataFrame:
-    """Rows of the newest ``sessions`` dates. The date list has at most that many rows, so it is broadcast."""
+    """Rows of the newest ``sessions`` dates: from the first of them on, as a literal that the scan can skip files and row
+    groups by. Finding it reads the date column alone."""
     newest = features.select("date").distinct().orderBy(F.col("date").desc()).limit(sessions)
-    return features.join(F.broadcast(newest), "date", "left_semi")
+    first = newest.agg(F.min("date")).first()[0]
+    return features.where(F.col("date") >= F.lit(first))
 
 
 def matured_forecasts(forecasts: DataFrame, features: DataFrame) -> DataFrame:
-    """Forecasts whose realised target is known by now."""
-    realised = features.where(F.col(TARGET).isNotNull()).select(
+    """Forecasts whose realised target is known by now. Features outside the forecasts' days are not scanned."""
+    first, last = forecasts.agg(F.min("as_of_date"), F.max("as_of_date")).first()
+    realised = features.where(F.col(TARGET).isNotNull() & F.col("date").between(F.lit(first), F.lit(last))).select(
         "ticker", F.col("date").alias("as_of_date"), TARGET
     )
     return forecasts.select("ticker", "as_of_date", "forecast_vol", "model_version").join(

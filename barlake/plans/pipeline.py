@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import UTC, date, datetime
 
 from pyspark.sql import DataFrame
@@ -25,6 +26,7 @@ from barlake.plans.training import load_card, load_champion, train, write_artifa
 from barlake.settings import Settings
 from barlake.sources.bars import BarSource
 from barlake.sources.lake import Lake
+from barlake.sources.versions import newest_version, write_version
 from barlake.workspace import materialise
 
 
@@ -32,33 +34,31 @@ class StaleSource(RuntimeError):
     """Nothing was landed for too long."""
 
 
-def write_mart(lake: Lake, df: DataFrame, table: str) -> DataFrame:
-    path = lake.mart_path(table)
-    df.write.mode("overwrite").parquet(path)
-    return lake.spark.read.schema(df.schema).parquet(path)
+def write_mart(lake: Lake, df: DataFrame, table: str, report: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """A new version of a mart: readers see it when the checks of ``report`` have passed on what was written."""
+    return write_version(df, lake.mart_path(table), lambda written: enforce(report(written)))
 
 
 def build_marts(lake: Lake, settings: Settings, now: datetime | None = None) -> dict[str, DataFrame]:
-    """Freshness, staged bars, returns, features and the monthly summary; each table is checked right
-    after it is written, and every later step scans written tables instead of recomputing them."""
+    """Freshness, staged bars, returns, features and the monthly summary; each table is checked after it is written and
+    before it is read, and every later step scans written tables instead of recomputing them. Where a check fails, that
+    mart and those after it stay as they were."""
     if now is not None:
         age = freshness(
             lake.bronze(), now, settings.freshness_warn_days, settings.freshness_error_days
         )
         if age.first()["status"] == "error":
             raise StaleSource(f"no bars landed for {settings.freshness_error_days} days")
-    bars = write_mart(lake, staged(lake.bronze()), "staged")
-    enforce(staged_report(bars))
-    returns = write_mart(lake, daily_returns(bars), "daily_returns")
-    enforce(returns_report(returns))
+    bars = write_mart(lake, staged(lake.bronze()), "staged", staged_report)
+    returns = write_mart(lake, daily_returns(bars), "daily_returns", returns_report)
     seasoned = materialise(
         ticker_features(returns, settings.horizon, settings.trading_days, settings.min_history),
         "seasoned",
     )
-    features = write_mart(lake, with_market(seasoned), "features_volatility")
-    enforce(features_report(features, settings.horizon))
-    monthly = write_mart(lake, monthly_summary(returns, settings.trading_days), "monthly_summary")
-    enforce(monthly_report(monthly))
+    features = write_mart(
+        lake, with_market(seasoned), "features_volatility", lambda df: features_report(df, settings.horizon)
+    )
+    monthly = write_mart(lake, monthly_summary(returns, settings.trading_days), "monthly_summary", monthly_report)
     return {
         "staged": bars,
         "daily_returns": returns,
@@ -92,9 +92,8 @@ def run_daily(
         summary["retrain"] = _train(features, lake, models, settings)
         _score_and_monitor(lake, features, models, settings, now, summary)
     if publish_to is not None:
-        tables = existing_tables(
-            lake.spark, {name: lake.mart_path(name) for name in (*marts, "volatility_forecasts")}
-        )
+        paths = {name: newest_version(lake.spark, lake.mart_path(name)) for name in marts}
+        tables = existing_tables(lake.spark, paths | {"volatility_forecasts": lake.mart_path("volatility_forecasts")})
         card = load_card(lake.spark, models)
         summary["published"] = len(publish(lake.spark, tables, card, publish_to, as_of))
     return summary

@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Mapping
-from datetime import date
+from datetime import UTC, date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
-from barlake.workspace import small_frame, table_exists
+from barlake.workspace import move, read_table, remove, small_frame, table_exists
 
+PUBLISHED = T.StructType([T.StructField(name, T.StringType()) for name in ("snapshot", "published_at", "path")])
 GOLD_TABLES = ["daily_returns", "features_volatility", "monthly_summary", "volatility_forecasts"]
 
 
@@ -41,16 +44,30 @@ def publish(
 ) -> list[str]:
     """Every table and the card twice under ``target`` (any Hadoop URI): pinned by date, and latest.
 
-    A repeat on the same day replaces its own snapshot only.
+    All are written aside first and put in place when the last one is written, so a failure on the way leaves what
+    readers see as it was; then the publication is noted under ``gold/_published``. A repeat on the same day replaces
+    its own snapshot only.
     """
+    aside = f"{target}/gold/_aside/{uuid.uuid4().hex}"
+    keys = (f"snapshot_date={snapshot}", "latest")
     written = []
-    for key in (f"snapshot_date={snapshot}", "latest"):
+    for key in keys:
         for name, df in tables.items():
-            write_gold(df, f"{target}/gold/{name}/{key}")
-            written.append(f"{target}/gold/{name}/{key}")
+            write_gold(df, f"{aside}/{name}/{key}")
+            written.append(f"{name}/{key}")
         if card is not None:
-            path = f"{target}/gold/model_card/{key}"
             row = small_frame(spark, [(json.dumps(card),)], "value string").coalesce(1)
-            row.write.mode("overwrite").text(path)
-            written.append(path)
-    return written
+            row.write.mode("overwrite").text(f"{aside}/model_card/{key}")
+            written.append(f"model_card/{key}")
+    for own in written:
+        move(spark, f"{aside}/{own}", f"{target}/gold/{own}")
+    remove(spark, aside)
+    note = [(str(snapshot), datetime.now(UTC).isoformat(timespec="microseconds"), own) for own in written]
+    noted = small_frame(spark, note, "snapshot string, published_at string, path string").coalesce(1)
+    noted.write.mode("append").json(f"{target}/gold/_published")
+    return [f"{target}/gold/{own}" for own in written]
+
+
+def published(spark: SparkSession, target: str) -> DataFrame:
+    """What was published, and when: snapshot, published_at, path."""
+    return read_table(spark, f"{target}/gold/_published", PUBLISHED, "json")

@@ -3,17 +3,18 @@
 from __future__ import annotations
 
 from dataclasses import replace
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from barlake.operators.checks import CheckFailure, staged_report
 from barlake.operators.linear import Linear
-from barlake.operators.upsert import ForecastTable
+from barlake.operators.upsert import ForecastTable, KeyedTable, bar_table
 from barlake.plans.ingest import ingest
 from barlake.plans.marts import monthly_summary, volatility_features
-from barlake.plans.pipeline import run_daily
+from barlake.plans.pipeline import build_marts, run_daily, write_mart
 from barlake.plans.publishing import existing_tables, export_gold, publish
 from barlake.plans.scoring import latest_features, score, write_forecast_files
 from barlake.plans.staging import staged
@@ -35,7 +36,7 @@ from barlake.sources.feeds import (
 )
 from barlake.sources.lake import Lake, MixedSources
 from barlake.streaming.ingest import keep_trade_bars, land_stream, trade_bar_stream, trade_bars
-from barlake.workspace import materialise, small_frame, work_path
+from barlake.workspace import materialise, remove, small_frame, work_path
 
 FEED_SETTINGS = replace(LINEAR, source=FEED, start_date=date(1995, 1, 1))
 PERSISTENCE = Champion("naive", linear=Linear(-1, "naive", 0.0, (0.0, 1.0, 0.0)))
@@ -86,6 +87,29 @@ def q_lake_partition_pruning(spark, sf):
     return rounded(one_day.select(*BAR_COLUMNS))
 
 
+def q_bronze_widened(spark, sf):
+    """Bronze whose runs have volumes of five numeric types, read as one table."""
+    lake, bars = new_lake(spark), materialise(landed_bars(spark, sf), "landed")
+    types = {2: "int", 4: "bigint", 6: "decimal(12,2)", 3: "decimal(14,1)", 5: "float"}
+    for run in range(1, 8):
+        own = bars.where(F.col("run_id") == f"run-{run}")
+        own = own.withColumn("volume", F.col("volume").cast(types.get(run, "double")))
+        own.write.mode("append").partitionBy("ingest_date", "run_id").parquet(lake.bronze_path)
+    return rounded(lake.bronze().drop("ingested_at"))
+
+
+def q_lake_state(spark, sf):
+    """Watermarks from the state that seven landings have advanced, and whether one built from bronze is the same."""
+    lake, bars = new_lake(spark), materialise(landed_bars(spark, sf), "landed")
+    lake.state()
+    for run in range(1, 8):
+        lake.land(bars.where(F.col("run_id") == f"run-{run}"))
+    advanced = materialise(lake.watermarks(), "advanced")
+    rebuilt = lake.rebuild_state().select("ticker", F.col("watermark").alias("rebuilt"))
+    same = F.col("watermark").eqNullSafe(F.col("rebuilt")).alias("same")
+    return advanced.join(rebuilt, "ticker", "full").select("ticker", "watermark", same)
+
+
 def q_run_manifest(spark, sf):
     """The whole feed as one ingest run, and its manifest read back."""
     lake = new_lake(spark)
@@ -145,6 +169,35 @@ def q_publish_counts(spark, sf):
     return counted(frames, "path")
 
 
+def q_published_monthly(spark, sf):
+    """The monthly summary as readers of the latest publication find it, after an older one and one that failed."""
+    target = work_path(spark, "published")
+    returns = materialise(returns_feed(spark, sf), "returns")
+    whole = monthly_summary(returns)
+    publish(spark, {"monthly_summary": whole.limit(3)}, None, target, AS_OF - timedelta(days=1))
+    publish(spark, {"monthly_summary": whole}, card("naive", "v1"), target, AS_OF)
+    broken = whole.select(F.raise_error(F.lit("lost on the way")).alias("ticker"))
+    try:
+        publish(spark, {"monthly_summary": whole.limit(1), "daily_returns": broken}, None, target, AS_OF)
+    except Exception as lost:  # noqa: BLE001
+        if "lost on the way" not in str(lost):
+            raise
+    return rounded(spark.read.parquet(f"{target}/gold/monthly_summary/latest"))
+
+
+def q_marts_after_failure(spark, sf):
+    """Rows of each mart as readers find them when a later build breaks a check: those of the build before."""
+    lake = new_lake(spark)
+    lake.land(landed_bars(spark, sf))
+    marts = build_marts(lake, FEED_SETTINGS)
+    spoiled = lake.mart("staged").withColumn("adj_close", F.when(F.col("ticker") > "BRAND.3", F.col("adj_close")))
+    try:
+        write_mart(lake, spoiled, "staged", staged_report)
+    except CheckFailure:
+        return counted({name: lake.mart(name).where("adj_close is not null" if name == "staged" else "true") for name in marts})
+    raise AssertionError("a broken table was committed")
+
+
 def q_forecast_files(spark, sf):
     """Forecasts dropped as files under their newest session and version, twice."""
     path = work_path(spark, "forecast-files")
@@ -238,7 +291,7 @@ def q_pipeline_summary(spark, sf):
     marts = ["staged", "daily_returns", "features_volatility", "monthly_summary"]
     forecasts = ForecastTable(spark, lake.mart_path("volatility_forecasts")).read()
     counts = counted(
-        {name: spark.read.parquet(lake.mart_path(name)) for name in marts}
+        {name: lake.mart(name) for name in marts}
         | {"bronze": lake.bronze(), "quarantine": lake.quarantine(), "forecasts": forecasts}
     )
     steps = [("landed", summary["landed"]), ("published", summary.get("published", 0))]
@@ -266,6 +319,52 @@ def streamed(spark, sf) -> Lake:
     return lake
 
 
+_streamed: dict[tuple, tuple[Lake, KeyedTable]] = {}
+
+
+def streamed_by_run(spark, sf) -> tuple[Lake, KeyedTable]:
+    """The feed as a file stream of a micro-batch per run, whose last batch is replayed as after a failure. Queries of
+    one application share it."""
+    key = spark.sparkContext.applicationId, sf
+    if key not in _streamed:
+        _streamed[key] = _stream_by_run(spark, sf)
+    return _streamed[key]
+
+
+def _stream_by_run(spark, sf) -> tuple[Lake, KeyedTable]:
+    lake, bars = new_lake(spark), bar_table(spark, work_path(spark, "current-bars"))
+    inbox, checkpoint = work_path(spark, "inbox"), work_path(spark, "stream-checkpoint")
+    raw = materialise(raw_bars(spark, sf), "raw")
+    for run in range(1, 8):  # files are taken in the order in which they came
+        raw.where(F.col("run") == run).coalesce(1).write.mode("append").parquet(inbox)
+
+    def run_stream():
+        stream = spark.readStream.schema(raw.schema).option("maxFilesPerTrigger", 1).parquet(inbox)
+        land_stream(
+            stream, lake, FEED, "feed", AS_OF, checkpoint, ["run", *ARRIVAL], datetime(2002, 1, 1), bars
+        ).awaitTermination()
+
+    run_stream()
+    remove(spark, f"{checkpoint}/commits/6")  # as if the driver was lost before the last batch was committed
+    remove(spark, f"{checkpoint}/commits/.6.crc")
+    run_stream()
+    return lake, bars
+
+
+def q_stream_keep_last(spark, sf):
+    """The current bar of every ticker and session after seven micro-batches, the last one replayed."""
+    _, bars = streamed_by_run(spark, sf)
+    return rounded(bars.read())
+
+
+def q_stream_batches(spark, sf):
+    """What the manifests say of the micro-batches, and the bars that bronze holds of each."""
+    lake, _ = streamed_by_run(spark, sf)
+    held = lake.bronze().groupBy("run_id").agg(F.count(F.lit(1)).alias("bars"))
+    counts = ("rows_fetched", "rows_landed", "rows_quarantined", "duplicates_dropped")
+    return lake.manifests().select("run_id", *counts).join(held, "run_id", "left")
+
+
 def q_stream_ingest_counts(spark, sf):
     """Rows landed, quarantined and staged by the stream."""
     lake = streamed(spark, sf)

@@ -40,6 +40,17 @@ def _published(table: str, rows: str) -> str:
 
 LAKE_SQL = {
     "lake_roundtrip": f"""SELECT date, ticker, {r6(_PRICES)}, source, ingest_date, run_id FROM landed""",
+    "bronze_widened": f"""SELECT date, ticker, {r6(_PRICES)}, source, ingest_date, run_id FROM landed""",
+    "lake_state": "SELECT ticker, max(date) AS watermark, true AS same FROM landed GROUP BY 1",
+    "stream_keep_last": f"""SELECT date, ticker, {r6(_PRICES)} FROM landed
+      QUALIFY row_number() OVER (PARTITION BY date, ticker ORDER BY run_id DESC) = 1""",
+    "stream_batches": """SELECT 'feed-00000000' || cast(run - 1 AS varchar) AS run_id,
+        (SELECT count(*) FROM raw WHERE raw.run = f.run) AS rows_fetched,
+        count(*) FILTER (WHERE _reject_reason = '') AS rows_landed,
+        count(*) FILTER (WHERE _reject_reason <> '') AS rows_quarantined,
+        (SELECT count(*) FROM raw WHERE raw.run = f.run) - count(*) AS duplicates_dropped,
+        count(*) FILTER (WHERE _reject_reason = '') AS bars
+      FROM flagged f GROUP BY run""",
     "quarantine_counts": """SELECT 'run-' || cast(run AS varchar) AS run_id,
         DATE '2002-01-01' + run AS ingest_date, _reject_reason, count(*) AS bars
       FROM flagged WHERE _reject_reason <> '' GROUP BY 1, 2, 3""",
@@ -68,6 +79,11 @@ LAKE_SQL = {
             _published("model_card", "1"),
         ]
     ),
+    "published_monthly": f"""SELECT ticker, month, trading_days, {r6('monthly_return, realised_vol')},
+      {r6('month_low, month_high')}, avg_daily_volume, {r6('pct_up_days')} FROM monthly""",
+    "marts_after_failure": _counts(
+        {"staged": "staged", "daily_returns": "returns", "features_volatility": "features", "monthly_summary": "monthly"}
+    ),
     "forecast_files": f"""{LATEST} SELECT ticker, date AS scored_session,
         round({_MONTH_VOL}, 6) AS forecast_vol, (SELECT max(date) FROM latest) AS as_of_date,
         'v1' AS model_version FROM latest""",

@@ -20,6 +20,7 @@ from barlake.operators.checks import (
     staged_report,
 )
 from barlake.operators.contract import (
+    ContractViolation,
     flag_bars,
     rejected_rows,
     split_feature_vectors,
@@ -31,7 +32,7 @@ from barlake.plans.marts import daily_returns, market_level, monthly_summary, vo
 from barlake.plans.marts import ticker_features
 from barlake.plans.staging import staged
 from barlake.schema import BAR_COLUMNS, REASON
-from barlake.sources.bars import missing_tickers, normalise_tickers
+from barlake.sources.bars import empty_bars, missing_tickers, normalise_tickers, union_sources
 from barlake.sources.feeds import (
     ARRIVAL,
     AS_OF,
@@ -142,6 +143,41 @@ def universe(spark, sf) -> DataFrame:
     return brands(spark, sf).unionByName(types).distinct()
 
 
+def q_source_union(spark, sf):
+    """Three fetched frames as one, one of them without a row and one with columns of its own."""
+    raw = raw_bars(spark, sf)
+    early = raw.where("run <= 3").select(*BAR_COLUMNS)
+    return rounded(union_sources([early, raw.where("run > 3"), empty_bars(spark)]))
+
+
+def q_structural_contract(spark, sf):
+    """The feed as it is, without one of its columns, and with one of another kind: whether it is refused, and how many
+    bars get through."""
+    bars = fetched_bars(spark, sf)
+    cases = {"whole": bars}
+    cases |= {f"no {c}": bars.drop(c) for c in BAR_COLUMNS}
+    cases["no number"] = bars.withColumn("close", F.col("close") > 10)
+    rows = None
+    for name, frame in cases.items():
+        try:
+            passed, refused = valid_rows(flag_bars(frame, AS_OF, keys_unique=True), ["run"]), False
+        except ContractViolation:
+            passed, refused = bars.limit(0), True
+        found = passed.agg(F.lit(name).alias("feed"), F.lit(refused).alias("refused"), F.count(F.lit(1)).alias("bars"))
+        rows = found if rows is None else rows.unionByName(found)
+    return rows
+
+
+def q_window_overlap(spark, sf):
+    """A month fetched again against the whole feed: keys that both have, and where their closes differ."""
+    whole = keep_last(raw_bars(spark, sf), ["date", "ticker"], ["run", *ARRIVAL])
+    month = F.col("date").between(F.lit(date(1998, 3, 1)), F.lit(date(1998, 3, 31)))
+    again = fetched_bars(spark, sf).where(month & (F.col("run") <= 2))
+    again = keep_last(again, ["date", "ticker"], ["run"]).select("date", "ticker", F.col("close").alias("again"))
+    both = whole.join(again, ["date", "ticker"])
+    return both.agg(F.count(F.lit(1)).alias("keys"), F.count_if(~F.col("close").eqNullSafe(F.col("again"))).alias("other_close"))
+
+
 def q_missing_tickers(spark, sf):
     return missing_tickers(universe(spark, sf), raw_bars(spark, sf))
 

@@ -10,8 +10,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from barlake.operators.upsert import KeyedTable
 from barlake.plans.ingest import land_batch
-from barlake.schema import BAR_COLUMNS
+from barlake.schema import BAR_COLUMNS, BAR_SCHEMA
 from barlake.sources.lake import Lake
 from barlake.workspace import materialise, read_table
 
@@ -25,6 +26,7 @@ def land_stream(
     checkpoint: str,
     arrival: Sequence[str],
     ingested_at: datetime,
+    current: KeyedTable | None = None,
 ) -> StreamingQuery:
     """Land each micro-batch under its own run id, through the same steps as the batch ingest, with a manifest.
 
@@ -32,6 +34,9 @@ def land_stream(
     replayed after a failure writes the same files again instead of adding rows. Batch numbers restart
     with a new checkpoint, so a new checkpoint needs a new stream name. Another vendor's lake is refused before
     the stream starts.
+
+    ``current`` is kept up to date with the last bar of every ticker and session over all batches, by merging each
+    batch's landed bars into the months they touch; a replayed batch merges the same bars again.
     """
     lake.refuse_other_sources(source)
 
@@ -40,6 +45,8 @@ def land_stream(
         run = {"run_id": f"{stream}-{number:09d}", "source": source}
         extra = [c for c in arrival if c not in BAR_COLUMNS]
         run = land_batch(lake, batch.select(*BAR_COLUMNS, *extra), list(arrival), run, as_of, ingested_at)
+        if current is not None and run["rows_landed"]:
+            current.upsert(read_table(lake.spark, run["bronze_path"], BAR_SCHEMA))
         lake.write_manifest(run | {"duration_s": round(time.perf_counter() - clock, 2)})
 
     return (

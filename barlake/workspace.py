@@ -23,7 +23,10 @@ def shared_root(spark: SparkSession) -> str:
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_work"
+        warehouse = spark.conf.get("spark.sql.warehouse.dir")
+        if not spark.sparkContext.master.startswith("local") and warehouse.startswith(("file:", "/")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        root = warehouse.rstrip("/") + "/_work"
     return root.rstrip("/")
 
 
@@ -51,6 +54,29 @@ def drop_work_tables(spark: SparkSession) -> None:
     remove(spark, f"{shared_root(spark)}/barlake/{spark.sparkContext.applicationId}")
 
 
+def touch(spark: SparkSession, path: str) -> None:
+    """Create an empty file."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).create(place, True).close()
+
+
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Put a folder in the place of another."""
+    old, new = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (source, target))
+    store = old.getFileSystem(spark._jsc.hadoopConfiguration())
+    store.mkdirs(new.getParent())
+    store.delete(new, True)
+    if not store.rename(old, new):
+        raise OSError(f"{source} could not be moved to {target}")
+
+
+def folders(spark: SparkSession, pattern: str) -> list[str]:
+    """Names of what lies at the last step of a path pattern, in order."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = place.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(place) or []
+    return sorted(status.getPath().getName() for status in found)
+
+
 def small_frame(spark: SparkSession, rows: Sequence[Sequence], schema: str | T.StructType) -> DataFrame:
     """A handful of driver-side rows as a local relation: its size is known to the optimizer, and reading
     it takes no job of its own."""

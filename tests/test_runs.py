@@ -4,14 +4,18 @@ from datetime import date, datetime, timedelta
 import pytest
 from conftest import frame, made_bars
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from barlake.plans.pipeline import StaleSource, build_marts, run_daily
-from barlake.plans.publishing import publish
+from barlake.operators.upsert import KeyedTable
+from barlake.plans.monitoring import matured_forecasts, recent_sessions
+from barlake.plans.publishing import publish, published
 from barlake.plans.staging import staged
 from barlake.plans.training import load_card
 from barlake.settings import Settings, TreeSettings
 from barlake.sources.bars import TableSource, ticker_frame
 from barlake.sources.lake import Lake
+from barlake.sources.versions import newest_version, write_version
 from barlake.streaming.ingest import keep_trade_bars, land_stream, trade_bar_stream, trade_bars
 
 NAMES = ["AAA", "BBB", "CCC"]
@@ -64,6 +68,59 @@ def test_publishing_twice_replaces_the_same_snapshot(spark, tmp_path):
         assert spark.read.text(f"{tmp_path}/gold/model_card/{key}").count() == 1
 
 
+def test_a_failing_table_leaves_the_publication_as_it_was(spark, tmp_path):
+    to = str(tmp_path)
+    publish(spark, {"monthly_summary": spark.range(5)}, {"version": "v1"}, to, date(2024, 1, 5))
+    lost = spark.range(3).select(F.raise_error(F.lit("lost")).alias("id"))
+    with pytest.raises(Exception, match="lost"):
+        publish(spark, {"monthly_summary": spark.range(9), "daily_returns": lost}, None, to, date(2024, 1, 5))
+    for key in ("snapshot_date=2024-01-05", "latest"):
+        assert spark.read.parquet(f"{to}/gold/monthly_summary/{key}").count() == 5
+    assert published(spark, to).count() == 4
+
+
+def test_a_version_is_read_once_its_checks_have_passed(spark, tmp_path):
+    path = str(tmp_path / "t")
+    assert newest_version(spark, path) is None
+    for n in (3, 4, 5):
+        assert write_version(spark.range(n), path).count() == n
+        assert spark.read.parquet(newest_version(spark, path)).count() == n
+
+    def refuse(written):
+        raise ValueError(f"{written.count()} rows")
+
+    with pytest.raises(ValueError, match="6 rows"):
+        write_version(spark.range(6), path, refuse)
+    assert spark.read.parquet(newest_version(spark, path)).count() == 5
+    assert write_version(spark.range(7), path).count() == 7
+    assert len(list((tmp_path / "t").glob("version=*"))) == 2
+
+
+def test_upserts_rewrite_months_and_reads_open_months(spark, tmp_path):
+    table = KeyedTable(spark, str(tmp_path / "k"), T.StructType.fromDDL("ticker string, date date, x int"), ("ticker", "date"), "date", ())
+    rows = spark.sql("select concat('T', id % 5) ticker, date_add(date'2020-01-01', cast(id div 5 as int)) date, 1 x from range(1000)")
+    table.upsert(rows)
+    month = tmp_path / "k" / "date_month=2020-03"
+    before = {f.name for f in (tmp_path / "k" / "date_month=2020-02").iterdir()}
+    files = {f.name for f in month.iterdir()}
+    table.upsert(rows.where("date between '2020-03-05' and '2020-03-08'").withColumn("x", F.lit(2)))
+    assert {f.name for f in (tmp_path / "k" / "date_month=2020-02").iterdir()} == before
+    assert {f.name for f in month.iterdir()} != files
+    assert table.read().count() == 1000 and table.read().where("x = 2").count() == 20
+    some = table.read(date(2020, 2, 28), date(2020, 3, 2))
+    plan = some._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(date_month" in plan and some.count() == 4 * 5
+
+
+def test_recent_sessions_and_matured_forecasts_scan_literal_days(history):
+    features = history["features"]
+    recent = recent_sessions(features, 10)
+    forecasts = recent.select("ticker", F.col("date").alias("as_of_date"), F.lit(0.2).alias("forecast_vol"), F.lit("v").alias("model_version"))
+    for df in (recent, matured_forecasts(forecasts, features)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "GreaterThanOrEqual(date," in plan
+
+
 def test_streamed_bars_land_like_a_batch_and_replays_add_nothing(spark, tmp_path):
     pdf = made_bars(NAMES, "2024-01-01", 20)
     bad = pdf.copy()
