@@ -117,10 +117,10 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: int = 256) ->
     )
     shards = max(1, -(-rows.count() // SHARD_ROWS))
     chunks = max(1, -(-rows.filter("asks").count() // CHUNK_ROWS))
-    # by a hash, so that neither clustered ids nor repeated vectors crowd a task
-    candidates = rows.select("vec_id", "whole", F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int").alias("shard"))
+    # by a hash of id and vector, so that neither clustered ids nor many vectors of one id crowd a task
+    candidates = rows.select("vec_id", "whole", F.pmod(F.xxhash64("vec_id", "whole"), F.lit(shards)).cast("int").alias("shard"))
     candidates = candidates.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))))
-    queries = rows.filter("asks").select(F.col("vec_id").alias("query_id"), F.col("whole").alias("asked"), F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(chunks)).cast("int").alias("chunk"))
+    queries = rows.filter("asks").select(F.col("vec_id").alias("query_id"), F.col("whole").alias("asked"), F.pmod(F.xxhash64("vec_id", "whole", F.lit(1)), F.lit(chunks)).cast("int").alias("chunk"))
     queries = queries.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
 
     def search(asked: pa.Table, held: pa.Table) -> pa.Table:

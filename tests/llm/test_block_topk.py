@@ -63,6 +63,23 @@ def test_few_rows_repeated_rows_and_ragged_vectors(spark):
     assert got == {(0, 1): (2, 3 * 65536), (0, 2): (1, 65536), (0, 3): (3, 0)}
 
 
+def test_many_vectors_of_one_id_are_dealt_out(spark, monkeypatch):
+    monkeypatch.setattr(block_topk, "SHARD_ROWS", 50)
+    rng = np.random.default_rng(2)
+    rows = [(7, rng.normal(size=4).round(2).tolist()) for _ in range(400)] + [(k, rng.normal(size=4).round(2).tolist()) for k in range(20, 40)]
+    docs = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = collected(top_k(docs, F.col("vec_id") == 20, k=3))
+    whole = [(i, np.floor(np.array(v) * 256).astype(int)) for i, v in rows]
+    asked = dict(whole)[20]
+    best = {}
+    for i, v in whole:
+        if i != 20:
+            best[i] = max(best.get(i, -(10**9)), int(v @ asked))
+    assert [got[20, rank] for rank in (1, 2, 3)] == sorted(best.items(), key=lambda p: (-p[1], p[0]))[:3]
+    parts = docs.select(F.pmod(F.xxhash64("vec_id", block_topk.whole_components(F.col("embedding"))), F.lit(9)).alias("s")).groupBy("s").count()
+    assert parts.agg({"count": "max"}).first()[0] < 80
+
+
 def test_sums_beyond_doubles_are_whole(spark):
     rows = [(0, [2.0**20 + 1, 1.0]), (1, [2.0**20 + 1, 1.0]), (2, [2.0**20 + 1, 2.0])]
     docs = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
