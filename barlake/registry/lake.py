@@ -19,10 +19,10 @@ from barlake.plans.publishing import existing_tables, export_gold, publish
 from barlake.plans.scoring import latest_features, score, write_forecast_files
 from barlake.plans.staging import staged
 from barlake.plans.training import Champion, load_card, load_champion, train, write_artifacts
+from barlake.registry import forecasting
 from barlake.registry.forecasting import LINEAR, SCORED_AT, card, features_table, trained
 from barlake.registry.relational import returns_feed, rounded
 from barlake.schema import BAR_COLUMNS, REASON
-from barlake.settings import Settings
 from barlake.sources.bars import TableSource
 from barlake.sources.feeds import (
     ARRIVAL,
@@ -278,7 +278,8 @@ def q_model_reload(spark, sf):
 def q_pipeline_summary(spark, sf):
     """The whole run over the feed, every candidate: ingest, marts with checks, train, score, monitor, publish."""
     lake = new_lake(spark)
-    settings = replace(FEED_SETTINGS, candidates=Settings().candidates, min_improvement=-1.0)
+    whole = forecasting.WHOLE
+    settings = replace(FEED_SETTINGS, candidates=whole.candidates, trees=whole.trees, min_improvement=-1.0)
     summary = run_daily(
         lake,
         feed_source(spark, sf),

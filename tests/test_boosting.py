@@ -169,3 +169,45 @@ def test_probes_and_folds_are_those_of_separate_training(spark, history):
     marked = inputs.select("date", "ticker", membership(validation.scopes).alias("m"))
     assert marked.where("m & 2 > 0").count() == first.rows and marked.where("m & 1 > 0").count() == first.fit_rows
     assert isinstance(first, Scope) and validation.trees[0].forest.features == MODEL_FEATURES
+
+
+def test_out_of_sample_predictions_are_those_of_a_plain_training(spark, history):
+    """Bins, probe, level correction, final fit and test block of a fold, each made again on a single machine."""
+    labelled = materialise(labelled_rows(history["features"]), "labelled")
+    tiny = Settings(n_splits=2, test_days=126, candidates=("naive", "trees"), trees=TreeSettings(trees=3, leaves=6, max_bins=12))
+    validation = cross_validate(labelled, tiny)
+    scope, fold = validation.scopes[1], validation.folds[1]
+    pdf = tree_inputs(labelled).withColumn("key", F.xxhash64("ticker", "date")).toPandas()
+    edges = [np.unique(np.quantile(pdf[f], np.arange(1, 12) / 12)) for f in MODEL_FEATURES]
+    assert all(np.allclose(a, b) for a, b in zip(edges, validation.trees[1].forest.edges))
+    bins = np.stack([bins_of(pdf[f].to_numpy(), e) for f, e in zip(MODEL_FEATURES, validation.trees[1].forest.edges)])
+    inside = (pdf["date"] < scope.end).to_numpy()
+    fitted_rows = inside & ((pdf["date"] < scope.cut_date) | ((pdf["date"] == scope.cut_date) & (pdf["ticker"] <= (scope.cut_ticker or "")))).to_numpy()
+    y, keys = pdf["y"].to_numpy(), pdf["key"].to_numpy()
+
+    def trained_on(rows):
+        base, trees, now = plain_boost(keys[rows], y[rows], bins[:, rows], tiny.trees)
+        forest = boosting.Forest(MODEL_FEATURES, [], base)
+        own = bins[:, rows]
+        left = np.full(rows.sum(), base)
+        for number, splits in enumerate(trees):
+            tree = boosting.Tree([s[0] for s in splits], [s[1] for s in splits], [s[2] for s in splits], [], [])
+            leaf, seen = boosting.leaf_of(own, tree), sampled(keys[rows], number, tiny.trees)
+            pull = np.rint((y[rows] - left) * GRID)
+            tree.values = [
+                tiny.trees.learning_rate * pull[(leaf == k) & seen].sum() / GRID / (((leaf == k) & seen).sum() + tiny.trees.l2)
+                for k in range(len(splits) + 1)
+            ]
+            left += np.array(tree.values)[leaf]
+            forest.trees.append(tree)
+        assert np.allclose(left, now)
+        return forest
+
+    probe, final = trained_on(fitted_rows), trained_on(inside)
+    tail = inside & ~fitted_rows
+    smear = 0.5 * np.log(np.mean(np.exp(2 * (y[tail] - boosting.predict(bins[:, tail], probe)))))
+    tested = ((pdf["date"] >= fold.test_start) & (pdf["date"] <= fold.test_end)).to_numpy()
+    wanted = dict(zip(zip(pdf["ticker"][tested], pdf["date"][tested]), boosting.predict(bins[:, tested], final) + smear))
+    rows = validation.out_of_sample.where(f"model = 'trees' and fold = {fold.number}").collect()
+    assert len(rows) == len(wanted) == 126 * 4
+    assert all(abs(r["y_pred_log"] - wanted[r["ticker"], r["date"]]) < 1e-9 for r in rows)
