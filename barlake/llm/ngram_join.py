@@ -1,15 +1,20 @@
-"""N-gram Jaccard join by MinHash banding with exact verification.
-
-Every text is a set of word shingles. Its MinHash signature is cut into trees, and texts that share a prefix of a
-given length in a tree meet. The length is fixed before any text is read: the longest, up to DEPTH, at which a pair
-at the threshold meets in some tree with the target recall. This stands in for an LSH forest, which would sort
-whole-depth signatures and shorten matched prefixes text by text. Texts that meet anywhere form candidate groups,
-and inside a group every pair is verified on its whole shingle sets, so links found on the way by no tree count as
-well.
-
-What keeps groups of copies cheap: equal texts are one node with a count; a prefix links its texts to its least
-one only, not to each other; verification gets each text of a group once, splits large groups into blocks whose
-pairs are tasks of their own, and passes on a link count and one spanning edge per text, never the pairs.
+"""N-gram Jaccard join by a MinHash LSH forest with exact verification.
+
+Every text is a set of word shingles. Its MinHash signature has a branch of DEPTH values in each of TREES trees. The
+branches of a tree, sorted, are its prefix trie: texts below one trie node are neighbours in the order. A text's match
+starts at the whole branch and is shortened, level by level, until a partner of the least similarity that its own set
+can have at or above the threshold meets it in some tree with the target recall. Small sets have few similarities
+to choose from (a set of 3 shingles has no partner between 0.8 and 1), so they stop at long prefixes; sets that can
+have a partner right at the threshold are shortened furthest. Two texts meet at the longer of their prefixes.
+
+The forest is sorted by range with the text's node last in the key, so a trie node that holds a third of all texts is
+spread over partitions like any other rows; runs that cross partitions are tied by a few rows per partition.
+
+Texts that meet anywhere form candidate groups, and inside a group every pair is verified on its whole shingle sets,
+so links found on the way by no tree count as well. What keeps groups of copies cheap: equal texts are one node with a
+count; a trie node links its texts to its first one only, not to each other; verification gets each text of a group
+once, splits large groups into blocks whose pairs are tasks of their own, and passes on a link count and one spanning
+edge per text, never the pairs.
 """
 
 from __future__ import annotations
@@ -30,9 +35,11 @@ from barlake.workspace import materialise
 WORDS = 5
 THRESHOLD = 0.8
 TREES = 32
-#: Signature values in a tree at most; no more than the prefix's length are computed.
+#: Values of a branch, a byte each: values that differ agree by chance once in 256, which only adds candidates.
 DEPTH = 10
 RECALL = 0.999
+#: Sets of fewer shingles have a prefix of their own; larger ones count as able to have any similarity.
+SMALL_SET = 64
 #: What a verifying task holds, about: shingles, and so many for each text besides.
 UNIT_SHINGLES = 1 << 19
 TEXT_SHINGLES = 256
@@ -42,7 +49,11 @@ FEW = 24
 NO_ID = -(1 << 63)
 #: The column that ``one_of_each`` adds to documents while it chooses.
 TEXT_KEY = "_text_key"
-SIGNED = pa.schema([("doc_id", pa.int64()), ("key", pa.string()), ("shingles", pa.int64()), ("prefixes", pa.list_(pa.int64()))])
+#: A node with more than one in so many edges is looked up in a broadcast table, of fewer rows than this.
+HOT_SHARE = 512
+SIGNED = pa.schema([("doc_id", pa.int64()), ("key", pa.string()), ("shingles", pa.int64()), ("length", pa.int32()), ("branches", pa.binary())])
+#: A tie of two nodes; or, with ``run``, a node that stands for a run of equal prefixes that may go on elsewhere.
+TIES = pa.schema([("u", pa.int64()), ("v", pa.int64()), ("run", pa.binary())])
 CHECKED = pa.schema([("node", pa.int64()), ("label", pa.int64()), ("links", pa.int64()), ("split", pa.bool_())])
 
 _words: list[PieceTable] = []
@@ -84,44 +95,139 @@ def shingles(texts: list[bytes], words: int = WORDS) -> tuple[np.ndarray, np.nda
     return mixed ^ (mixed >> np.uint64(32)), counts
 
 
-def prefixes(hashes: np.ndarray, counts: np.ndarray, length: int, trees: int = TREES, depth: int = DEPTH) -> np.ndarray:
-    """A row per text that has shingles: the key of its prefix of ``length`` in every tree."""
+def least_similarity(size: int, threshold: Fraction) -> Fraction:
+    """The least similarity of at least ``threshold`` that a set of ``size`` shingles can have to any set."""
+    least = -(-threshold.numerator * size // threshold.denominator)
+    unions = ((shared, shared * threshold.denominator // threshold.numerator) for shared in range(max(1, least), size + 1))
+    return min((Fraction(shared, union) for shared, union in unions if union >= size), default=Fraction(1))
+
+
+def prefix_lengths(threshold: float, recall: float, small: int = SMALL_SET) -> np.ndarray:
+    """How far a match is shortened, by the size of the set; the last entry is for all sizes from there on."""
+    share = Fraction(threshold).limit_denominator(10_000)
+    lengths = [prefix_length(float(least_similarity(size, share)), recall=recall) for size in range(1, small)]
+    whole = prefix_length(threshold, recall=recall)
+    return np.array([DEPTH, *lengths, whole], np.int32)
+
+
+def set_sizes(hashes: np.ndarray, counts: np.ndarray, small: int = SMALL_SET) -> np.ndarray:
+    """How many different shingles each text has, or ``small`` for as many shingles and more."""
+    sizes = np.minimum(counts, small)
+    starts = starts_of(counts)
+    for at in np.flatnonzero((counts > 1) & (counts < small)):
+        sizes[at] = len(np.unique(hashes[starts[at] : starts[at] + counts[at]]))
+    return sizes
+
+
+def branches(hashes: np.ndarray, counts: np.ndarray, trees: int = TREES, depth: int = DEPTH) -> np.ndarray:
+    """A row of trees x depth bytes per text that has shingles: its branch in every tree, one after the other."""
     rng = np.random.default_rng(29)
     factors = rng.integers(0, 1 << 32, (trees, depth), dtype=np.uint32) | np.uint32(1)
     offsets = rng.integers(0, 1 << 32, (trees, depth), dtype=np.uint32)
     points = (hashes >> np.uint64(32)).astype(np.uint32)
     starts = starts_of(counts)[counts > 0]
-    keys = np.empty((len(starts), trees), np.uint64)
+    out = np.empty((len(starts), trees, depth), np.uint8)
     for tree in range(trees):
-        key = np.full(len(starts), tree, np.uint64)
-        for level in range(length):
+        for level in range(depth):
             least = np.minimum.reduceat(points * factors[tree, level] + offsets[tree, level], starts)
-            key = (key ^ least) * np.uint64(0x9E3779B97F4A7C15)
-            key ^= key >> np.uint64(31)
-        keys[:, tree] = key
-    return keys.view(np.int64)
+            out[:, tree, level] = (least * np.uint32(0x9E3779B1)) >> np.uint32(24)
+    return out.reshape(len(starts), trees * depth)
+
+
+def tie_runs(batches: Iterator[pa.RecordBatch], shortest: int, depth: int = DEPTH) -> Iterator[pa.RecordBatch]:
+    """Ties between the nodes of one range of the sorted forest (tree, branch, node, length).
+
+    At every length, texts whose match is shortened to it or further and whose prefixes of that length are equal
+    follow each other. Such a run ties the texts of just that length to its first one, and others to the one before
+    if that has just that length; others among themselves are tied at their own, shorter lengths. Only the last row
+    of each length is carried from batch to batch. The first and the last run of a range may go on in its
+    neighbours: they come back under tree and prefix, to be tied there.
+    """
+    carried: dict[int, tuple[bytes, int, int, int]] = {}  # length: prefix, first node of the run, last node, its length
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        tree, node, own = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 2, 3))
+        codes = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint8).reshape(-1, depth)
+        codes = np.column_stack([tree.astype(np.uint8), codes])
+        us, vs, runs = [], [], []
+        for length in range(shortest, depth + 1):
+            part = np.flatnonzero(own <= length)
+            if not len(part):
+                continue
+            prefix, nodes, lengths = codes[part, : length + 1], node[part].astype(np.int64), own[part]
+            same = np.concatenate([[False], (prefix[1:] == prefix[:-1]).all(axis=1)])
+            before, before_length = np.roll(nodes, 1), np.roll(lengths, 1)
+            first = nodes[np.maximum.accumulate(np.where(same, 0, np.arange(len(part))))]
+            if length not in carried:
+                runs.append((int(nodes[0]), bytes([length]) + prefix[0].tobytes()))
+            elif carried[length][0] == prefix[0].tobytes():
+                _, head, last, last_length = carried[length]
+                goes_on = np.cumsum(~same) == 1
+                first = np.where(goes_on, head, first)
+                same[0], before[0], before_length[0] = True, last, last_length
+            exact = same & (lengths == length)
+            after = same & (lengths < length) & (before_length == length)
+            us += [nodes[exact], nodes[after]]
+            vs += [first[exact], before[after]]
+            carried[length] = (prefix[-1].tobytes(), int(first[-1]), int(nodes[-1]), int(lengths[-1]))
+        u, v = (np.concatenate([*x, np.zeros(0, np.int64)]) for x in (us, vs))
+        apart = u != v
+        found = pa.array(u[apart]), pa.array(v[apart]), pa.nulls(int(apart.sum()), pa.binary())
+        yield pa.RecordBatch.from_arrays(list(found), schema=TIES)
+        yield _run_rows(runs)
+    yield _run_rows([(head, bytes([length]) + prefix) for length, (prefix, head, _, _) in carried.items()])
+
+
+def _run_rows(runs: list[tuple[int, bytes]]) -> pa.RecordBatch:
+    nodes = pa.array([n for n, _ in runs], pa.int64())
+    return pa.RecordBatch.from_arrays([nodes, nodes, pa.array([r for _, r in runs], pa.binary())], schema=TIES)
+
+
+def meetings(nodes: DataFrame, shortest: int) -> DataFrame:
+    """Ties (u, v) between nodes (node, length, branches) that meet in some tree; reach over ties is what counts."""
+    tree = F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree")
+    placed = nodes.select("node", "length", "branches", tree)
+    placed = placed.select("tree", F.substring("branches", F.col("tree") * DEPTH + 1, F.lit(DEPTH)).alias("branch"), "node", "length")
+    forest = placed.repartitionByRange("tree", "branch", "node").sortWithinPartitions("tree", "branch", "node")
+    found = materialise(forest.mapInArrow(lambda batches: tie_runs(batches, shortest), from_arrow_schema(TIES)), "ties")
+    ends = found.filter("run is not null").select("u", "run")
+    across = ends.join(ends.groupBy("run").agg(F.min("u").alias("v")), "run").select("u", "v").filter("u != v")
+    return found.filter("run is null").select("u", "v").distinct().union(across)
 
 
 def _fingerprint(edges: DataFrame) -> tuple:
     return edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v")), F.sum(F.col("v").cast("decimal(38,0)"))).head()
 
 
+def _to_least(edges: DataFrame, least: DataFrame, most: int) -> DataFrame:
+    """``edges`` (u, v), at most ``most``, with m of their u from ``least`` (u, m, n edges). A u of more than one in
+    HOT_SHARE of them is broadcast; there are fewer than HOT_SHARE such."""
+    often = F.col("n") > max(1, most // HOT_SHARE)
+    hot = F.broadcast(least.filter(often).select("u", F.col("m").alias("hot_m")))
+    marked = edges.join(hot, "u", "left")
+    rare = marked.filter("hot_m is null").select("u", "v").join(least.filter(~often).select("u", "m"), "u")
+    return rare.unionByName(marked.filter("hot_m is not null").select("u", "v", F.col("hot_m").alias("m")))
+
+
 def components(edges: DataFrame, label: str = "component") -> DataFrame:
     """node and label (the least node that it is linked to, over any way) of every node of ``edges`` (u, v).
 
     Stars alternate: every node's greater neighbours are tied to its least neighbour, then its smaller ones.
     Each round is written to the shared folder, so lineage stays short and a lost executor costs one round at
-    most. A node's neighbours are only ever reduced to their least or joined to it, never gathered.
+    most. A node's neighbours are only ever reduced to their least or joined to it, never gathered; nodes of very many
+    edges are joined by broadcast, so no task gets the centre of a large star.
     """
     edges = edges.filter("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
     edges = materialise(edges, "edges")
     before = _fingerprint(edges)
     while True:
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
+        least = both.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n"))
+        least = least.select("u", F.least("u", "m").alias("m"), "n")
+        large = _to_least(both, least, 2 * before[0]).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        least = large.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n"))
+        small = _to_least(large, least, 2 * before[0]).select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
         edges = materialise(small.select("e.u", "e.v").filter("u != v").distinct(), "edges")
         now = _fingerprint(edges)
         if now == before:
@@ -201,7 +307,7 @@ def classes_of(
     first_id (the least doc_id that has it), n_copies, links to other texts' rows (null for none), and its class:
     class_id, the least doc_id, and class_key, the text that has it. Classes are told apart by class_key; doc_ids
     only name rows, so texts of one doc_id are texts of their own, and rows without one take part."""
-    length = prefix_length(threshold, recall=recall)
+    lengths = prefix_lengths(threshold, recall)
     share = Fraction(threshold).limit_denominator(10_000)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     keyed = rows.withColumn("key", F.md5("text")).withColumn("id", F.coalesce("doc_id", F.lit(NO_ID)))
@@ -211,12 +317,11 @@ def classes_of(
             texts = byte_texts(batch.column(2))
             for i, j in slices(texts):
                 hashes, counts = shingles(texts[i:j], words)
-                found = prefixes(hashes, counts, length)
-                ends = np.concatenate([[0], np.cumsum(counts > 0)]) * TREES
-                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(found.ravel()))
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(i, j - i), batch.column(1).slice(i, j - i), pa.array(counts), lists], schema=SIGNED
-                )
+                found = iter(branches(hashes, counts))
+                rows = pa.array([next(found).tobytes() if n else None for n in counts], pa.binary())
+                columns = [batch.column(k).slice(i, j - i) for k in (0, 1)]
+                columns += [pa.array(counts), pa.array(lengths[set_sizes(hashes, counts)]), rows]
+                yield pa.RecordBatch.from_arrays(columns, schema=SIGNED)
 
     signed = keyed.select("doc_id", "key", "text").mapInArrow(sign, from_arrow_schema(SIGNED))
     signed = materialise(signed, "signed")
@@ -226,15 +331,13 @@ def classes_of(
         .groupBy("key")
         .agg(
             F.min("doc_id").alias("first_id"),
-            F.first(F.struct("shingles", "prefixes")).alias("found"),
+            F.first(F.struct("shingles", "length", "branches")).alias("found"),
             F.count(F.lit(1)).alias("n_copies"),
         )
-        .select("key", F.monotonically_increasing_id().alias("node"), "first_id", "found.shingles", "found.prefixes", "n_copies")
+        .select("key", F.monotonically_increasing_id().alias("node"), "first_id", "found.*", "n_copies")
     )
     nodes = materialise(nodes, "nodes")
-    placed = nodes.select("node", F.explode("prefixes").alias("prefix"))
-    met = placed.groupBy("prefix").agg(F.min("node").alias("v"), F.max("node").alias("w")).filter("v < w")
-    groups = components(placed.join(met.select("prefix", "v"), "prefix").select(F.col("node").alias("u"), "v"), "grp")
+    groups = components(meetings(nodes, int(lengths.min())), "grp")
     groups = groups.union(groups.select(F.col("grp").alias("node"), "grp")).distinct()
 
     # a group of many shingles is cut into blocks, and every pair of blocks is a task; small groups share tasks

@@ -4,11 +4,22 @@ import re
 from fractions import Fraction
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from llm.cases import AWKWARD, TINY
 
 from barlake.llm import ngram_join
-from barlake.llm.ngram_join import components, join_documents, linked_pairs, one_of_each, prefix_length, shared_counts
+from barlake.llm.ngram_join import (
+    components,
+    join_documents,
+    least_similarity,
+    linked_pairs,
+    one_of_each,
+    prefix_length,
+    prefix_lengths,
+    shared_counts,
+    tie_runs,
+)
 from barlake.llm.queries import op1_ngram_join
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -100,6 +111,46 @@ def test_prefixes_shorten_until_the_recall():
     assert prefix_length(0.99, 32, 10, 0.999) == 10
 
 
+@pytest.mark.parametrize("threshold", [Fraction(4, 5), Fraction(1, 2), Fraction(9, 10), Fraction(2, 3)])
+def test_least_similarity_of_a_set(threshold):
+    for size in range(1, 30):
+        every = {Fraction(i, u) for i in range(1, size + 1) for u in range(size, 4 * size + 1)}
+        assert least_similarity(size, threshold) == min(s for s in every if s >= threshold)
+
+
+def test_small_sets_keep_longer_prefixes():
+    lengths = prefix_lengths(0.8, 0.999)
+    assert set(lengths[1:4]) == {10}  # no set has a similarity between 0.8 and 1 to one of up to 3
+    assert lengths[4] == lengths[5] == lengths[-1] == 7 and lengths[7] > 7
+    hashes = np.array([5, 5, 5, 6, 7, 8, 8], np.uint64)
+    assert ngram_join.set_sizes(hashes, np.array([3, 0, 4]), 4).tolist() == [1, 0, 4]
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_ties_join_all_that_meet(seed):
+    """Ties of a sorted forest, cut into ranges and batches anywhere, reach between all pairs that share the longer
+    of their prefixes in some tree, and only over such pairs."""
+    rng = np.random.default_rng(seed)
+    n, trees, depth, shortest = 60, 3, 5, 2
+    codes, lengths = rng.integers(0, 2, (n, trees, depth)).astype(np.uint8), rng.integers(shortest, depth + 1, n)
+    rows = sorted((t, codes[i, t].tobytes(), i, int(lengths[i])) for t in range(trees) for i in range(n))
+    ties, ends = [], {}
+    for part in np.array_split(np.arange(len(rows)), sorted(rng.integers(0, len(rows), 4))):
+        cuts = [rows[a] for a in part]
+        batches = [cuts[k : k + 7] for k in range(0, len(cuts), 7)]
+        batches = (pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*b)], names=["tree", "branch", "node", "length"]) for b in batches)
+        for batch in tie_runs(batches, shortest, depth):
+            for u, v, run in zip(*(c.to_pylist() for c in batch.columns)):
+                ties.append((u, v)) if run is None else ends.setdefault(run, set()).add(u)
+    for nodes in ends.values():
+        ties += [(u, min(nodes)) for u in nodes]
+    meets = {(a, b) for a in range(n) for b in range(n) for t in range(trees) if (codes[a, t, : max(lengths[a], lengths[b])] == codes[b, t, : max(lengths[a], lengths[b])]).all()}
+    names = np.arange(n)
+    label = ngram_join.least_of(n, *np.array(ties).T, names)
+    assert (label == ngram_join.least_of(n, *np.array(sorted(meets)).T, names)).all()
+    assert set(ties) <= meets
+
+
 def test_shared_counts_are_exact(monkeypatch):
     rng = np.random.default_rng(3)
     sets = [np.unique(rng.integers(0, 60, n).astype(np.uint64)) for n in rng.integers(1, 60, 40)]
