@@ -10,14 +10,12 @@ from bisect import bisect_left
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date, timedelta
-from functools import reduce
 from itertools import accumulate
-from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from barlake.workspace import small_frame
 
+from barlake.workspace import materialise, small_frame
 
 
 @dataclass(frozen=True)
@@ -114,13 +112,21 @@ def holdout_scopes(
 def ranked_tickers(df: DataFrame, wanted: set[tuple[date, int]]) -> dict[tuple[date, int], str]:
     """The k-th ticker of a session for each (session, k).
 
-    A session has one row per ticker, whatever the length of the history, and only sessions that hold a cut
-    are sorted: one for each fold, by two columns.
+    Only sessions that hold a cut are looked at. Their tickers are dealt into ranges, the ranges are counted, and
+    just the range that holds a k-th ticker is ranked, from the count before it on. So no task orders a session.
     """
-    rank = F.row_number().over(Window.partitionBy("date").orderBy("ticker"))
-    hit = reduce(or_, [(F.col("date") == F.lit(d)) & (F.col("k") == k) for d, k in wanted])
-    sessions = df.where(F.col("date").isin([d for d, _ in wanted])).select("date", "ticker")
-    rows = sessions.withColumn("k", rank).where(hit).collect()
+    dates = sorted({d for d, _ in wanted})
+    ranges = df.where(F.col("date").isin(dates)).select("date", "ticker").repartitionByRange("date", "ticker")
+    ranges = materialise(ranges.withColumn("part", F.spark_partition_id()), "cut-sessions")
+    counts = ranges.groupBy("date", "part").agg(F.count(F.lit(1)).alias("n"))
+    running = F.sum("n").over(Window.partitionBy("date").orderBy("part"))  # a row per range of a session
+    cuts = small_frame(df.sparkSession, sorted(wanted), "date date, k long")
+    holding = counts.withColumn("until", running).join(F.broadcast(cuts), "date")
+    holding = holding.where((F.col("k") <= F.col("until")) & (F.col("k") > F.col("until") - F.col("n")))
+    holding = holding.select("date", "part", "k", (F.col("k") - F.col("until") + F.col("n")).alias("within"))
+    rank = F.row_number().over(Window.partitionBy("date", "part", "k").orderBy("ticker"))
+    held = ranges.join(F.broadcast(holding), ["date", "part"]).withColumn("rank", rank)  # one row per cut is broadcast
+    rows = held.where("rank = within").select("date", "k", "ticker").collect()
     return {(r["date"], r["k"]): r["ticker"] for r in rows}
 
 

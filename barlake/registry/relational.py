@@ -27,6 +27,7 @@ from barlake.operators.contract import (
     valid_rows,
 )
 from barlake.operators.latest import keep_last
+from barlake.plans.incremental import feature_table, update_features
 from barlake.plans.ingest import fetch_windows, window_lists
 from barlake.plans.marts import daily_returns, market_level, monthly_summary, volatility_features
 from barlake.plans.marts import ticker_features
@@ -46,7 +47,7 @@ from barlake.sources.feeds import (
     table,
 )
 from barlake.sources.wide import tidy, widen
-from barlake.workspace import materialise
+from barlake.workspace import materialise, work_path
 
 PLACES = 6
 
@@ -222,6 +223,21 @@ def q_features_volatility(spark, sf):
     return rounded(features_feed(spark, sf))
 
 
+def q_features_incremental(spark, sf):
+    """The features mart of four runs, brought up to date by three more with corrections all over the past."""
+    landed = materialise(landed_bars(spark, sf), "landed")
+
+    def until(run: str) -> DataFrame:
+        return materialise(staged(landed.where(F.col("run_id") <= run)), "staged")
+
+    first = volatility_features(materialise(daily_returns(until("run-4")), "returns"))
+    mart = feature_table(spark, work_path(spark, "features-mart"), first.schema)
+    mart.upsert(first)
+    for run in ("run-5", "run-6", "run-7"):
+        update_features(mart, until(run), landed.where(F.col("run_id") == run).select("ticker", "date"))
+    return rounded(mart.read())
+
+
 def q_market_vol(spark, sf):
     return rounded(market_level(ticker_features(returns_feed(spark, sf))))
 

@@ -119,6 +119,15 @@ def test_the_kth_ticker_of_a_session_whatever_its_length(spark):
     assert ranked_tickers(df, wanted) == {(day, k): n for k, n in enumerate(sorted(names), 1)}
 
 
+def test_the_kth_ticker_over_many_ranges(spark):
+    """Sessions of hundreds of tickers cut at their ends and between, some at several places."""
+    days = [date(2024, 1, d) for d in (2, 3, 4)]
+    names = {d: [f"T{(k * 7919) % 1000:03d}" for k in range(300 + 100 * i)] for i, d in enumerate(days)}
+    df = spark.createDataFrame([(d, n) for d in days for n in names[d]], "date date, ticker string").repartition(5)
+    wanted = {(days[0], 1), (days[0], 300), (days[1], 57), (days[1], 58), (days[1], 399)}
+    assert ranked_tickers(df, wanted) == {(d, k): sorted(names[d])[k - 1] for d, k in wanted}
+
+
 def test_har_equals_least_squares(labelled):
     calendar = session_calendar(labelled)
     scopes = holdout_scopes(labelled, calendar, [everything(calendar)])
