@@ -332,20 +332,25 @@ def streamed_by_run(spark, sf) -> tuple[Lake, KeyedTable]:
     return _streamed[key]
 
 
+def arrive(raw: DataFrame, run: int, inbox: str) -> None:
+    """The files of one run, from as many tasks as the feed has parts."""
+    raw.where(F.col("run") == run).write.mode("append").parquet(inbox)
+
+
 def _stream_by_run(spark, sf) -> tuple[Lake, KeyedTable]:
     lake, bars = new_lake(spark), bar_table(spark, work_path(spark, "current-bars"))
     inbox, checkpoint = work_path(spark, "inbox"), work_path(spark, "stream-checkpoint")
     raw = materialise(raw_bars(spark, sf), "raw")
-    for run in range(1, 8):  # files are taken in the order in which they came
-        raw.where(F.col("run") == run).coalesce(1).write.mode("append").parquet(inbox)
 
     def run_stream():
-        stream = spark.readStream.schema(raw.schema).option("maxFilesPerTrigger", 1).parquet(inbox)
+        stream = spark.readStream.schema(raw.schema).parquet(inbox)
         land_stream(
             stream, lake, FEED, "feed", AS_OF, checkpoint, ["run", *ARRIVAL], datetime(2002, 1, 1), bars
         ).awaitTermination()
 
-    run_stream()
+    for run in range(1, 8):  # the stream goes on where it stopped: its next micro-batch is all files of the run
+        arrive(raw, run, inbox)
+        run_stream()
     remove(spark, f"{checkpoint}/commits/6")  # as if the driver was lost before the last batch was committed
     remove(spark, f"{checkpoint}/commits/.6.crc")
     run_stream()

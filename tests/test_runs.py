@@ -12,6 +12,7 @@ from barlake.plans.monitoring import matured_forecasts, recent_sessions
 from barlake.plans.publishing import publish, published
 from barlake.plans.staging import staged
 from barlake.plans.training import load_card
+from barlake.registry import lake as lake_queries
 from barlake.settings import Settings, TreeSettings
 from barlake.sources.bars import TableSource, ticker_frame
 from barlake.sources.lake import Lake
@@ -147,6 +148,22 @@ def test_streamed_bars_land_like_a_batch_and_replays_add_nothing(spark, tmp_path
     assert staged(lake.bronze()).count() == len(pdf)
 
 
+def test_a_run_of_the_feed_arrives_in_parts_and_is_one_micro_batch(spark, tmp_path):
+    pdf = made_bars(NAMES, "2024-01-01", 40)
+    raw = frame(spark, pdf).withColumn("run", F.lit(1)).repartition(6)
+    raw = raw.unionByName(raw.withColumn("run", F.lit(2)))
+    inbox, lake = str(tmp_path / "inbox"), Lake(spark, str(tmp_path / "lake"))
+    for run in (1, 2):
+        lake_queries.arrive(raw, run, inbox)
+        stream = spark.readStream.schema(raw.schema).parquet(inbox)
+        land_stream(
+            stream, lake, "vendor", "feed", date(2024, 6, 1), str(tmp_path / "cp"), ["run"], datetime(2024, 6, 1)
+        ).awaitTermination()
+        assert spark.read.parquet(inbox).where(F.col("run") == run).select(F.input_file_name()).distinct().count() == 6
+    batches = lake.manifests().orderBy("run_id").collect()
+    assert [(r["run_id"], r["rows_fetched"]) for r in batches] == [("feed-000000000", len(pdf)), ("feed-000000001", len(pdf))]
+
+
 def test_trades_become_daily_bars(spark, tmp_path):
     rows = [
         ("AAA", datetime(2024, 1, 1, h), float(p)) for h, p in ((9, 10), (12, 14), (10, 8), (16, 11))
