@@ -2,13 +2,13 @@
 
 Rows are binned once and packed into blocks that stay cached on the executors. A round sends every block the trees as
 far as they are grown and asks for gradient histograms of a few leaves; blocks answer for all training sets (every
-fold, its probe and its final fit: a bit per set in the row's mask) and the answers are added up on the way to the
-driver, which chooses the splits. What moves is histograms, leaves x features x bins numbers for each training set,
-whatever the number of rows.
+fold, its probe and its final fit: a bit per set in the row's mask). The answers are shuffled by training set and leaf,
+added up there, and searched for the leaf's best split. The driver gets that split alone, a few numbers per leaf
+whatever the number of rows, features and bins, and chooses which leaves are split.
 
 Trees grow best first: of all leaves the one of the greatest gain is split next, to ``leaves`` leaves. A round splits
 every leaf that could still be among these, so a tree takes as many rounds as it is deep, and best-first order is taken
-from the gains afterwards. Of two siblings only the smaller is counted; the other is their parent less it.
+from the gains afterwards.
 
 Gradients are rounded to whole multiples of 2**-20, so sums of histograms are exact and don't depend on the order in
 which blocks are added: a lost executor, other partitions or another cluster give the same trees to the last bit.
@@ -23,7 +23,6 @@ import uuid
 from collections import OrderedDict
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +38,8 @@ GRID = float(1 << 20)
 BLOCK_ROWS = 1 << 17
 #: Trees that travel with every round; older ones are broadcast once.
 RECENT_TREES = 8
+#: Histograms of parts that a task adds up, about; the tasks of a round follow from it.
+TASK_HISTOGRAMS = 512
 #: Bytes of predictions that a worker process remembers.
 MEMO_BYTES = 512 << 20
 
@@ -112,13 +113,14 @@ def tree_features(n: int, tree: int, settings: TreeSettings) -> np.ndarray:
     return out
 
 
-def best_splits(sums: np.ndarray, counts: np.ndarray, allowed: np.ndarray, settings: TreeSettings) -> list[tuple | None]:
-    """For every leaf with these histograms (leaves x features x bins) the gain, feature, bin, left sum and left count
-    of its best split, the first one of equals; None if no split leaves enough rows on both sides or gains anything."""
+def best_splits(sums: np.ndarray, counts: np.ndarray, features: Sequence[int], settings: TreeSettings) -> list[tuple | None]:
+    """For every leaf with these histograms (leaves x features x bins, of the features with these numbers) the gain,
+    feature, bin, left sum and left count of its best split, the first one of equals; None if no split leaves enough rows
+    on both sides or gains anything."""
     total, n = sums[:, :1, :].sum(axis=2, keepdims=True), counts[:, :1, :].sum(axis=2, keepdims=True)
     left, held = np.cumsum(sums, axis=2)[:, :, :-1], np.cumsum(counts, axis=2)[:, :, :-1]
     penalty = settings.l2
-    fits = (held >= settings.min_rows_per_leaf) & (n - held >= settings.min_rows_per_leaf) & allowed[:, None]
+    fits = (held >= settings.min_rows_per_leaf) & (n - held >= settings.min_rows_per_leaf)
     with np.errstate(divide="ignore", invalid="ignore"):  # of empty sides, which don't count
         gains = left**2 / (held + penalty) + (total - left) ** 2 / (n - held + penalty) - total**2 / (n + penalty)
     gains = np.where(fits, gains, 0.0).reshape(len(sums), -1)
@@ -129,38 +131,29 @@ def best_splits(sums: np.ndarray, counts: np.ndarray, allowed: np.ndarray, setti
     for k, place in enumerate(at.tolist()):
         feature, cell = divmod(place, left.shape[2])
         gain = float(gains[k, place])
-        out.append((gain, feature, cell, float(left[k, feature, cell]), float(held[k, feature, cell])) if gain > 0 else None)
+        split = gain, int(features[feature]), cell, float(left[k, feature, cell]), float(held[k, feature, cell])
+        out.append(split if gain > 0 else None)
     return out
 
 
 class Growing:
-    """One tree while it grows: every split tried so far, the histograms of its ends, and the best-first choice."""
+    """One tree while it grows: every split tried so far, the best splits of its nodes, and the best-first choice."""
 
-    def __init__(self, allowed: np.ndarray, settings: TreeSettings):
-        self.allowed, self.settings = allowed, settings
+    def __init__(self, settings: TreeSettings):
+        self.settings = settings
         self.tried = Tree([], [], [], [], [])  # splits of all rounds, for the blocks
         self.children: dict[int, tuple[int, int]] = {}  # node: (left, right), nodes counted as they appear
         self.end = {0: 0}  # node: its number at the blocks, for nodes without children
-        self.hists: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         self.splits: dict[int, tuple | None] = {}
         self.totals: dict[int, tuple[float, float]] = {}
-        self.asked: dict[int, tuple[int, int] | None] = {0: None}  # node to count: its parent and sibling
+        self.asked = [0]  # nodes whose best split is wanted
         self.nodes, self.level = 1, {0: 0}
 
-    def take(self, sums: np.ndarray, counts: np.ndarray) -> None:
-        """Histograms of the nodes asked for, in their order (nodes x features x bins)."""
-        nodes = list(self.asked)
-        for node, pair in self.asked.items():
-            if pair is not None:
-                nodes.append(pair[1])
-                whole, k = self.hists.pop(pair[0]), nodes.index(node)
-                sums = np.concatenate([sums, (whole[0] - sums[k])[None]])
-                counts = np.concatenate([counts, (whole[1] - counts[k])[None]])
-        for k, (node, split) in enumerate(zip(nodes, best_splits(sums, counts, self.allowed, self.settings))):
-            self.hists[node] = sums[k], counts[k]
-            self.totals[node] = float(sums[k, 0].sum()), float(counts[k, 0].sum())
-            self.splits[node] = split
-        self.asked = {}
+    def take(self, found: Sequence[tuple[float, float, tuple | None]]) -> None:
+        """Sum, count and best split of the nodes asked for, in their order."""
+        for node, (total, n, split) in zip(self.asked, found, strict=True):
+            self.totals[node], self.splits[node] = (total, n), split
+        self.asked = []
 
     def choose(self) -> tuple[list[int], bool]:
         """Nodes split in best-first order as far as gains are known, and whether gains not yet known could change it."""
@@ -186,7 +179,7 @@ class Growing:
             return False
         fresh = [n for n in order if n not in self.children and self.level[n] + 1 < self.settings.depth]
         for node in fresh:
-            _, feature, at, _, left_count = self.splits[node]
+            _, feature, at, _, _ = self.splits[node]
             left, right = self.nodes, self.nodes + 1
             self.nodes += 2
             self.level[left] = self.level[right] = self.level[node] + 1
@@ -196,8 +189,7 @@ class Growing:
             self.tried.bin.append(at)
             self.children[node] = (left, right)
             self.end[left], self.end[right] = place, len(self.tried.leaf)
-            small, large = (left, right) if 2 * left_count <= self.totals[node][1] else (right, left)
-            self.asked[small] = (node, large)
+            self.asked += [left, right]
         return True
 
     def finished(self) -> Tree:
@@ -259,8 +251,10 @@ class Block:
                     self.now[m] += tree.values[0]
             self.applied += 1
 
-    def histograms(self, m: int, grown: Tree, wanted: Sequence[int], tree: int, settings: TreeSettings) -> np.ndarray:
-        """Sums and counts by wanted leaf, feature and bin of one training set's sampled rows."""
+    def histograms(
+        self, m: int, grown: Tree, wanted: Sequence[int], tree: int, features: Sequence[int], settings: TreeSettings
+    ) -> np.ndarray:
+        """Sums and counts of one training set's sampled rows: wanted leaves x 2 x features x bins."""
         if self.drawn[0] != tree:
             self.drawn = tree, sampled(self.keys, tree, settings)
         slot = np.full(len(grown.leaf) + 1, -1, np.int32)
@@ -276,18 +270,14 @@ class Block:
         base = own[rows] * self.max_bins
         pull = np.rint((self.y[rows] - self.now[m][rows]) * GRID)
         size = len(wanted) * self.max_bins
-        out = np.empty((2, len(self.bins), size))
-        for f, line in enumerate(self.bins):
-            cell = base + line[rows]
-            out[0, f] = np.bincount(cell, pull, size)
-            out[1, f] = np.bincount(cell, None, size)
+        out = np.empty((len(wanted), 2, len(features), self.max_bins))
+        for k, f in enumerate(features):
+            cell = base + self.bins[f][rows]
+            out[:, 0, k] = np.bincount(cell, pull, size).reshape(len(wanted), self.max_bins)
+            out[:, 1, k] = np.bincount(cell, None, size).reshape(len(wanted), self.max_bins)
         return out
 
 
-def _added(a: list, b: list) -> list:
-    return [x + y for x, y in zip(a, b)]
-
-
 def pack(rows: DataFrame, features: Sequence[str], edges: Sequence[Sequence[float]], parts: int) -> DataFrame:
     """Blocks (name, packed) of ``rows``: key (long), y, mask (long) and the features; dealt out by the key."""
     names = list(features)
@@ -323,41 +313,31 @@ def boost(spark: SparkSession, blocks: DataFrame, n_sets: int, features: Sequenc
     max_bins = max((len(e) for e in edges), default=0) + 1
     run = uuid.uuid4().hex
     cached = blocks.select("name", "packed").rdd.map(lambda r: (r[0], bytes(r[1]))).persist(StorageLevel.MEMORY_AND_DISK)
-    few = cached.getNumPartitions() <= 32
-
-    def gather(task) -> list:
-        """The blocks' answers added up: on the driver where they are few, else in two steps."""
-
-        def answer(rows):
-            total = None
-            for name, packed in rows:
-                got = task(name, packed)
-                total = got if total is None else _added(total, got)
-            return [] if total is None else [total]
-
-        if not few:
-            return cached.mapPartitions(answer).treeReduce(_added)
-        return reduce(_added, spark.sparkContext.runJob(cached, answer))
-
-    def totals(name, packed):
-        _, y, mask, _ = pickle.loads(packed)
+    def totals(row):
+        _, y, mask, _ = pickle.loads(row[1])
         member = (mask[None, :] >> np.arange(n_sets, dtype=np.uint64)[:, None]) & np.uint64(1)
-        return [member @ np.rint(y * GRID), member.sum(axis=1).astype(np.float64)]
+        return np.stack([member @ np.rint(y * GRID), member.sum(axis=1).astype(np.float64)])
 
-    sums, counts = gather(totals)
+    sums, counts = cached.map(totals).treeReduce(np.add)
     bases = [float(s / GRID / c) if c else 0.0 for s, c in zip(sums, counts)]
     forests = [Forest(list(features), [list(map(float, e)) for e in edges], b) for b in bases]
+    parts = cached.getNumPartitions()
     older, recent = [], []
     for number in range(settings.trees):
-        allowed = tree_features(len(features), number, settings)
-        growing = [Growing(allowed, settings) for _ in range(n_sets)]
+        drawn = np.flatnonzero(tree_features(len(features), number, settings)).tolist()
+        growing = [Growing(settings) for _ in range(n_sets)]
         busy = [m for m in range(n_sets) if counts[m]]
         while busy:
             asked = [(m, growing[m].tried, [growing[m].end[n] for n in growing[m].asked]) for m in busy]
-            answers = gather(_question(run, bases, max_bins, number, list(older), list(recent), asked, settings))
-            for (m, _, wanted), hist in zip(asked, answers):
-                cut = hist.reshape(2, len(features), len(wanted), max_bins).swapaxes(1, 2)
-                growing[m].take(cut[0], cut[1])
+            answer = _answers(run, bases, max_bins, number, list(older), list(recent), asked, drawn, settings)
+            leaves = sum(len(wanted) for _, _, wanted in asked)
+            tasks = min(leaves, -(-leaves * parts // TASK_HISTOGRAMS))
+            added = cached.mapPartitions(answer).reduceByKey(np.add, tasks, int)
+            found = dict(added.mapPartitions(_searched(drawn, settings)).collect())
+            at = 0
+            for m, _, wanted in asked:
+                growing[m].take([found[k] for k in range(at, at + len(wanted))])
+                at += len(wanted)
             busy = [m for m in busy if growing[m].grow()]
         trees = [g.finished() if counts[m] else Tree([], [], [], [], [0.0]) for m, g in enumerate(growing)]
         for forest, tree in zip(forests, trees):
@@ -372,16 +352,35 @@ def boost(spark: SparkSession, blocks: DataFrame, n_sets: int, features: Sequenc
     return forests
 
 
-def _question(run, bases, max_bins, number, older, recent, asked, settings):
-    """What one round asks a block: histograms of some leaves for some training sets."""
+def _answers(run, bases, max_bins, number, older, recent, asked, drawn, settings):
+    """What one round asks blocks: histograms of some leaves for some training sets, by place in the question."""
     each = RECENT_TREES
 
-    def task(name, packed):
-        block = Block.of((run, name), packed, bases, max_bins)
-        block.catch_up(number, older, recent, each)
-        return [block.histograms(m, grown, wanted, number, settings) for m, grown, wanted in asked]
+    def answer(rows):
+        total = None
+        for name, packed in rows:
+            block = Block.of((run, name), packed, bases, max_bins)
+            block.catch_up(number, older, recent, each)
+            got = np.concatenate([block.histograms(m, grown, wanted, number, drawn, settings) for m, grown, wanted in asked])
+            total = got if total is None else total + got
+        return [] if total is None else enumerate(total)
+
+    return answer
+
+
+def _searched(drawn, settings):
+    """Sum, count and best split of every leaf from its whole histogram."""
+
+    def search(leaves):
+        leaves = list(leaves)  # histograms of some leaves of one round, a bounded number
+        if not leaves:
+            return []
+        hists = np.stack([h for _, h in leaves])
+        splits = best_splits(hists[:, 0], hists[:, 1], drawn, settings)
+        totals = hists[:, :, 0].sum(axis=2).tolist()
+        return [(k, (*total, split)) for (k, _), total, split in zip(leaves, totals, splits)]
 
-    return task
+    return search
 
 
 def with_predictions(df: DataFrame, forests: Sequence[Forest], name: str) -> DataFrame:

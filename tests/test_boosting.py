@@ -125,6 +125,22 @@ def test_partitions_and_blocks_change_nothing(spark, made, monkeypatch):
     assert fitted(spark, frame.repartition(7), edges, 1, quick) == whole
 
 
+def test_the_driver_gets_splits_and_no_histograms(spark, made, monkeypatch):
+    """Bytes per leaf that come to the driver: a histogram of 5 features and 16 bins would have 1280."""
+    frame, edges, _ = made
+    quick = replace(QUICK, trees=4)
+    whole, taken, take = fitted(spark, frame, edges, 3, quick), [], boosting.Growing.take
+
+    def spy(self, *found):
+        taken.append(len(pickle.dumps(found)) / len(self.asked))
+        take(self, *found)
+
+    monkeypatch.setattr(boosting.Growing, "take", spy)
+    monkeypatch.setattr(boosting, "TASK_HISTOGRAMS", 2)  # many tasks search for splits
+    assert fitted(spark, frame, edges, 3, quick) == whole
+    assert taken and max(taken) < 300
+
+
 def test_catching_up_from_broadcast_trees(spark, made):
     frame, edges, (keys, y, mask, bins) = made
     forests = fitted(spark, frame, edges, 2, replace(QUICK, trees=11))
