@@ -1,14 +1,15 @@
 """Leaf-wise boosted trees from distributed histograms, for many training sets at once.
 
-Rows are binned once and packed into blocks that stay cached on the executors. A round sends every block the trees as
-far as they are grown and asks for gradient histograms of a few leaves; blocks answer for all training sets (every
+Rows are binned once and packed into blocks that stay cached on the executors. Training sets that fit into a task are
+dealt out whole, a task for each, and grown there without a round trip; a round per level of a tree costs a job each, which
+is most of the time of a small set. For larger sets a round sends every block the trees as far as they are grown and asks for gradient histograms of a few leaves; blocks answer for all training sets (every
 fold, its probe and its final fit: a bit per set in the row's mask). The answers are shuffled by training set and leaf,
 added up there, and searched for the leaf's best split. The driver gets that split alone, a few numbers per leaf
 whatever the number of rows, features and bins, and chooses which leaves are split.
 
 Trees grow best first: of all leaves the one of the greatest gain is split next, to ``leaves`` leaves. A round splits
 every leaf that could still be among these, so a tree takes as many rounds as it is deep, and best-first order is taken
-from the gains afterwards.
+from the gains afterwards. Both ways take the same steps and give the same trees.
 
 Gradients are rounded to whole multiples of 2**-20, so sums of histograms are exact and don't depend on the order in
 which blocks are added: a lost executor, other partitions or another cluster give the same trees to the last bit.
@@ -40,6 +41,10 @@ BLOCK_ROWS = 1 << 17
 RECENT_TREES = 8
 #: Histograms of parts that a task adds up, about; the tasks of a round follow from it.
 TASK_HISTOGRAMS = 512
+#: Rows of a training set that one task grows, at most; a row takes some 100 bytes there.
+TASK_ROWS = 1 << 20
+#: Rows whose histograms are counted at once.
+CHUNK_ROWS = 1 << 14
 #: Bytes of predictions that a worker process remembers.
 MEMO_BYTES = 512 << 20
 
@@ -82,9 +87,12 @@ def bins_of(values: np.ndarray, edges: Sequence[float]) -> np.ndarray:
 
 def leaf_of(bins: np.ndarray, tree: Tree) -> np.ndarray:
     """The leaf of every row; ``bins`` has a line per feature."""
-    node = np.zeros(bins.shape[1], np.int16)
+    kind = np.int8 if len(tree.leaf) < 128 else np.int16
+    node = np.zeros(bins.shape[1], kind)
     for k, (leaf, feature, at) in enumerate(zip(tree.leaf, tree.feature, tree.bin), 1):
-        node[(node == leaf) & (bins[feature] > at)] = k
+        moved = node == leaf
+        moved &= bins[feature] > at
+        node += moved.view(np.int8) * kind(k - leaf)  # several times as fast as setting them by the mask
     return node
 
 
@@ -278,6 +286,56 @@ class Block:
         return out
 
 
+class WholeSet:
+    """A training set in one task: its rows and their predictions so far."""
+
+    def __init__(self, pieces: Sequence[tuple[np.ndarray, np.ndarray, np.ndarray]], base: float, max_bins: int):
+        keys, y, bins = zip(*pieces)
+        self.keys, self.y, self.bins = np.concatenate(keys), np.concatenate(y), np.concatenate(bins, axis=1)
+        self.now, self.max_bins = np.full(len(self.y), base), max_bins
+
+    def grow(self, number: int, drawn: Sequence[int], settings: TreeSettings) -> Tree:
+        """The next tree, whose splits then count in the predictions."""
+        seen = np.flatnonzero(sampled(self.keys, number, settings))
+        pull = np.rint((self.y[seen] - self.now[seen]) * GRID)
+        bins = {f: self.bins[f][seen] for f in drawn}
+        codes = np.empty((len(seen), len(drawn)), np.min_scalar_type(len(drawn) * self.max_bins))
+        for k, f in enumerate(drawn):
+            np.add(bins[f], k * self.max_bins, out=codes[:, k], casting="unsafe", dtype=np.int64)
+        growing = Growing(settings)
+        rows, hists = {0: np.arange(len(seen))}, {0: self.counted(codes, pull, slice(None))}
+        while True:
+            asked = np.array([hists[n] for n in growing.asked]).reshape(-1, 2, len(drawn), self.max_bins)
+            splits = best_splits(asked[:, 0], asked[:, 1], drawn, settings)
+            totals = asked[:, :, 0].sum(axis=2).tolist()
+            growing.take([(*total, split) for total, split in zip(totals, splits)])
+            if not growing.grow():
+                break
+            fresh = len(growing.asked) // 2
+            for node, (left, right) in list(growing.children.items())[len(growing.children) - fresh :]:
+                _, feature, at, _, _ = growing.splits[node]
+                own, hist = rows.pop(node), hists.pop(node)
+                high = bins[feature][own] > at
+                rows[left], rows[right] = own[~high], own[high]
+                few, many = (left, right) if len(rows[left]) <= len(rows[right]) else (right, left)
+                hists[few] = self.counted(codes, pull, rows[few])
+                hists[many] = hist - hists[few]  # whole numbers, so exact
+        tree = growing.finished()
+        self.now += np.asarray(tree.values)[leaf_of(self.bins, tree)]
+        return tree
+
+    def counted(self, codes: np.ndarray, pull: np.ndarray, rows: np.ndarray | slice) -> np.ndarray:
+        """Sums and counts of some sampled rows: 2 x features x bins."""
+        features, own = codes.shape[1], pull[rows]
+        out = np.zeros((2, features * self.max_bins))
+        for start in range(0, len(own), CHUNK_ROWS):
+            part = slice(start, start + CHUNK_ROWS)
+            cells = (codes[part] if isinstance(rows, slice) else codes[rows[part]]).ravel().astype(np.intp)
+            out[0] += np.bincount(cells, np.repeat(own[part], features), out.shape[1])
+            out[1] += np.bincount(cells, None, out.shape[1])
+        return out.reshape(2, features, self.max_bins)
+
+
 def pack(rows: DataFrame, features: Sequence[str], edges: Sequence[Sequence[float]], parts: int) -> DataFrame:
     """Blocks (name, packed) of ``rows``: key (long), y, mask (long) and the features; dealt out by the key."""
     names = list(features)
@@ -322,11 +380,15 @@ def boost(spark: SparkSession, blocks: DataFrame, n_sets: int, features: Sequenc
     bases = [float(s / GRID / c) if c else 0.0 for s, c in zip(sums, counts)]
     forests = [Forest(list(features), [list(map(float, e)) for e in edges], b) for b in bases]
     parts = cached.getNumPartitions()
+    whole = [m for m in range(n_sets) if _fits_a_task(int(counts[m]), settings)]
+    for m, trees in _grown_whole(cached, whole, bases, counts, max_bins, len(features), settings):
+        forests[m].trees = trees
+    rounds = [m for m in range(n_sets) if m not in whole]
     older, recent = [], []
-    for number in range(settings.trees):
+    for number in range(settings.trees if rounds else 0):
         drawn = np.flatnonzero(tree_features(len(features), number, settings)).tolist()
         growing = [Growing(settings) for _ in range(n_sets)]
-        busy = [m for m in range(n_sets) if counts[m]]
+        busy = [m for m in rounds if counts[m]]
         while busy:
             asked = [(m, growing[m].tried, [growing[m].end[n] for n in growing[m].asked]) for m in busy]
             answer = _answers(run, bases, max_bins, number, list(older), list(recent), asked, drawn, settings)
@@ -339,9 +401,9 @@ def boost(spark: SparkSession, blocks: DataFrame, n_sets: int, features: Sequenc
                 growing[m].take([found[k] for k in range(at, at + len(wanted))])
                 at += len(wanted)
             busy = [m for m in busy if growing[m].grow()]
-        trees = [g.finished() if counts[m] else Tree([], [], [], [], [0.0]) for m, g in enumerate(growing)]
-        for forest, tree in zip(forests, trees):
-            forest.trees.append(tree)
+        trees = [growing[m].finished() if m in rounds and counts[m] else Tree([], [], [], [], [0.0]) for m in range(n_sets)]
+        for m in rounds:
+            forests[m].trees.append(trees[m])
         recent.append(trees)
         if len(recent) == RECENT_TREES:
             older.append(spark.sparkContext.broadcast(recent))
@@ -352,6 +414,37 @@ def boost(spark: SparkSession, blocks: DataFrame, n_sets: int, features: Sequenc
     return forests
 
 
+def _fits_a_task(rows: int, settings: TreeSettings) -> bool:
+    """Whether one task may grow a training set: by its rows, and by what a task adds up of the blocks that they fill."""
+    return 0 < rows <= TASK_ROWS and -(-rows // BLOCK_ROWS) * settings.leaves <= TASK_HISTOGRAMS
+
+
+def _grown_whole(cached, whole, bases, counts, max_bins, n_features, settings):
+    """Number and trees of each of the ``whole`` training sets. Each is sent its rows and grown by a task of its own, the
+    largest first."""
+    if not whole:
+        return []
+    place = {m: k for k, m in enumerate(sorted(whole, key=lambda m: (-counts[m], m)))}
+
+    def dealt(row):
+        keys, y, mask, bins = pickle.loads(row[1])
+        for m, k in place.items():
+            own = np.flatnonzero((mask >> np.uint64(m)) & np.uint64(1))
+            if len(own):
+                yield k, (m, keys[own], y[own], bins[:, own])
+
+    def grown(pieces):
+        held: dict[int, list] = {}
+        for _, (m, *piece) in pieces:
+            held.setdefault(m, []).append(piece)
+        for m in list(held):
+            rows = WholeSet(held.pop(m), bases[m], max_bins)
+            drawn = (np.flatnonzero(tree_features(n_features, number, settings)).tolist() for number in range(settings.trees))
+            yield m, [rows.grow(number, features, settings) for number, features in enumerate(drawn)]
+
+    return cached.flatMap(dealt).partitionBy(len(place), int).mapPartitions(grown).collect()
+
+
 def _answers(run, bases, max_bins, number, older, recent, asked, drawn, settings):
     """What one round asks blocks: histograms of some leaves for some training sets, by place in the question."""
     each = RECENT_TREES

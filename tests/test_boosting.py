@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from barlake.operators import boosting
-from barlake.operators.boosting import GRID, Block, boost, bins_of, load_forest, pack, sampled, save_forest, tree_features, with_predictions
+from barlake.operators.boosting import GRID, Block, Tree, WholeSet, boost, leaf_of, bins_of, load_forest, pack, sampled, save_forest, tree_features, with_predictions
 from barlake.operators.folds import Scope
 from barlake.operators.trees import fit_trees, membership, tree_inputs, tree_out_of_sample
 from barlake.plans.training import cross_validate, labelled_rows
@@ -141,6 +141,53 @@ def test_the_driver_gets_splits_and_no_histograms(spark, made, monkeypatch):
     assert taken and max(taken) < 300
 
 
+def test_sets_that_fit_a_task_take_no_rounds(spark, made):
+    """A round is a job; these trees took some 200 of them."""
+    frame, edges, _ = made
+    blocks = materialise(pack(frame, FEATURES, edges, 3), "blocks")
+    context = spark.sparkContext
+    context.setLocalProperty("spark.jobGroup.id", "whole-sets")
+    forests = boost(spark, blocks, 4, FEATURES, edges, QUICK)
+    context.setLocalProperty("spark.jobGroup.id", None)
+    assert [len(f.trees) for f in forests] == [25] * 4
+    assert len(context.statusTracker().getJobIdsForGroup("whole-sets")) <= 5
+
+
+@pytest.mark.parametrize("most", [0, 400])
+def test_rounds_and_tasks_give_the_same_trees(spark, made, monkeypatch, most):
+    """Sets beyond the bound of a task: all of them, or all but one."""
+    frame, edges, _ = made
+    quick = replace(QUICK, trees=5)
+    whole, rounds, take = fitted(spark, frame, edges, 3, quick), [], boosting.Growing.take
+    monkeypatch.setattr(boosting.Growing, "take", lambda self, found: (rounds.append(self), take(self, found)))
+    monkeypatch.setattr(boosting, "TASK_ROWS", most)
+    assert fitted(spark, frame, edges, 3, quick) == whole
+    assert len(set(map(id, rounds))) == (15 if most == 0 else 10)
+
+
+def test_pieces_and_chunks_of_a_set_change_nothing(spark, made, monkeypatch):
+    frame, edges, (keys, y, mask, bins) = made
+    quick = replace(QUICK, trees=5)
+    forest = fitted(spark, frame, edges, 3, quick)[0]
+    monkeypatch.setattr(boosting, "CHUNK_ROWS", 32)
+    pieces = [(keys[at], y[at], bins[:, at]) for at in (slice(0, 300), slice(300, 301), slice(301, None))]
+    rows = WholeSet(pieces, forest.base, 16)
+    drawn = [np.flatnonzero(tree_features(5, k, quick)).tolist() for k in range(5)]
+    assert [rows.grow(k, drawn[k], quick) for k in range(5)] == forest.trees
+    assert np.allclose(rows.now, boosting.predict(bins, forest), atol=1e-12)
+
+
+def test_leaves_of_a_tree_of_many():
+    rng = np.random.default_rng(3)
+    bins = rng.integers(0, 64, (3, 2000)).astype(np.uint8)
+    splits = [(int(rng.integers(0, k)), int(rng.integers(0, 3)), int(rng.integers(0, 63))) for k in range(1, 300)]
+    for tree in (Tree(*map(list, zip(*splits[:n])), [], []) for n in (1, 127, 128, 299)):
+        want = np.zeros(2000, int)
+        for k, (leaf, feature, at) in enumerate(zip(tree.leaf, tree.feature, tree.bin), 1):
+            want[(want == leaf) & (bins[feature] > at)] = k
+        assert (leaf_of(bins, tree) == want).all()
+
+
 def test_catching_up_from_broadcast_trees(spark, made):
     frame, edges, (keys, y, mask, bins) = made
     forests = fitted(spark, frame, edges, 2, replace(QUICK, trees=11))
