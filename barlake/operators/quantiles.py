@@ -4,19 +4,23 @@ A group with all of a column's values would grow with the data, so the wanted or
 each pass counts the values between the boundaries known so far and adds finer boundaries (approximate
 percentiles, which merge from partial results) inside the intervals that still hold a wanted rank. A pass is two
 scans with a small aggregate each; no values are shuffled or collected until an interval holds no more values
-than one task sorts at once.
+than one task sorts at once. Values are placed between boundaries by binary search inside tasks: boundaries come by the
+hundreds, and as an expression with a term for each they don't compile.
 """
 
 from __future__ import annotations
 
 import math
 from bisect import bisect_left
-from collections.abc import Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barlake.functions.columns import known
+from barlake.workspace import small_frame
 
 SORTED_ROWS = 100_000  # an interval of so many values is sorted; the result doesn't depend on it
 GRID = 1024
@@ -32,14 +36,6 @@ def exact_quantiles(
     return _cornered(df, columns, fractions, sorted_rows)
 
 
-def interval_of(value: Column, bounds: Sequence[float]) -> Column:
-    """Odd numbers are the boundaries themselves, even numbers the open gaps between them."""
-    place = F.lit(0)
-    for b in bounds:
-        place = place + (value >= b).cast("int") + (value > b).cast("int")
-    return place
-
-
 def _cornered(
     df: DataFrame, columns: Sequence[str], fractions: Sequence[float], limit: int
 ) -> dict[str, list[float]]:
@@ -106,37 +102,64 @@ def _tighter(df: DataFrame, bounds, counts, large, small) -> dict[str, list[floa
     return {c: sorted(edges) for c, edges in fresh.items()}
 
 
-def _placed(df: DataFrame, bounds: dict[str, list[float]]) -> DataFrame:
-    pairs = []
-    for c, edges in bounds.items():
-        value = known(F.col(c).cast("double"))
-        pairs.append(
-            F.struct(
-                F.lit(c).alias("column"),
-                interval_of(value, edges).alias("place"),
-                value.alias("value"),
-            )
-        )
-    return df.select(F.inline(F.array(*pairs))).where("value is not null")
+def _values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The columns as doubles, under the numbers of their places; NaN is null."""
+    return df.select(*[known(F.col(c).cast("double")).alias(str(k)) for k, c in enumerate(columns)])
+
+
+def _places(batch: pa.RecordBatch, edges: Sequence[np.ndarray]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Number, values and intervals of each column: odd numbers are the boundaries themselves, even numbers the open gaps
+    between them."""
+    for k, bounds in enumerate(edges):
+        values = batch.column(k).drop_null().to_numpy(zero_copy_only=False)
+        yield k, values, np.searchsorted(bounds, values, "left") + np.searchsorted(bounds, values, "right")
+
+
+def _placed(df: DataFrame, bounds: Mapping[str, Sequence[float]], places: Sequence[tuple[str, int]]) -> DataFrame:
+    """(column, place, value) of the values in some intervals."""
+    columns, edges = list(bounds), [np.array(b, np.float64) for b in bounds.values()]
+    wanted = [np.zeros(2 * len(b) + 1, bool) for b in edges]
+    for c, place in places:
+        wanted[columns.index(c)][place] = True
+
+    def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k, values, at in _places(batch, edges):
+                inside = wanted[k][at]
+                found = at[inside].astype(np.int32)
+                names = pa.array([columns[k]] * len(found), pa.string())
+                yield pa.RecordBatch.from_arrays([names, pa.array(found), pa.array(values[inside])], names=["column", "place", "value"])
+
+    return _values(df, columns).mapInArrow(placed, "column string, place int, value double")
 
 
 def _interval_counts(df: DataFrame, bounds: dict[str, list[float]]) -> dict[str, dict[int, int]]:
+    columns, edges = list(bounds), [np.array(b, np.float64) for b in bounds.values()]
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [np.zeros(2 * len(b) + 1, np.int64) for b in edges]
+        for batch in batches:
+            for k, _, at in _places(batch, edges):
+                held[k] += np.bincount(at, minlength=len(held[k]))
+        for k, numbers in enumerate(held):
+            place = np.flatnonzero(numbers)
+            names = pa.array([columns[k]] * len(place), pa.string())
+            yield pa.RecordBatch.from_arrays(
+                [names, pa.array(place.astype(np.int32)), pa.array(numbers[place])], names=["column", "place", "n"]
+            )
+
     counts: dict[str, dict[int, int]] = {c: {} for c in bounds}
-    grouped = _placed(df, bounds).groupBy("column", "place").agg(F.count(F.lit(1)).alias("n"))
-    for r in grouped.collect():
+    of_tasks = _values(df, columns).mapInArrow(counted, "column string, place int, n long")
+    for r in of_tasks.groupBy("column", "place").agg(F.sum("n").alias("n")).collect():
         counts[r["column"]][r["place"]] = r["n"]
     return counts
 
 
 def _grids(df: DataFrame, bounds, targets: list[tuple[str, int]]) -> dict:
     """Approximate percentiles of each interval, evenly spaced by rank."""
-    hit = F.lit(False)
-    for c, place in targets:
-        hit = hit | ((F.col("column") == c) & (F.col("place") == place))
     spaced = [i / GRID for i in range(GRID + 1)]
     rows = (
-        _placed(df, bounds)
-        .where(hit)
+        _placed(df, bounds, targets)
         .groupBy("column", "place")
         .agg(F.percentile_approx("value", spaced, GRID * 8).alias("grid"))
         .collect()
@@ -146,18 +169,14 @@ def _grids(df: DataFrame, bounds, targets: list[tuple[str, int]]) -> dict:
 
 def _pick(df: DataFrame, bounds, small, found) -> None:
     """Sort the intervals of a checked size and read the wanted positions off."""
-    hit, positions = F.lit(False), F.lit(None)
-    for (c, place), ranks in small.items():
-        here = (F.col("column") == c) & (F.col("place") == place)
-        hit = hit | here
-        wanted = F.array(*[F.lit(inside) for _, inside in ranks])
-        positions = F.when(here, wanted).otherwise(positions)
+    positions = [(c, place, [inside for _, inside in ranks]) for (c, place), ranks in small.items()]
+    wanted = small_frame(df.sparkSession, positions, "column string, place int, positions array<int>")
     rows = (
-        _placed(df, bounds)
-        .where(hit)
+        _placed(df, bounds, list(small))
         .groupBy("column", "place")
         .agg(F.sort_array(F.collect_list("value")).alias("values"))
-        .select("column", "place", F.transform(positions, lambda i: F.get("values", i)).alias("picked"))
+        .join(F.broadcast(wanted), ["column", "place"])
+        .select("column", "place", F.transform("positions", lambda i: F.get("values", i)).alias("picked"))
         .collect()
     )
     for r in rows:

@@ -319,3 +319,12 @@ def test_cornered_quantiles_of_features(labelled):
     cornered = exact_quantiles(labelled, MODEL_FEATURES, fractions, sorted_rows=20)
     for f in MODEL_FEATURES:
         assert np.allclose(whole[f], cornered[f], rtol=1e-12)
+
+
+def test_many_cornered_quantiles_of_many_columns(labelled):
+    """Bin edges where no column can be sorted whole: hundreds of boundaries to each of 13 columns."""
+    fractions = [k / 64 for k in range(1, 64)]
+    found = exact_quantiles(labelled, MODEL_FEATURES, fractions, sorted_rows=200)
+    pdf = labelled.select(*[F.col(f).cast("double") for f in MODEL_FEATURES]).toPandas()
+    for f in MODEL_FEATURES:
+        assert np.allclose(found[f], np.quantile(pdf[f].dropna(), fractions), rtol=1e-12, atol=1e-12)
